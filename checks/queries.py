@@ -411,7 +411,7 @@ def forecast_history_gate(spark, sf_dir):
 @query
 def forecast_capacity_cap(spark, sf_dir):
     caps = profile(spark, sf_dir).select("restaurant_id", "n_obs_used", "last_date", "capacity_cap")
-    return rounded(caps, capacity_cap=4)
+    return rounded(caps, capacity_cap=6)
 
 
 @query
@@ -446,7 +446,7 @@ def ljung_box(spark, sf_dir):
 
 @query
 def forecast_median_fallback(spark, sf_dir):
-    return rounded(median_forecasts(spark, sf_dir), predicted_revenue=4, lower_ci=4, upper_ci=4)
+    return rounded(median_forecasts(spark, sf_dir), predicted_revenue=6, lower_ci=6, upper_ci=6)
 
 
 @query

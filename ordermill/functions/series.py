@@ -5,6 +5,8 @@ An array has one value per calendar day, so its length is bounded by the length
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ def _n(values: Column) -> Column:
     return F.size(values)
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value worked out once; inlined into a lambda it would be worked out per element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def last(values: Column, n: int) -> Column:
     """The last n values, or all of them when there are fewer."""
     return F.slice(values, F.greatest(_n(values) - n + 1, F.lit(1)), n)
@@ -30,9 +37,9 @@ def total(values: Column) -> Column:
 
 def repeat_last_season(train: Column, horizon: int, season: int = SEASON) -> Column:
     """Seasonal-naive forecast: the last season of the training values, tiled over the horizon."""
-    tail = last(train, season)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(horizon - 1)), lambda h: F.get(tail, (h % season).cast("int"))
+    steps = F.sequence(F.lit(0), F.lit(horizon - 1))
+    return bind(
+        last(train, season), lambda tail: F.transform(steps, lambda h: F.get(tail, (h % season).cast("int")))
     )
 
 
@@ -69,24 +76,20 @@ def chi_square_tail(x: Column, dof: int) -> Column:
 def ljung_box_pvalue(residuals: Column, lags: int = 10) -> Column:
     """P-value of the test that the first `lags` autocorrelations are zero; NULL for a flat series."""
 
-    def from_mean(values: Column) -> Column:
+    def statistic(values: Column) -> Column:
         n = _n(values)
-        mean = total(values) / n
-        centred = F.transform(values, lambda x: x - mean)
-        return F.transform(F.array(centred), lambda c: _q_statistic(c, n, lags))[0]
+        centred = bind(total(values) / n, lambda mean: F.transform(values, lambda x: x - mean))
+        return bind(centred, lambda c: _q_statistic(c, n, lags))
 
-    return chi_square_tail(from_mean(residuals), lags)
+    return bind(bind(residuals, statistic), lambda q: chi_square_tail(q, lags))
 
 
 def _q_statistic(centred: Column, n: Column, lags: int) -> Column:
-    variance = total(F.transform(centred, lambda x: x * x))
-
     def lag_term(k: Column) -> Column:
-        k = k.cast("int")
         ahead = F.slice(centred, k + 1, n - k)
         products = total(F.zip_with(ahead, F.slice(centred, F.lit(1), n - k), lambda a, b: a * b))
-        correlation = F.try_divide(products, variance)
-        return correlation * correlation / (n - k)
+        return products * products / (n - k)
 
-    terms = F.transform(F.sequence(F.lit(1), F.lit(lags)), lag_term)
-    return n * (n + 2.0) * total(terms)
+    products = total(F.transform(F.sequence(F.lit(1), F.lit(lags)), lag_term))
+    variance = total(F.transform(centred, lambda x: x * x))
+    return n * (n + 2.0) * F.try_divide(products, variance * variance)

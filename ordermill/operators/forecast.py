@@ -54,13 +54,12 @@ class ForecastPlan:
 def regular_series(perf: DataFrame, plan: ForecastPlan = ForecastPlan()) -> DataFrame:
     """One row per entity and day between its first and last day; days without rows are 0.
 
-    Rows of one day are added up before anything is grouped by entity, so later steps see at most
-    one row per calendar day and entity.
+    Rows of one day are added up, in the type they come in, before anything is grouped by entity, so
+    later steps see at most one row per calendar day and entity.
     """
     key = [plan.entity, plan.date]
-    rows = perf.select(plan.entity, plan.date, F.col(plan.value).cast("double").alias(plan.value))
-    daily = rows.groupBy(*key).agg(F.sum(plan.value).alias(plan.value))
-    span = rows.groupBy(plan.entity).agg(F.min(plan.date).alias("_first"), F.max(plan.date).alias("_last"))
+    daily = perf.groupBy(*key).agg(F.sum(plan.value).cast("double").alias(plan.value))
+    span = perf.groupBy(plan.entity).agg(F.min(plan.date).alias("_first"), F.max(plan.date).alias("_last"))
     calendar = days_between(span, "_first", "_last", plan.date).select(*key)
     return calendar.join(daily, key, "left").fillna(0.0, [plan.value])
 

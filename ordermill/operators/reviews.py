@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
@@ -171,5 +172,10 @@ def fact_review(
     rules: CueRules | None = None,
     metrics: Observation | str | None = None,
 ) -> DataFrame:
+    """Enriched reviews that pass the review rules.
+
+    The rules are always counted: the counting step also keeps the optimizer from moving the filter
+    below the answer, where every rule would classify the text again.
+    """
     enriched = enrich_reviews(reviews, scorer, rules).select(*REVIEW_COLUMNS)
-    return apply_expectations(enriched, review_rules(), metrics)
+    return apply_expectations(enriched, review_rules(), metrics or f"review_rules_{uuid4().hex}")
