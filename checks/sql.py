@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from checks.frames import AS_OF, BRAND, CATEGORY_SHIFT, EARLIER_RUN
-from ordermill.functions.text import LOWER, UPPER, cue_pattern
+from ordermill.functions.text import LOWER, UPPER
 from ordermill.operators.quality import REVIEW_CATEGORIES
 from ordermill.operators.reviews import CueRules
 
@@ -434,20 +434,21 @@ def _classified(source: str, keep: str) -> str:
     rules = CueRules()
 
     def hit(cues) -> str:
-        return f"regexp_matches(t, '{cue_pattern(cues)}')"
+        return "(" + " OR ".join(f"contains(t, ' {cue} ')" for cue in cues) + ")"
 
     levels, fields = [], []
     for c, by_level in rules.issues.items():
         order = ("severe", "moderate", "minor")
         cases = " ".join(f"WHEN {hit(by_level[s])} THEN '{s}'" for s in order)
-        cues = " ".join(f"WHEN {hit(by_level[s])} THEN regexp_extract(t, '{cue_pattern(by_level[s])}', 2)" for s in order)
+        cues = " ".join(f"WHEN {hit([cue])} THEN '{cue}'" for s in order for cue in by_level[s])
         levels.append(f"CASE {cases} ELSE 'none' END AS {c}_severity, CASE {cues} ELSE '' END AS issue_{c}_reason")
         fields.append(f"{c}_severity <> 'none' AS issue_{c}, {c}_severity, issue_{c}_reason")
     mood = f"CASE WHEN {hit(rules.negative)} THEN 'negative' WHEN {hit(rules.positive)} THEN 'positive' ELSE 'neutral' END"
     return f"""
 SELECT {keep}, sentiment, {', '.join(fields)} FROM (
   SELECT *, {mood} AS sentiment, {', '.join(levels)}
-  FROM (SELECT *, translate(full_text, '{UPPER}', '{LOWER}') AS t FROM ({source})))"""
+  FROM (SELECT *, ' ' || regexp_replace(translate(full_text, '{UPPER}', '{LOWER}'), '[^a-z]+', ' ', 'g') || ' ' AS t
+        FROM ({source})))"""
 
 
 QUERIES["classify_review"] = _classified("SELECT doc_id, text AS full_text FROM documents", "doc_id")

@@ -1,9 +1,11 @@
-"""Text: brand prefix removal and cue patterns that mean the same in Java and RE2 regex."""
+"""Text: brand prefix removal and whole-word cue search."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,19 +20,24 @@ def strip_brand(c: Column, brand: str) -> Column:
     return F.trim(F.regexp_replace(c, rf"(?i){words}\s*[-–—]?\s*", ""))
 
 
-def fold_case(c: Column) -> Column:
-    """ASCII lower case, which leaves every other script alone."""
-    return F.translate(c, UPPER, LOWER)
+def spaced_words(c: Column) -> Column:
+    """The text's words in ASCII lower case with one space around each, for whole-word searches."""
+    folded = F.translate(c, UPPER, LOWER)
+    return F.concat(F.lit(" "), F.regexp_replace(folded, "[^a-z]+", " "), F.lit(" "))
 
 
-def cue_pattern(cues: Sequence[str]) -> str:
-    """A pattern for any of the cues as whole words of folded text; group 2 is the cue."""
-    return "(^|[^a-z])(" + "|".join(re.escape(cue).replace(r"\ ", " ") for cue in cues) + ")([^a-z]|$)"
+def words_present(words: Column, cues: Iterable[str]) -> Column:
+    """Which of the words that cues consist of occur in spaced words: one pass, however many cues."""
+    vocabulary = sorted({word for cue in cues for word in cue.split()})
+    return F.array_intersect(F.split(words, " "), F.array(*[F.lit(word) for word in vocabulary]))
 
 
-def has_cue(folded: Column, cues: Sequence[str]) -> Column:
-    return folded.rlike(cue_pattern(cues))
+def has_cue(words: Column, present: Column, cue: str) -> Column:
+    """Whether the cue occurs as whole words; the text is searched only if all its words occur."""
+    parts = cue.split()
+    hit = reduce(and_, (F.array_contains(present, part) for part in parts))
+    return hit if len(parts) == 1 else hit & F.contains(words, F.lit(f" {cue} "))
 
 
-def first_cue(folded: Column, cues: Sequence[str]) -> Column:
-    return F.regexp_extract(folded, cue_pattern(cues), 2)
+def has_any_cue(words: Column, present: Column, cues: Iterable[str]) -> Column:
+    return reduce(or_, (has_cue(words, present, cue) for cue in cues))

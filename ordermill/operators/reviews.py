@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.numbers import choose
-from ordermill.functions.text import first_cue, fold_case, has_cue
+from ordermill.functions.text import has_any_cue, has_cue, spaced_words, words_present
 from ordermill.operators.quality import (
     REVIEW_CATEGORIES,
     SENTIMENTS,
@@ -44,7 +44,8 @@ INSTRUCTION = (
 
 @dataclass(frozen=True)
 class CueRules:
-    """Cue words of the default classifier; the most severe level with a cue wins."""
+    """Cue words of the default classifier, in lower case; the most severe level with a cue wins,
+    and the first cue listed for it is the reason."""
 
     positive: Sequence[str] = ("great", "excellent", "delicious", "perfect", "loved", "best", "friendly")
     negative: Sequence[str] = (
@@ -76,6 +77,10 @@ class CueRules:
         }
     )
 
+    def cues(self) -> list[str]:
+        by_issue = [cue for levels in self.issues.values() for cues in levels.values() for cue in cues]
+        return [*self.positive, *self.negative, *by_issue]
+
 
 def review_prompt(text: Column) -> Column:
     return F.concat(F.lit(INSTRUCTION), text)
@@ -84,29 +89,30 @@ def review_prompt(text: Column) -> Column:
 def classify_by_cues(reviews: DataFrame, rules: CueRules | None = None, text: str = "review_text") -> DataFrame:
     """Add `analysis_json` from cue words, JVM side, reading the whole text.
 
-    The steps are separate projections on purpose: each pattern is then evaluated once per row and
-    its outcome used three times.
+    The steps are separate projections on purpose: the text is then normalised once, and each
+    finding is worked out once per row and used three times.
     """
     rules = rules or CueRules()
-    folded = F.col("_folded")
+    words, present = F.col("_words"), F.col("_present")
 
-    def finding(level: str, cue: Column) -> Column:
-        return F.struct(F.lit(level).alias("level"), cue.alias("cue"))
+    def finding(level: str, cue: str) -> Column:
+        return F.struct(F.lit(level).alias("level"), F.lit(cue).alias("cue"))
 
     findings = {
         f"_{category}": choose(
             [
-                (has_cue(folded, levels[level]), finding(level, first_cue(folded, levels[level])))
+                (has_cue(words, present, cue), finding(level, cue))
                 for level in reversed(SEVERITIES[1:])
+                for cue in levels[level]
             ],
-            finding(SEVERITIES[0], F.lit("")),
+            finding(SEVERITIES[0], ""),
         )
         for category, levels in rules.issues.items()
     }
     mood = choose(
         [
-            (has_cue(folded, rules.negative), F.lit("negative")),
-            (has_cue(folded, rules.positive), F.lit("positive")),
+            (has_any_cue(words, present, rules.negative), F.lit("negative")),
+            (has_any_cue(words, present, rules.positive), F.lit("positive")),
         ],
         F.lit("neutral"),
     )
@@ -118,7 +124,9 @@ def classify_by_cues(reviews: DataFrame, rules: CueRules | None = None, text: st
             level.alias(f"{category}_severity"),
             F.col(f"_{category}.cue").alias(f"issue_{category}_reason"),
         ]
-    found = reviews.withColumn("_folded", fold_case(F.col(text))).withColumns(findings)
+    normalised = reviews.withColumn("_words", spaced_words(F.col(text)))
+    searched = normalised.withColumn("_present", words_present(words, rules.cues()))
+    found = searched.withColumns(findings)
     return found.select(*reviews.columns, F.to_json(F.struct(*answer)).alias("analysis_json"))
 
 
