@@ -22,6 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEASON = 7
 LONG_AR = 14
+MAX_AR_RADIUS = 1.005
 # Published 5 % critical value surface of the unit-root test with a constant.
 UNIT_ROOT_5PCT = (-2.86154, -2.8903, -4.234, -40.040)
 
@@ -65,6 +66,20 @@ def has_unit_root(y: np.ndarray) -> bool:
     return bool(beta[0] / np.sqrt(scale) >= b0 + b1 / m + b2 / m**2 + b3 / m**3)
 
 
+def radius(weights: dict[int, float]) -> float:
+    """Growth per step of the recursion x[t] = sum of weight * x[t - lag]; above 1 it explodes."""
+    polynomial = np.zeros(SEASON + 1)
+    polynomial[0] = 1.0
+    for lag, c in weights.items():
+        polynomial[lag] -= c
+    return float(np.abs(np.roots(polynomial)).max(initial=0.0))
+
+
+def is_stable(model: dict) -> bool:
+    """Invertible, and not explosive; a root at 1 is how a model without a constant holds a level."""
+    return radius({k: -c for k, c in model["ma"].items()}) < 1.0 and radius(model["ar"]) <= MAX_AR_RADIUS
+
+
 class DifferencedSeries:
     """A differenced series with all regressors any candidate may use, and their cross products."""
 
@@ -106,8 +121,6 @@ class DifferencedSeries:
         shocks = np.zeros(len(level))
         for t in range(len(level)):
             shocks[t] = level[t] - sum(c * shocks[t - lag] for lag, c in model["ma"].items() if t >= lag)
-        if not np.all(np.isfinite(shocks)) or np.abs(shocks).max() > 1e6:
-            raise ArithmeticError("unstable moving average")
         return shocks
 
     def forecast(self, model: dict, y: np.ndarray, exog: np.ndarray, steps: int):
@@ -161,11 +174,7 @@ def search(y: np.ndarray, exog: np.ndarray):
             model, aic, k = series.solve(order)
             room = n - k - 1
             aicc = aic + 2 * k * (k + 1) / room if room > 0 else np.inf
-            if np.isfinite(aicc) and (best is None or aicc < best[4]):
-                try:
-                    series.shocks_of(model)
-                except ArithmeticError:
-                    continue
+            if np.isfinite(aicc) and (best is None or aicc < best[4]) and is_stable(model):
                 best = (series, model, order, aic, aicc)
     return best
 
@@ -191,12 +200,9 @@ def fit_entity(
                 trained, model, (p, q, seasonal_p, seasonal_q), aic, aicc = best
                 holdout_mean, _ = trained.forecast(model, y[:cut], exog[: len(y)], holdout)
                 full = DifferencedSeries(y, exog[: len(y)], trained.d, trained.seasonal_d)
-                try:
-                    model, _, _ = full.solve((p, q, seasonal_p, seasonal_q))
-                    residuals = full.shocks_of(model)
-                except ArithmeticError:
-                    model = best[1]
-                    residuals = full.shocks_of(model)
+                refit, _, _ = full.solve((p, q, seasonal_p, seasonal_q))
+                model = refit if is_stable(refit) else model
+                residuals = full.shocks_of(model)
                 mean, se = full.forecast(model, y, exog, horizon)
                 result |= {
                     "model_order": str((p, trained.d, q)),
