@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,6 @@ def shared_folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so several outputs share one run."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
