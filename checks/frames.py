@@ -5,6 +5,8 @@ Each frame is derived from whole tables; `checks.sql` states the same definition
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ BRAND = "Acme Table"
 LOYALTY_FLOORS = {"Platinum": 3_000_000, "Gold": 2_000_000, "Silver": 1_000_000}
 
 
+# Frames are lazy: one per session and folder will do, as with tables opened by name.
+frame = lru_cache(maxsize=512)
+
+
+@frame
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,6 +31,7 @@ def tagged(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.col(key).cast("string"))
 
 
+@frame
 def venues_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     opened = F.date_add(F.lit("1994-01-01").cast("date"), (F.col("n_nationkey") * 30).cast("int"))
@@ -39,6 +47,7 @@ def venues_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))
     return table(spark, sf_dir, "customer").select(
@@ -51,6 +60,7 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def _order_venue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Venue and line count per order."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
@@ -66,6 +76,7 @@ def _when(c: str, values: dict[str, str], default: str) -> Column:
     return choose([(F.col(c) == k, F.lit(v)) for k, v in values.items()], F.lit(default))
 
 
+@frame
 def orders_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders with their venue; those without lines have neither venue nor items."""
     orders = table(spark, sf_dir, "orders")
@@ -92,6 +103,7 @@ def orders_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order facts without the detour over JSON text."""
     at = F.col("order_timestamp")
@@ -104,6 +116,7 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def lines_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity"))
@@ -118,6 +131,7 @@ def lines_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders_flat(spark, sf_dir).filter("restaurant_id IS NOT NULL")
     at = F.col("order_timestamp")
@@ -127,6 +141,7 @@ def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def menu_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items a venue has sold, but for every tenth item, which the menu lacks."""
     lines = table(spark, sf_dir, "lineitem").filter("l_partkey % 10 <> 0").select("l_orderkey", "l_partkey")
@@ -143,6 +158,7 @@ def menu_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def order_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as they arrive: one row per order with its items as one JSON text.
 
@@ -166,6 +182,7 @@ def historical_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_payloads(spark, sf_dir).filter("o_orderkey % 10 < 8").drop("o_orderkey")
 
 
+@frame
 def _live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live share: overlaps the historical one, with zoned timestamps and another status."""
     live = order_payloads(spark, sf_dir).filter("o_orderkey % 10 >= 6")
@@ -204,6 +221,7 @@ def _severity(k: int) -> Column:
 CATEGORY_SHIFT = {"delivery": 0, "food_quality": 1, "pricing": 2, "portion_size": 3}
 
 
+@frame
 def _review_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     orders = orders_flat(spark, sf_dir).select("o_orderkey", "order_id", "order_timestamp", "customer_id", "restaurant_id")
@@ -218,6 +236,7 @@ def _review_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@frame
 def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as reviews; each text ends with remarks that name the document's severities."""
     remarks = {
@@ -234,6 +253,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _review_base(spark, sf_dir).withColumn("review_text", F.concat_ws(". ", *words)).drop("doc_id")
 
 
+@frame
 def fact_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review facts with sentiment from the labels and severities from the document id."""
     labels = table(spark, sf_dir, "labels")

@@ -58,6 +58,7 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
 # --- sources, sinks, silver ---------------------------------------------------------------------
 
 
+@fx.frame
 def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.unify_orders(
         [
@@ -221,16 +222,19 @@ def rating_distribution(spark, sf_dir):
 # --- gold ---------------------------------------------------------------------------------------
 
 
+@fx.frame
 def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.dim_restaurant(fx.venues_raw(spark, sf_dir))
 
 
+@fx.frame
 def preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.customer_restaurant_preference(
         fx.fact_orders(spark, sf_dir), fx.fact_review(spark, sf_dir), fx.AS_OF
     )
 
 
+@fx.frame
 def customers_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.customer_360(
         silver.dim_customer(fx.customers_raw(spark, sf_dir)), fx.fact_orders(spark, sf_dir),
@@ -239,12 +243,14 @@ def customers_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@fx.frame
 def venues_360(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.restaurant_360(
         venues(spark, sf_dir), fx.fact_orders(spark, sf_dir), fx.fact_review(spark, sf_dir), fx.AS_OF
     )
 
 
+@fx.frame
 def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.daily_item_popularity(
         fx.fact_order_items(spark, sf_dir), fx.fact_orders(spark, sf_dir),
@@ -252,6 +258,7 @@ def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@fx.frame
 def performance(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> DataFrame:
     return marts.daily_restaurant_performance(
         fx.fact_orders(spark, sf_dir), fx.fact_review(spark, sf_dir), venues(spark, sf_dir), as_of
@@ -342,6 +349,7 @@ def sales_by_day(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> Dat
     )
 
 
+@fx.frame
 def profile(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> DataFrame:
     return fc.series_profile(fc.regular_series(sales_by_day(spark, sf_dir, as_of)))
 

@@ -39,6 +39,8 @@ def local_session(cores: int | str = "*", app_name: str = "ordermill", **extra:
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("ORDERMILL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
+        # Without call sites in error messages, a plan of many expressions is built in half the time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
