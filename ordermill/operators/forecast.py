@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.functions.calendar import DateLike, as_of_date, days_between
+from ordermill.functions.calendar import DateLike, as_of_date
 from ordermill.functions.numbers import choose
 from ordermill.functions.series import (
     all_but_last,
@@ -51,17 +51,24 @@ class ForecastPlan:
             raise ValueError("min_history is too short for the residual test and the holdout")
 
 
-def regular_series(perf: DataFrame, plan: ForecastPlan = ForecastPlan()) -> DataFrame:
+def regular_series(perf: DataFrame, plan: ForecastPlan = ForecastPlan(), tasks: int | None = None) -> DataFrame:
     """One row per entity and day between its first and last day; days without rows are 0.
 
     Rows of one day are added up, in the type they come in, before anything is grouped by entity, so
-    later steps see at most one row per calendar day and entity.
+    the window sees at most one row per calendar day and entity. Each row then fills the days up to
+    the next one: no calendar to join and a single read of the input. `tasks` fixes the number of
+    partitions, which are by entity either way.
     """
-    key = [plan.entity, plan.date]
-    daily = perf.groupBy(*key).agg(F.sum(plan.value).cast("double").alias(plan.value))
-    span = perf.groupBy(plan.entity).agg(F.min(plan.date).alias("_first"), F.max(plan.date).alias("_last"))
-    calendar = days_between(span, "_first", "_last", plan.date).select(*key)
-    return calendar.join(daily, key, "left").fillna(0.0, [plan.value])
+    daily = perf.groupBy(plan.entity, plan.date).agg(F.sum(plan.value).cast("double").alias(plan.value))
+    if tasks is not None:
+        daily = daily.repartition(tasks, plan.entity)
+    following = F.lead(plan.date).over(Window.partitionBy(plan.entity).orderBy(plan.date))
+    until = F.coalesce(F.date_sub(following, 1), F.col(plan.date))
+    filled = daily.withColumn("_until", until).select(
+        plan.entity, plan.value, F.posexplode(F.sequence(plan.date, "_until")).alias("_gap", plan.date)
+    )
+    value = F.when(F.col("_gap") == 0, F.coalesce(plan.value, F.lit(0.0))).otherwise(0.0)
+    return filled.select(plan.entity, plan.date, value.alias(plan.value))
 
 
 def series_profile(series: DataFrame, plan: ForecastPlan = ForecastPlan()) -> DataFrame:
@@ -213,15 +220,16 @@ def forecast(perf: DataFrame, plan: ForecastPlan = ForecastPlan(), as_of: DateLi
     """Forecast rows and one diagnostics row per entity, told apart by `record_type`.
 
     Write the result once and split the written table: every action on it fits all models again.
-    The explicit repartition keeps the adaptive planner from merging the small series into few
-    tasks, and its exchange serves the fits and the profile alike.
+    The explicit number of tasks keeps the adaptive planner from merging the small series into few
+    of them; their exchange by entity serves gap filling, fits and profile alike.
     """
     spark = perf.sparkSession
     tasks = plan.fit_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    series = regular_series(perf, plan).repartition(tasks, plan.entity)
+    series = regular_series(perf, plan, tasks)
     profile = series_profile(series, plan)
-    enough = profile.filter(has_history(plan)).select(plan.entity)
-    fits = fit_models(series.join(enough, plan.entity, "left_semi"), plan)
+    length = F.count(F.lit(1)).over(Window.partitionBy(plan.entity))
+    counted = series.withColumn("n_obs_used", length).filter(has_history(plan)).drop("n_obs_used")
+    fits = fit_models(counted, plan)
 
     known = profile.join(fits, plan.entity, "left")
     scored = holdout_scores(known, F.transform("holdout_mean", F.expm1), plan)

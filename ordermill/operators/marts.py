@@ -117,11 +117,11 @@ def with_customer_share(pairs: DataFrame) -> DataFrame:
     )
 
 
-def customer_order_share(
+def customer_venue_orders(
     orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = True
 ) -> DataFrame:
-    """Order profile of each customer at each venue."""
-    pairs = (
+    """Order totals per customer and venue."""
+    return (
         valid_orders(orders, ok_statuses)
         .groupBy("customer_id", "restaurant_id")
         .agg(
@@ -131,7 +131,13 @@ def customer_order_share(
             F.max("order_timestamp").alias("last_order_timestamp"),
         )
     )
-    return with_customer_share(pairs)
+
+
+def customer_order_share(
+    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = True
+) -> DataFrame:
+    """Order profile of each customer at each venue."""
+    return with_customer_share(customer_venue_orders(orders, ok_statuses, unique_ids))
 
 
 def _pair_reviews(reviews: DataFrame, unique_ids: bool) -> DataFrame:
@@ -161,13 +167,17 @@ def customer_restaurant_preference(
 ) -> DataFrame:
     """Score and rank the venues of each customer by behaviour, recency and experience.
 
-    Rows below `min_orders` stay in the result but carry no rank. Both windows work on
-    customer-venue pairs and share one exchange.
+    Rows below `min_orders` stay in the result but carry no rank. Orders and reviews meet as totals
+    per customer and venue, already placed by those keys; all windows work on these pairs and share
+    one exchange by customer.
     """
-    profile = (
-        customer_order_share(orders, ok_statuses, unique_ids)
+    pairs = (
+        customer_venue_orders(orders, ok_statuses, unique_ids)
         .join(_pair_reviews(reviews, unique_ids), ["customer_id", "restaurant_id"], "left")
         .fillna({"review_count": 0, "positive_ratio": 0.0, "negative_ratio": 0.0})
+    )
+    profile = (
+        with_customer_share(pairs)
         .withColumns(
             {
                 "days_since_last_order": F.datediff(as_of_date(as_of), F.to_date("last_order_timestamp")),

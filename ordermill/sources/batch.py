@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,11 +94,13 @@ def publish_csv(
     spark: SparkSession, path: str, schema: str, table: str, connection: Mapping[str, str]
 ) -> bool:
     """Replace a database table with a CSV file; a missing file is skipped and reported as False."""
-    jvm = spark.sparkContext._jvm
-    file = jvm.org.apache.hadoop.fs.Path(path)
-    if not file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file):
+    try:
+        rows = read_csv(spark, path, schema)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
-    read_csv(spark, path, schema).write.format("jdbc").options(**connection, dbtable=table).mode("overwrite").save()
+    rows.write.format("jdbc").options(**connection, dbtable=table).mode("overwrite").save()
     return True
 
 

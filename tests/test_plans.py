@@ -58,26 +58,40 @@ def test_venue_profile_reads_orders_once(silver_tables):
     assert len(re.findall(r"FileScan parquet \[order_id", plan)) == 1
 
 
-def test_preference_windows_share_one_exchange(silver_tables, spark):
-    plan = plan_of(marts.customer_order_share(silver_tables["orders"]))
-    pairs = len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+, restaurant_id", plan))
-    single = len(re.findall(r"Exchange hashpartitioning\(customer_id#\d+, 4", plan))
-    assert (pairs, single) == (1, 1)
-    full = plan_of(marts.customer_restaurant_preference(silver_tables["orders"], silver_tables["reviews"], fx.AS_OF))
-    windows = re.findall(r"Exchange hashpartitioning\(customer_id#\d+, 4", full)
-    assert len(windows) <= 2  # one for the shares, at most one more after the review join
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as they are for sides too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def exchanges(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", re.sub(r"#\d+L?", "", plan_of(df)))
+
 
+def test_preference_windows_share_one_exchange(silver_tables, no_broadcast):
+    found = exchanges(
+        marts.customer_restaurant_preference(silver_tables["orders"], silver_tables["reviews"], fx.AS_OF))
+    # orders and reviews by pair, then the pairs by customer; the join moves nothing
+    assert sorted(found) == ["customer_id", "customer_id, restaurant_id", "customer_id, restaurant_id"]
 
-def test_item_popularity_adds_no_exchange_for_the_distinct_count(silver_tables, spark):
+
+def test_item_popularity_adds_no_exchange_for_the_distinct_count(silver_tables, no_broadcast):
     t = silver_tables
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(marts.daily_item_popularity(t["items"], t["orders"], t["menu"]))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = exchanges(marts.daily_item_popularity(t["items"], t["orders"], t["menu"]))
     # items and orders by order, the aggregate by its keys, then both sides of the menu join
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 5
-    assert not re.search(r"Exchange hashpartitioning\([^)]*order_id[^)]*item_id", plan)
+    assert len(found) == 5 and not any("order_id" in keys and "item_id" in keys for keys in found)
+
+
+def test_series_are_moved_once_by_entity_for_gaps_profile_and_fits(silver_tables, no_broadcast):
+    sales = silver_tables["orders"].selectExpr(
+        "restaurant_id", "order_date AS activity_date", "total_amount AS daily_revenue")
+    found = exchanges(fc.forecast(sales, as_of=fx.AS_OF))
+    assert set(found) <= {"restaurant_id", "restaurant_id, activity_date", "restaurant_id, weekday", "restaurant_id, _groupingexpression"}
+    plan = plan_of(fc.forecast(sales, as_of=fx.AS_OF))
+    fit = plan[plan.index("FlatMapGroupsInPandas"):]
+    assert fit[: fit.index("REPARTITION_BY_NUM")].count("Exchange") == 1
 
 
 def test_dedup_combines_before_the_shuffle(spark, sf_dir):
