@@ -270,25 +270,31 @@ def daily_sales_summary(spark, sf_dir):
     return marts.daily_sales_summary(fx.fact_orders(spark, sf_dir), sketch=False)
 
 
+def sketch_error(orders: DataFrame, estimated: DataFrame, period: Column, name: str) -> DataFrame:
+    """Exact customers per period, and whether the sketches come within 5 % of them."""
+    exact = (
+        marts.valid_orders(orders)
+        .groupBy(period.alias(name))
+        .agg(F.count_distinct("customer_id").alias("exact_customers"))
+    )
+    error = F.abs(F.col("unique_customers") - F.col("exact_customers"))
+    within = (error <= 0.05 * F.col("exact_customers")).alias("within_5_pct")
+    return exact.join(estimated, name).select(name, "exact_customers", within)
+
+
 @query
 def daily_sales_hll(spark, sf_dir):
-    summary = marts.daily_sales_summary(fx.fact_orders(spark, sf_dir))
-    return marts.merged_customers(summary, "order_date")
+    orders = fx.fact_orders(spark, sf_dir)
+    estimated = marts.merged_customers(marts.daily_sales_summary(orders), "order_date")
+    return sketch_error(orders, estimated, F.col("order_date"), "order_date")
 
 
 @query
 def hll_union_error(spark, sf_dir):
     orders = fx.fact_orders(spark, sf_dir)
-    summary = marts.daily_sales_summary(orders).withColumn("month", F.date_format("order_date", "yyyy-MM"))
-    estimated = marts.merged_customers(summary, "month")
-    exact = (
-        marts.valid_orders(orders)
-        .groupBy(F.date_format("order_date", "yyyy-MM").alias("month"))
-        .agg(F.count_distinct("customer_id").alias("exact_customers"))
-    )
-    error = F.abs(F.col("unique_customers") - F.col("exact_customers"))
-    within = (error <= 0.05 * F.col("exact_customers")).alias("within_5_pct")
-    return exact.join(estimated, "month").select("month", "exact_customers", within)
+    month = F.date_format("order_date", "yyyy-MM")
+    estimated = marts.merged_customers(marts.daily_sales_summary(orders).withColumn("month", month), "month")
+    return sketch_error(orders, estimated, month, "month")
 
 
 @query

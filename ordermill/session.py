@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,11 @@ def local_session(cores: int | str = "*", app_name: str = "ordermill", **extra:
     return spark
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="ordermill-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared scratch folder. Only a local master may fall back to a temp folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -56,9 +62,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="ordermill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -62,9 +62,15 @@ def tag_table(spark: SparkSession, table: str, properties: Mapping[str, str], co
 
 
 def stream_to_table(
-    df: DataFrame, table: str, checkpoint: str, every: str | None = None, fmt: str = "parquet"
+    df: DataFrame,
+    table: str,
+    checkpoint: str,
+    every: str | None = None,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to a table exactly once. Without `every` it drains what is there and stops."""
     writer = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.toTable(table)

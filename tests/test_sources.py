@@ -123,3 +123,17 @@ def test_namespaces_are_created_once_and_again(spark):
 def test_materialised_frames_live_in_the_shared_folder(spark):
     df = materialise(spark.range(5), "five")
     assert df.count() == 5 and shared_folder(spark) in df.inputFiles()[0]
+
+
+def test_only_a_local_master_may_use_a_temp_folder():
+    from types import SimpleNamespace
+
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master, applicationId="app"),
+        )
+
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
+    with pytest.raises(ValueError):
+        shared_folder(session("yarn"))

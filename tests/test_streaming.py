@@ -138,6 +138,17 @@ def test_gold_refresh_recomputes_the_touched_days(spark, topic, database, tmp_pa
     assert spark.table(gold).select(*whole.columns).exceptAll(whole).isEmpty()
 
 
+def test_a_refresh_reads_only_the_touched_partitions(spark, database):
+    rows = [(n, f"2024-01-{n % 9 + 1:02d}") for n in range(90)]
+    facts = spark.createDataFrame(rows, "v int, order_date string")
+    sinks.overwrite_table(facts, f"{database}.facts", partition_by=["order_date"])
+    batch = spark.createDataFrame([(1, "2024-01-03")], "v int, order_date string")
+    touched = flows.touched_days(spark.table(f"{database}.facts"), batch, "order_date")
+    assert touched.count() == 10
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "(order_date#" in plan and ">= 2024-01-03)" in plan.split("PartitionFilters")[1]
+
+
 def test_continuous_trigger_runs_until_stopped(spark, topic, database, tmp_path):
     topic.send(payload(1))
     query = flows.bronze_stream(topic.read(), f"{database}.bronze", str(tmp_path / "c"), every="1 second")
