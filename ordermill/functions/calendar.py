@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DateLike = dt.date | str | None
 
@@ -18,16 +19,19 @@ def as_of_date(as_of: DateLike | Column) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
-def parse_timestamp(c: Column, naive_tz: str | None = None) -> Column:
-    """ISO text to timestamp, NULL when unreadable.
+def parse_timestamp(df: DataFrame, name: str, naive_tz: str | None = None) -> Column:
+    """ISO text to timestamp, NULL when unreadable; a column that is no text is a timestamp already.
 
     Text with an offset is taken at its word. Text without one is read in `naive_tz` when that is
     given, else in the session zone.
     """
+    c = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return c.cast("timestamp")
     parsed = F.try_to_timestamp(c)
     if naive_tz is None:
         return parsed
-    zoned = c.cast("string").rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    zoned = c.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
     return F.when(zoned, parsed).otherwise(F.to_utc_timestamp(parsed, naive_tz))
 
 

@@ -23,8 +23,8 @@ def conform_orders(df: DataFrame, source: str, naive_tz: str | None = None) -> D
     """The common order columns with a source tag and real timestamps. Stateless."""
     return df.select(*ORDER_FIELDS).withColumns(
         {
-            "timestamp": parse_timestamp(F.col("timestamp"), naive_tz),
-            "created_at": parse_timestamp(F.col("created_at"), naive_tz),
+            "timestamp": parse_timestamp(df, "timestamp", naive_tz),
+            "created_at": parse_timestamp(df, "created_at", naive_tz),
             "source_system": F.lit(source),
         }
     )

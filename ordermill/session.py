@@ -17,7 +17,6 @@ RUNTIME_SETTINGS = {
     # Lets AQE split a skewed join partition even where that costs one more exchange: a key
     # holding a third of the rows is otherwise a single straggling task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The sketch aggregate keeps objects in a hash map; the default of 128 keys makes it sort.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",

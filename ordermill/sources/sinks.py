@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +17,16 @@ def create_namespaces(spark: SparkSession, layers: Sequence[str] = LAYERS, locat
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{where}")
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of one partition value together, so that a day lands in few files.
 
@@ -31,13 +42,17 @@ def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet", partition_b
 
 
 def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
-    """Replace only the partitions that occur in the frame; the first call creates the table."""
+    """Replace only the partitions that occur in the frame; the first call creates the table.
+
+    Inserting into a table takes the overwrite mode from the session, not from write options.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         overwrite_table(df, table, fmt, partition_by)
         return
     ordered = _gather(df, partition_by).select(*spark.table(table).columns)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        ordered.write.insertInto(table, overwrite=True)
 
 
 def append_merged(df: DataFrame, table: str, fmt: str = "parquet") -> None:

@@ -56,6 +56,12 @@ def test_zoned_and_naive_timestamps(spark):
     assert at == {"zoned": "06:30", "naive": "06:30", "bad": None}
 
 
+def test_real_timestamps_are_left_alone(spark):
+    df = frame(spark, order()).withColumn("timestamp", F.to_timestamp("timestamp"))
+    row = silver.conform_orders(df, "h", "Asia/Tehran").select(F.hour("timestamp"), F.hour("created_at")).first()
+    assert tuple(row) == (10, 6)
+
+
 def test_fact_orders_columns_and_drops(spark):
     df = silver.unify_orders([("h", frame(
         spark, order("ok"), order(None), order("bad_time", "x"), order("huge", total=1e12), order("no_items", items="nope")))])
