@@ -81,13 +81,8 @@ def src_kafka_decode(spark, sf_dir):
 def snk_kafka_payload(spark, sf_dir):
     messages = kafka.to_messages(fx.fact_orders(spark, sf_dir), "restaurant_id")
 
-    def read(name: str, kind: str = "string") -> Column:
-        return F.get_json_object("value", f"$.{name}").cast(kind).alias(name)
-
-    return messages.select(
-        F.col("key"), read("order_id"), read("order_date"), read("item_count", "bigint"),
-        read("total_amount", "double"), read("is_weekend", "boolean"),
-    )
+    fields = "order_id string, order_date string, item_count bigint, total_amount double, is_weekend boolean"
+    return messages.select("key", F.from_json("value", fields).alias("row")).select("key", "row.*")
 
 
 @query
