@@ -21,10 +21,10 @@ def con(sf_dir):
 
 
 def test_every_query_but_the_model_fits_has_sql():
-    assert set(entry.queries()) - set(TEXTS) == ROWS_ONLY and not set(TEXTS) - set(entry.queries())
+    assert set(entry.QUERIES) - set(TEXTS) == ROWS_ONLY and not set(TEXTS) - set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query(spark, con, sf_dir, name):
     frame = entry.queries()[name](spark, sf_dir)
     got = rows_of(frame.columns, frame.collect())
