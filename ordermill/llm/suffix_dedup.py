@@ -28,7 +28,9 @@ from ordermill.session import materialise
 LENGTH, TRIGGER = 100, 32
 CHUNK = 1 << 20  # bytes of text parsed at once
 PHRASES = 1 << 20  # phrases combined in a task before they are sent on
-HOT = 1000  # phrases of one trigger from which on they are compared string by string, over many tasks
+# Phrases of one trigger from which on they are compared string by string, over many tasks. Below, one task holds
+# their strings: at 69 strings a phrase and some 300 bytes a string, this many take 85 MB.
+HOT = 4096
 PLACE = np.uint64((1 << 28) - 1)  # room for a place within a chunk
 # A row of the parse: ``spot`` packs a start (31 bits), 25 bits of the text's hash and a number of strings (7 bits).
 # With 0 strings it is a repeated stretch, and ``phrase`` holds its end.
@@ -269,9 +271,11 @@ def repeats(
     found = materialise(resolved(parsed(rows.select("doc", "name", "text"), length, trigger), length), "repeated-phrases")
     strings_left = F.col("spot").bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
     shared = found.where(strings_left > 0)
-    crowds = shared.groupBy("trigger").agg((F.count("*") > hot).alias("crowded"))
+    crowds = shared.groupBy("trigger").agg(F.count("*").alias("phrases")).where(F.col("phrases") > hot)
+    crowds = crowds.select("trigger", F.lit(True).alias("listed"))
     text_name = F.shiftright("spot", COUNT_BITS).bitwiseAND(F.lit((1 << TEXT_BITS) - 1))
-    shared = shared.join(crowds, "trigger").withColumn("name", text_name)
+    crowded = F.coalesce("listed", F.lit(False))
+    shared = shared.join(crowds, "trigger", "left").withColumns({"name": text_name, "crowded": crowded})
     texts = rows.select("doc", "name", "text", "doc_id")
     pieces = materialise(strings(texts, shared, length), "shared-phrases")
     single = resolved(pieces.where(F.col("bytes").isNull()).drop("bytes"), length).where(strings_left == 0)
