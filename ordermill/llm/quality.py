@@ -66,8 +66,9 @@ def features(texts: list[bytes], size: int = PASSAGE) -> tuple[np.ndarray, np.nd
         word, end = word_bounds(data)
         if len(word):
             hashes, at = PrefixHash(data).of(word, end), of_byte[word]
-            words = np.maximum(1, np.bincount(at, minlength=count))
-            out[:, GROUPS + 1] = words / length * 5
+            number = np.bincount(at, minlength=count)
+            words = np.maximum(1, number)
+            out[:, GROUPS + 1] = number / length * 5
             out[:, GROUPS + 2] = np.bincount(at, (end - word) ** 2, minlength=count) / words / 100
             for k, lag in enumerate(LAGS):
                 repeated = (hashes[lag:] == hashes[:-lag]) & (at[lag:] == at[:-lag])
