@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ordermill.llm.common import PrefixHash, folded, mixed, utf8, word_bounds
+from ordermill.llm.common import BLANK, PrefixHash, folded, mixed, utf8, word_bounds
 
 SHINGLE, CONTAINMENT = 5, 0.8
 HASHES, BLOCK = 64, 4
 ITEM_BLOCK_BYTES = 16 << 20  # of item text in one broadcast
 CHUNK_BYTES = 1 << 20  # of document text hashed at once
+LONG = 1 << 21  # bytes from which on a text is searched in pieces
 FACTORS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 MASKS = mixed(np.arange(1001, HASHES + 1001, dtype=np.uint64)).astype(np.uint32)
 
@@ -80,7 +81,7 @@ class Items:
 
     def __init__(self, ids: list, texts: list[bytes], length: int = SHINGLE):
         words = shingled(texts, length)
-        self.ids, self.length = ids, length
+        self.ids, self.length, self.longest = ids, length, max(map(len, texts), default=0)
         self.hashes = [np.unique(words.hashes[a:b]) for a, b in zip(words.first, words.first[1:])]
         self.shingles = [{words.shingle(k, length) for k in range(a, b)} for a, b in zip(words.first, words.first[1:])]
         sizes = np.diff(words.first)
@@ -142,17 +143,52 @@ class Items:
 
     def contained(self, texts: list[bytes], threshold: float) -> list[list[tuple]]:
         """For each text: (item id, shingles found, the item's shingles) of the items it holds."""
-        words = shingled(texts, self.length)
-        out: list[list[tuple]] = [[] for _ in texts]
+        short = [text for text in texts if len(text) <= LONG]
+        words = shingled(short, self.length)
+        found: list[list[tuple]] = [[] for _ in short]
         for text, item in sorted(self.candidates(words)):
-            a, b = words.first[text], words.first[text + 1]
-            own = words.hashes[a:b]
-            wanted, total = self.hashes[item], len(self.shingles[item])
-            at = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
-            places = np.flatnonzero(wanted[at] == own)
-            matched = len({words.shingle(a + k, self.length) for k in places} & self.shingles[item])
-            if matched >= threshold * total:
-                out[text].append((self.ids[item], matched, total))
+            self._judge(found[text], item, self._held(words, text, item), threshold)
+        rest = iter(found)
+        return [next(rest) if len(text) <= LONG else self._contained_in_long(text, threshold) for text in texts]
+
+    def _held(self, words: Words, text: int, item: int) -> set[bytes]:
+        """Which of the item's shingles a text has, compared as bytes."""
+        a, b = words.first[text], words.first[text + 1]
+        own, wanted = words.hashes[a:b], self.hashes[item]
+        at = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+        places = np.flatnonzero(wanted[at] == own)
+        return {words.shingle(a + k, self.length) for k in places} & self.shingles[item]
+
+    def _judge(self, out: list[tuple], item: int, held: set[bytes], threshold: float) -> None:
+        total = len(self.shingles[item])
+        if len(held) >= threshold * total:
+            out.append((self.ids[item], len(held), total))
+
+    def _contained_in_long(self, text: bytes, threshold: float) -> list[tuple]:
+        """A long text piece by piece: first the candidates of all pieces, then what the pieces together hold of each.
+
+        Pieces overlap by the longest item and its window, so an item lies whole in one of them.
+        """
+        overlap, at, pieces = 4 * self.longest + 1000, 0, []
+        size = max(LONG, 3 * overlap)
+        while at < len(text):
+            end = BLANK.search(text, min(len(text), at + size))
+            pieces.append((at, end.start() if end else len(text)))
+            if not end:
+                break
+            start = BLANK.search(text, max(at + 1, end.start() - overlap))
+            at = start.start()
+        candidates = set()
+        for a, b in pieces:
+            candidates |= {item for _, item in self.candidates(shingled([text[a:b]], self.length))}
+        held: dict[int, set[bytes]] = {item: set() for item in sorted(candidates)}
+        for a, b in pieces if held else ():
+            words = shingled([text[a:b]], self.length)
+            for item in held:
+                held[item] |= self._held(words, 0, item)
+        out: list[tuple] = []
+        for item, shingles in held.items():
+            self._judge(out, item, shingles, threshold)
         return out
 
 

@@ -52,14 +52,15 @@ SHAPES = (
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Random hexadecimal has 3.4 bits or more in a window of 24, random base 64 over 4; words stay below.
 CLASSES = (
-    EntropyClass("entropy_hex", DIGITS + "ABCDEF", 24, 3.01, r"[0-9][0-9A-F]*[A-F]|[A-F][0-9A-F]*[0-9]"),
+    EntropyClass("entropy_hex", DIGITS + "ABCDEF", 24, 3.01, r"^(?=.*[0-9])(?=.*[A-F])"),
     EntropyClass("entropy_base64", DIGITS + UPPER + LOWER + "+/_-", 24, 3.81, r"[0-9]"),
 )
 #: Candidates that match one of these are no secrets: UUIDs, paths and slugs of words, examples, one repeated unit.
+#: None needs more than a pass over a long candidate, nor a stack that grows with it (hence the `*+`).
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"(?i)example|sample|placeholder|changeme|your[_-]",
-    r"^[/_-]?([A-Za-z]+|[0-9]+)([/_+-]([A-Za-z]+|[0-9]+))*[/_-]?$",
+    r"^[/_-]?(?:[A-Za-z]+|[0-9]+)(?:[/_+-](?:[A-Za-z]+|[0-9]+))*+[/_-]?$",
     r"(?i)0123456789|abcdefghijkl",
     r"^(.{1,8})\1+$",
 )
@@ -103,13 +104,20 @@ def shape_spans(text: Column, shape: Shape, rank: int) -> Column:
 
 def hot_stretch(candidate: Column, kind: EntropyClass) -> Column:
     """(first, last): starts of the first and last window over the threshold; -1 where there is none."""
+    # The characters as an array, made once: looking one up takes as long at the end as at the start.
+    return F.transform(F.array(F.split(candidate, "")), lambda characters: _hot_stretch(characters, kind))[0]
+
+
+def _hot_stretch(characters: Column, kind: EntropyClass) -> Column:
+    def place(at: Column) -> Column:
+        return F.instr(F.lit(kind.alphabet), F.get(characters, (at - 1).cast("int")))
 
     def weight(count: Column) -> Column:
         return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
 
     def slid(state: Column, at: Column) -> Column:
-        enters = F.instr(F.lit(kind.alphabet), F.substring(candidate, at, F.lit(1)))
-        leaves = F.when(at > kind.window, F.instr(F.lit(kind.alphabet), F.substring(candidate, at - kind.window, F.lit(1)))).otherwise(0)
+        enters = place(at)
+        leaves = F.when(at > kind.window, place(at - kind.window)).otherwise(0)
         more = F.element_at(state["counts"], enters)
         less = F.when(leaves > 0, F.element_at(state["counts"], F.when(leaves > 0, leaves).otherwise(1)) + F.when(leaves == enters, 1).otherwise(0))
         total = state["total"] + weight(more + 1) - weight(more) + F.when(leaves > 0, weight(less - 1) - weight(less)).otherwise(0.0)
@@ -133,7 +141,7 @@ def hot_stretch(candidate: Column, kind: EntropyClass) -> Column:
         F.lit(-1).alias("first"),
         F.lit(-1).alias("last"),
     )
-    ends = F.sequence(F.lit(1), F.length(candidate))
+    ends = F.sequence(F.lit(1), F.size(characters))
     return F.aggregate(ends, empty, slid, lambda state: F.struct(state["first"].alias("first"), state["last"].alias("last")))
 
 

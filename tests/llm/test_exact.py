@@ -70,6 +70,15 @@ def test_contaminations_at_the_edges(spark, edge, edge_rows):
     )
 
 
+def test_long_texts_are_searched_in_pieces_that_miss_nothing(monkeypatch):
+    words = [b"w%d" % k for k in range(20_000)]
+    text = b" ".join(words)
+    items = decontamination.Items(list(range(0, 19_900, 50)), [b" ".join(words[a : a + 60]) for a in range(0, 19_900, 50)])
+    whole = items.contained([text], 0.8)
+    monkeypatch.setattr(decontamination, "LONG", 5_000)
+    assert items.contained([b"one", text, b""], 0.8) == [[], *whole, []] and len(whole[0]) == 398
+
+
 @pytest.mark.parametrize("size", [5, 6, 8, 9, 12, 13, 40, 200])
 def test_every_size_of_item_is_found(size):
     words = [b"w%d" % k for k in range(3000)]
@@ -132,6 +141,15 @@ def test_secret_scan(spark, sf_dir, make, edge):
     assert secret_scan.scan(edge.limit(0)).count() == 0
 
 
+def test_long_runs_take_no_quadratic_time(make):
+    import random
+
+    draw = random.Random(4)
+    runs = ["1" * 300_000, "a-b-" * 50_000, "".join(draw.choices(secret_scan.CLASSES[1].alphabet, k=60_000)), "ab" * 100_000]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(make([(k, t, "en", "s") for k, t in enumerate(runs)])).collect()}
+    assert got[0] == f"hex:0:{300_000}" and got[1] == "" and "entropy_base64:0:60000" in got[2] and got[3] == f"hex:0:{200_000}"
+
+
 def test_redaction(make, edge):
     docs = make([(k, t, "en", "s") for k, t in enumerate(SECRETS)] + [(99, "a token=abcdefg" * 3 + " z", "en", "s")])
     for frame in (docs, edge):
