@@ -30,14 +30,18 @@ class JdbcSplit:
         }
 
 
+#: In place of a split: the table is small enough for one task.
+SMALL = None
+
+
 def read_jdbc(
     spark: SparkSession,
     table: str,
     connection: Mapping[str, str],
-    split: JdbcSplit | None = None,
+    split: JdbcSplit | None,
     fetch_size: int = 10_000,
 ) -> DataFrame:
-    """One table over JDBC. Without a split a single task reads it, which suits small tables only."""
+    """One table over JDBC, read by ranges of a column; `SMALL` reads it in a single task."""
     options = {**connection, "dbtable": table, "fetchsize": str(fetch_size)}
     if split is not None:
         options |= split.options()
@@ -46,9 +50,11 @@ def read_jdbc(
 
 @dataclass(frozen=True)
 class TableLoad:
+    """A table to copy. How to split the read has to be said; `SMALL` says that one task will do."""
+
     source: str
     target: str
-    split: JdbcSplit | None = None
+    split: JdbcSplit | None
     options: Mapping[str, str] = field(default_factory=dict)
 
 

@@ -14,18 +14,22 @@ ENVELOPE = "key binary, value binary, timestamp timestamp, partition int, offset
 
 
 def source_options(
-    servers: str, topic: str, max_offsets: int = 10_000, security: Mapping[str, str] | None = None
+    servers: str,
+    topic: str,
+    max_offsets: int | None = None,
+    security: Mapping[str, str] | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Read a topic from its start at a limited rate, going on when old messages have expired.
+    """Read a topic from its start, stopping with an error when unread messages have expired.
 
-    `security` holds kafka.* options such as kafka.security.protocol and kafka.sasl.jaas.config.
+    `max_offsets` bounds a micro-batch; without it a batch takes all there is. `security` holds kafka.* options such as kafka.security.protocol and kafka.sasl.jaas.config.
     """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(max_offsets),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
+        **({} if max_offsets is None else {"maxOffsetsPerTrigger": str(max_offsets)}),
         **(security or {}),
     }
 

@@ -55,11 +55,20 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str],
         ordered.write.insertInto(table, overwrite=True)
 
 
-def append_merged(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Append to a log table, adding columns the table lacks and filling columns the frame lacks."""
+def append_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+    """Add rows to a partitioned table that exists."""
+    _gather(df, partition_by).select(*df.sparkSession.table(table).columns).write.insertInto(table)
+
+
+def append_merged(df: DataFrame, table: str, fmt: str = "parquet", run: str | None = None) -> None:
+    """Append to a log table, adding columns the table lacks and filling columns the frame lacks.
+
+    With `run` the table is partitioned by that column, and a run that is repeated replaces its own rows.
+    """
     spark = df.sparkSession
+    by = [] if run is None else [run]
     if not spark.catalog.tableExists(table):
-        df.write.format(fmt).saveAsTable(table)
+        df.write.format(fmt).partitionBy(*by).saveAsTable(table)
         return
     known = spark.table(table).schema
     new = [f for f in df.schema if f.name not in known.names]
@@ -67,7 +76,9 @@ def append_merged(df: DataFrame, table: str, fmt: str = "parquet") -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     shape = spark.createDataFrame([], spark.table(table).schema)
-    shape.unionByName(df, allowMissingColumns=True).write.insertInto(table)
+    rows = shape.unionByName(df, allowMissingColumns=True)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if by else "static"):
+        rows.write.insertInto(table, overwrite=bool(by))
 
 
 def tag_table(spark: SparkSession, table: str, properties: Mapping[str, str], comment: str | None = None) -> None:

@@ -1,15 +1,15 @@
-"""Streams: bronze ingest, stateless silver facts, bounded dedup, touched-day gold refresh."""
+"""Streams: bronze ingest, one row per order, stateless silver facts, touched-day gold refresh."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.operators.reviews import CueRules, Scorer, fact_review
-from ordermill.operators.silver import conform_orders, fact_order_items, fact_orders
+from ordermill.operators.silver import fact_order_items, fact_orders, unify_orders
 from ordermill.sources import kafka, sinks
 
 
@@ -20,20 +20,52 @@ def bronze_stream(
     return sinks.stream_to_table(kafka.bronze_orders(messages), table, checkpoint, every)
 
 
-def dedup_within(
-    orders: DataFrame, key: str = "order_id", event_time: str = "timestamp", lateness: str = "1 day"
-) -> DataFrame:
-    """First row per key within the lateness bound.
+def append_unseen(batch: DataFrame, table: str, key: str, day: str) -> None:
+    """Append the rows whose key the table does not hold yet under the batch's days; create the table if need be.
 
-    State is dropped behind the watermark, so a copy arriving later than that passes; the batch
-    `unify_orders` has the last word. A key with very many copies costs one state entry.
+    Copies of an order carry its timestamp, so they share its day: only those partitions are read, however
+    late a row is. A batch that is replayed finds its own rows and adds none.
     """
-    timed = orders.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
+    spark = batch.sparkSession
+    if not spark.catalog.tableExists(table):
+        sinks.overwrite_table(batch, table, partition_by=[day])
+        return
+    stored = on_days(spark.read.table(table), day, days_of(batch, day)).select(key)
+    sinks.append_partitions(batch.join(stored, key, "left_anti"), table, [day])
 
 
-def silver_order_stream(bronze: DataFrame, source: str = "streaming_kafka", lateness: str = "1 day") -> DataFrame:
-    return dedup_within(conform_orders(bronze, source), lateness=lateness)
+def silver_order_stream(
+    bronze: DataFrame,
+    table: str,
+    checkpoint: str,
+    source: str = "streaming_kafka",
+    every: str | None = None,
+    naive_tz: str | None = None,
+    day: str = "order_date",
+) -> StreamingQuery:
+    """Bronze to unified orders, one row per order id, partitioned by day.
+
+    No state and no watermark: an order is compared with the stored orders of its day, so one that
+    arrives late is kept like any other, and a copy is left out whenever it comes.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            survivors = unify_orders([(source, batch)], naive_tz)
+            append_unseen(survivors.withColumn(day, F.to_date("timestamp")), table, "order_id", day)
+        finally:
+            batch.unpersist()
+
+    return _each_batch(bronze, add, checkpoint, every)
+
+
+def _each_batch(
+    stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
+) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
 
 
 def fact_order_stream(
@@ -62,36 +94,44 @@ def fact_review_stream(
     return sinks.stream_to_table(fact_review(reviews, scorer, rules), table, checkpoint, every)
 
 
-def touched_days(facts: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """The facts of every day that occurs in the batch.
+def days_of(batch: DataFrame, day: str) -> list:
+    """The distinct days of a micro-batch; as many values as the batch has days."""
+    return [row[0] for row in batch.select(day).distinct().collect()]
 
-    The batch's first and last day bound the partitions read; the semi-join then picks the days.
-    """
-    first, last = batch.agg(F.min(day), F.max(day)).first()
-    between = facts.filter(F.col(day).between(first, last))
-    return between.join(batch.select(day).distinct(), day, "left_semi")
+
+def on_days(facts: DataFrame, day: str, days: Sequence) -> DataFrame:
+    """The rows of the listed days and no others: a literal list prunes partitions exactly."""
+    known = [d for d in days if d is not None]
+    wanted = F.col(day).isin(known)
+    return facts.filter(wanted | F.col(day).isNull() if len(known) < len(days) else wanted)
 
 
 def refresh_daily(
     spark: SparkSession,
     facts_stream: DataFrame,
-    facts_table: str,
+    facts_tables: str | Sequence[str],
     gold_table: str,
-    mart: Callable[[DataFrame], DataFrame],
+    mart: Callable[..., DataFrame],
     checkpoint: str,
     day: str = "order_date",
     every: str | None = None,
+    dimensions: Sequence[str] = (),
 ) -> StreamingQuery:
     """Keep a per-day mart current: each micro-batch recomputes the days it touches.
 
-    The days are recomputed from the facts table and overwrite their partitions, so replaying a
-    batch after a failure gives the same table.
+    `mart` gets the touched days of each facts table, then the dimension tables whole. The days are
+    recomputed from the tables and overwrite their partitions, so replaying a batch after a failure gives
+    the same table. Facts tables that have no column of the day's name are not cut to the days.
     """
+    names = [facts_tables] if isinstance(facts_tables, str) else list(facts_tables)
 
     def recompute(batch: DataFrame, batch_id: int) -> None:
-        facts = batch.sparkSession.read.table(facts_table)
-        sinks.overwrite_partitions(mart(touched_days(facts, batch, day)), gold_table, [day])
-
-    writer = facts_stream.writeStream.foreachBatch(recompute).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.start()
+        days = days_of(batch, day)
+        if not days:
+            return
+        session = batch.sparkSession
+        facts = [on_days(t, day, days) if day in t.columns else t for t in map(session.read.table, names)]
+        whole = [session.read.table(name) for name in dimensions]
+        sinks.overwrite_partitions(on_days(mart(*facts, *whole), day, days), gold_table, [day])
+
+    return _each_batch(facts_stream, recompute, checkpoint, every)

@@ -1,10 +1,12 @@
 import json
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from ordermill.functions.payload import count_items
-from ordermill.session import materialise, shared_folder
+from ordermill.session import discard, materialise, shared_folder
 from ordermill.sources import batch, kafka, sinks
 
 
@@ -19,14 +21,14 @@ def test_jdbc_load_counts_rows_and_reads_in_parallel(spark, derby, database):
     split = batch.JdbcSplit("id", 0, 100, 4)
     df = batch.read_jdbc(spark, "numbers", derby, split)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 100
-    loads = [batch.TableLoad("numbers", f"{database}.numbers_raw", split), batch.TableLoad("numbers", f"{database}.again")]
+    loads = [batch.TableLoad("numbers", f"{database}.numbers_raw", split), batch.TableLoad("numbers", f"{database}.again", batch.SMALL)]
     assert batch.load_tables(spark, loads, derby) == {f"{database}.numbers_raw": 100, f"{database}.again": 100}
     assert spark.table(f"{database}.numbers_raw").agg(F.sum("id")).first()[0] == 4950
 
 
 def test_jdbc_filters_reach_the_database(spark, derby):
     spark.range(10).selectExpr("id").write.format("jdbc").options(**derby, dbtable="few").mode("overwrite").save()
-    plan = batch.read_jdbc(spark, "few", derby).filter("id > 7")._jdf.queryExecution().executedPlan().toString()
+    plan = batch.read_jdbc(spark, "few", derby, batch.SMALL).filter("id > 7")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*IsNotNull(id), *GreaterThan(id,7)]" in plan
 
 
@@ -45,13 +47,15 @@ def test_csv_is_published_and_a_missing_file_is_skipped(spark, derby, tmp_path):
     path.write_text("customer_id,name,email,phone,city,join_date\nC1,Ann,a@b,1,X,2024-01-01\n")
     assert batch.publish_csv(spark, str(path), batch.CUSTOMERS_CSV, "customers", derby)
     assert not batch.publish_csv(spark, str(tmp_path / "none.csv"), batch.CUSTOMERS_CSV, "customers", derby)
-    assert batch.read_jdbc(spark, "customers", derby).count() == 1
+    assert batch.read_jdbc(spark, "customers", derby, batch.SMALL).count() == 1
 
 
 def test_kafka_options():
     options = kafka.source_options("host:1", "orders", security=kafka.scram_security("u", "p", "/ca.pem", "Login"))
-    assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "10000"
-    assert options["failOnDataLoss"] == "false" and options["kafka.security.protocol"] == "SASL_SSL"
+    assert options["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in options
+    limited = kafka.source_options("host:1", "orders", 500, fail_on_data_loss=False)
+    assert limited["maxOffsetsPerTrigger"] == "500" and limited["failOnDataLoss"] == "false"
+    assert options["failOnDataLoss"] == "true" and options["kafka.security.protocol"] == "SASL_SSL"
     assert options["kafka.sasl.jaas.config"] == 'Login required username="u" password="p";'
 
 
@@ -120,20 +124,32 @@ def test_namespaces_are_created_once_and_again(spark):
     spark.sql("DROP DATABASE bronze_x")
 
 
-def test_materialised_frames_live_in_the_shared_folder(spark):
+def test_materialised_frames_live_in_the_shared_folder_until_discarded(spark):
     df = materialise(spark.range(5), "five")
     assert df.count() == 5 and shared_folder(spark) in df.inputFiles()[0]
+    folder = Path(df.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists()
+    discard(df)
+    assert not folder.exists()
 
 
-def test_only_a_local_master_may_use_a_temp_folder():
-    from types import SimpleNamespace
-
-    def session(master):
+def test_scratch_goes_to_the_named_folder_or_the_warehouse():
+    def session(master, **settings):
         return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: default),
+            conf=SimpleNamespace(get=lambda key, *default: settings.get(key, *default)),
             sparkContext=SimpleNamespace(master=master, applicationId="app"),
         )
 
-    assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
-    with pytest.raises(ValueError):
-        shared_folder(session("yarn"))
+    for master in ("local[2]", "yarn"):
+        unset = session(master, **{"spark.sql.warehouse.dir": "s3://lake/warehouse"})
+        assert shared_folder(unset) == "s3://lake/warehouse/_scratch/app"
+        named = session(master, **{"spark.checkpoint.dir": "hdfs:///scratch/"})
+        assert shared_folder(named) == "hdfs:///scratch/app"
+
+
+def test_a_repeated_run_replaces_its_own_log_rows(spark, database):
+    table = f"{database}.runs"
+    for value in (1, 2):
+        sinks.append_merged(spark.sql(f"SELECT {value} AS v, 'a' AS run"), table, run="run")
+    sinks.append_merged(spark.sql("SELECT 3 AS v, 'new' AS note, 'b' AS run"), table, run="run")
+    assert {(r.run, r.v, r.note) for r in spark.table(table).collect()} == {("a", 2, None), ("b", 3, "new")}

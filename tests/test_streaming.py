@@ -61,8 +61,11 @@ def test_facts_from_the_stream_equal_the_batch_facts(spark, topic, database, tmp
     topic.send(payload(1), payload(2, "cancelled"), payload(3), payload(1))
     done(flows.bronze_stream(topic.read(), bronze, str(tmp_path / "c0")))
 
+    unified_table = f"{database}.unified"
+    done(flows.silver_order_stream(batch.read_stream_table(spark, bronze), unified_table, str(tmp_path / "s")))
+
     def silver_stream():
-        return flows.silver_order_stream(batch.read_stream_table(spark, bronze))
+        return batch.read_stream_table(spark, unified_table)
 
     done(flows.fact_order_stream(silver_stream(), f"{database}.orders", str(tmp_path / "c1"), metrics="orders"))
     done(flows.fact_item_stream(silver_stream(), f"{database}.items", str(tmp_path / "c2")))
@@ -77,8 +80,7 @@ def test_stream_dedup_spans_batches(spark, topic, database, tmp_path):
     table, checkpoint = f"{database}.silver", str(tmp_path / "c")
 
     def run():
-        bronze = kafka.bronze_orders(topic.read())
-        done(sinks.stream_to_table(flows.silver_order_stream(bronze), table, checkpoint))
+        done(flows.silver_order_stream(kafka.bronze_orders(topic.read()), table, checkpoint))
 
     topic.send(payload(1), payload(1), payload(2))
     run()
@@ -87,18 +89,26 @@ def test_stream_dedup_spans_batches(spark, topic, database, tmp_path):
     assert sorted(r.order_id for r in spark.table(table).collect()) == ["O1", "O2", "O3"]
 
 
-def test_late_rows_behind_the_watermark_are_dropped(spark, topic, database, tmp_path):
+def test_late_orders_are_kept_and_late_copies_are_not(spark, topic, database, tmp_path):
     table, checkpoint = f"{database}.silver", str(tmp_path / "c")
 
     def run():
-        stream = flows.silver_order_stream(kafka.bronze_orders(topic.read()), lateness="1 hour")
-        done(sinks.stream_to_table(stream, table, checkpoint))
+        done(flows.silver_order_stream(kafka.bronze_orders(topic.read()), table, checkpoint))
 
     topic.send(payload(1, day=10))
     run()
-    topic.send(payload(2, day=3), payload(3, day=11))
+    topic.send(payload(2, day=3), payload(3, day=12))
+    run()
+    topic.send(payload(4, day=1), payload(2, day=3), payload(1, day=10))
     run()
-    assert sorted(r.order_id for r in spark.table(table).collect()) == ["O1", "O3"]
+    assert sorted(r.order_id for r in spark.table(table).collect()) == ["O1", "O2", "O3", "O4"]
+
+
+def test_a_replayed_batch_adds_nothing(spark, database):
+    orders = spark.createDataFrame([("A", "2024-01-01"), ("B", "2024-01-02")], "order_id string, day string")
+    for _ in range(3):
+        flows.append_unseen(orders, f"{database}.t", "order_id", "day")
+    assert spark.table(f"{database}.t").count() == 2
 
 
 def test_review_stream(spark, database, tmp_path):
@@ -120,8 +130,8 @@ def test_gold_refresh_recomputes_the_touched_days(spark, topic, database, tmp_pa
 
     def ingest(*values):
         topic.send(*values)
-        unified = flows.silver_order_stream(kafka.bronze_orders(topic.read()))
-        done(flows.fact_order_stream(unified, facts, str(tmp_path / "c1")))
+        done(flows.silver_order_stream(kafka.bronze_orders(topic.read()), f"{database}.u", str(tmp_path / "c0")))
+        done(flows.fact_order_stream(spark.readStream.table(f"{database}.u"), facts, str(tmp_path / "c1")))
 
     def refresh():
         stream = spark.readStream.table(facts)
@@ -139,14 +149,36 @@ def test_gold_refresh_recomputes_the_touched_days(spark, topic, database, tmp_pa
 
 
 def test_a_refresh_reads_only_the_touched_partitions(spark, database):
-    rows = [(n, f"2024-01-{n % 9 + 1:02d}") for n in range(90)]
+    rows = [(n, f"2024-01-{n % 28 + 1:02d}") for n in range(280)]
     facts = spark.createDataFrame(rows, "v int, order_date string")
     sinks.overwrite_table(facts, f"{database}.facts", partition_by=["order_date"])
-    batch = spark.createDataFrame([(1, "2024-01-03")], "v int, order_date string")
-    touched = flows.touched_days(spark.table(f"{database}.facts"), batch, "order_date")
-    assert touched.count() == 10
-    plan = touched._jdf.queryExecution().executedPlan().toString()
-    assert "(order_date#" in plan and ">= 2024-01-03)" in plan.split("PartitionFilters")[1]
+    batch = spark.createDataFrame([(1, "2024-01-03"), (1, "2024-01-27"), (2, "2024-01-27")], "v int, order_date string")
+    days = flows.days_of(batch, "order_date")
+    touched = flows.on_days(spark.table(f"{database}.facts"), "order_date", days)
+    assert sorted(days) == ["2024-01-03", "2024-01-27"] and touched.count() == 20
+    assert {f.split("order_date=")[1].split("/")[0] for f in touched.inputFiles()} == set(days)
+
+
+def test_item_popularity_from_a_stream_equals_the_batch(spark, topic, database, tmp_path):
+    menu = spark.createDataFrame([("V1", "a", "Stew", "Main", True)], "restaurant_id string, item_id string, name string, category string, is_vegetarian boolean")
+    menu.write.saveAsTable(f"{database}.menu")
+    facts, items, gold = (f"{database}.{n}" for n in ("facts", "items", "gold"))
+
+    def ingest(*values):
+        topic.send(*values)
+        done(flows.silver_order_stream(kafka.bronze_orders(topic.read()), f"{database}.u", str(tmp_path / "c0")))
+        for stream, table, place in ((flows.fact_order_stream, facts, "c1"), (flows.fact_item_stream, items, "c2")):
+            done(stream(spark.readStream.table(f"{database}.u"), table, str(tmp_path / place)))
+        done(flows.refresh_daily(
+            spark, spark.readStream.table(facts), [items, facts], gold, marts.daily_item_popularity, str(tmp_path / "c3"),
+            dimensions=[f"{database}.menu"],
+        ))
+
+    ingest(payload(1, day=5), payload(2, day=6))
+    ingest(payload(3, day=6), payload(4, day=9), payload(1, day=5))
+    whole = marts.daily_item_popularity(spark.table(items), spark.table(facts), spark.table(f"{database}.menu"))
+    got = spark.table(gold).select(*whole.columns)
+    assert got.count() == whole.count() == 3 and got.exceptAll(whole).isEmpty()
 
 
 def test_continuous_trigger_runs_until_stopped(spark, topic, database, tmp_path):
