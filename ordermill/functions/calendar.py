@@ -31,8 +31,15 @@ def parse_timestamp(df: DataFrame, name: str, naive_tz: str | None = None) -> Co
     parsed = F.try_to_timestamp(c)
     if naive_tz is None:
         return parsed
-    zoned = c.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    return F.when(zoned, parsed).otherwise(F.to_utc_timestamp(parsed, naive_tz))
+    # An offset, or a time with one, can follow a text only if it has none yet.
+    suffixes = ("+00:00", "T00:00:00+00:00")
+    naive = F.coalesce(*[F.expr(f"try_cast(concat(trim(`{name}`), '{x}') AS timestamp)") for x in suffixes]).isNotNull()
+    moved = F.expr(f"cast(convert_timezone({_text(naive_tz)}, current_timezone(), try_cast(`{name}` AS timestamp_ntz)) AS timestamp)")
+    return F.when(naive, moved).otherwise(parsed)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", r"\'") + "'"
 
 
 def day_name(c: Column | str) -> Column:

@@ -23,8 +23,12 @@ def choose(cases: Sequence[tuple[Column, Column]], default: Column) -> Column:
 
 
 def round_half_up(c: Column | str, digits: int) -> Column:
-    """Half-up rounding of a double by way of a decimal, so that 0.575 gives 0.58 on any engine."""
-    return F.round(_col(c).try_cast("decimal(28,10)"), digits).cast("double")
+    """Half-up rounding of a double by way of a decimal, so that 0.575 gives 0.58 on any engine.
+
+    A double of 2**53 or more has no digits behind the point and stays as it is, as do infinities.
+    """
+    value = _col(c).cast("double")
+    return F.when(F.abs(value) < 2.0**53, F.round(value.try_cast("decimal(28,10)"), digits).cast("double")).otherwise(value)
 
 
 def mean_money(total: Column, count: Column) -> Column:
@@ -82,7 +86,7 @@ def tier(c: Column | str, floors: Mapping[str, float], lowest: str) -> Column:
 def count_ids(c: Column, unique: bool) -> Column:
     """Count ids: a plain count where the grain makes the id unique, a distinct count elsewhere.
 
-    Several distinct counts in one aggregate make Spark copy each row once per count, so the
-    plain count is the default for tables whose builder guarantees the grain.
+    Several distinct counts in one aggregate make Spark copy each row once per count, so a caller
+    whose tables have one row per id says so.
     """
     return F.count(c) if unique else F.count_distinct(c)

@@ -17,7 +17,11 @@ ORDER_PAYLOAD = T.StructType(
 )
 
 
-def item_schema(precision: tuple[int, int] = (10, 2)) -> T.ArrayType:
+# Digits of a money column, and how many of them are cents.
+MONEY = (18, 2)
+
+
+def item_schema(precision: tuple[int, int] = MONEY) -> T.ArrayType:
     money = T.DecimalType(*precision)
     fields = {
         "item_id": T.StringType(),
@@ -30,7 +34,7 @@ def item_schema(precision: tuple[int, int] = (10, 2)) -> T.ArrayType:
     return T.ArrayType(T.StructType([T.StructField(n, t) for n, t in fields.items()]))
 
 
-def parse_items(c: Column, precision: tuple[int, int] = (10, 2)) -> Column:
+def parse_items(c: Column, precision: tuple[int, int] = MONEY) -> Column:
     """Items text to array<struct>; unreadable text gives NULL, an unreadable field a NULL field."""
     return F.from_json(c, item_schema(precision))
 

@@ -61,6 +61,91 @@ def aicc(aic: Column, n_obs: Column, n_params: Column) -> Column:
     return F.when(room > 0, aic + 2.0 * n_params * (n_params + 1) / room).otherwise(F.lit(float("inf")))
 
 
+def season_means(values: Column, steps: int, season: int = SEASON, weeks: int = 4) -> Column:
+    """Forecast by the mean of the last `weeks` values at the same place of the season."""
+
+    def mean_of(step: Column) -> Column:
+        place = F.size(values) + step % season
+        return sum((F.get(values, (place - season * w).cast("int")) for w in range(1, weeks + 1)), F.lit(0.0)) / float(weeks)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), mean_of)
+
+
+def season_mean_residuals(values: Column, season: int = SEASON, weeks: int = 4) -> Column:
+    """What that forecast, made one season ahead, has been off by within the series."""
+    first = season * weeks
+
+    def off_by(value: Column, place: Column) -> Column:
+        before = [F.get(values, (place + first - season * w).cast("int")) for w in range(1, weeks + 1)]
+        return value - sum(before, F.lit(0.0)) / float(weeks)
+
+    return F.transform(F.slice(values, F.lit(first + 1), F.greatest(_n(values) - first, F.lit(0))), off_by)
+
+
+def lag_line(values: Column, season: int = SEASON) -> Column:
+    """(offset, slope) of the least-squares line from the value a season ago; slope 0 where that never varies."""
+    pairs = F.greatest(_n(values) - season, F.lit(0))
+
+    def fitted(both: Column) -> Column:
+        x, y = both["x"], both["y"]
+        return bind(
+            F.struct(F.try_divide(total(x), F.size(x)).alias("x"), F.try_divide(total(y), F.size(y)).alias("y")),
+            lambda mean: bind(
+                F.coalesce(
+                    F.try_divide(
+                        total(F.zip_with(x, y, lambda a, b: (a - mean["x"]) * (b - mean["y"]))),
+                        total(F.transform(x, lambda a: (a - mean["x"]) * (a - mean["x"]))),
+                    ),
+                    F.lit(0.0),
+                ),
+                lambda slope: F.struct((mean["y"] - slope * mean["x"]).alias("offset"), slope.alias("slope")),
+            ),
+        )
+
+    sides = F.struct(F.slice(values, F.lit(1), pairs).alias("x"), F.slice(values, F.lit(season + 1), pairs).alias("y"))
+    return bind(sides, fitted)
+
+
+def lag_forecast(values: Column, line: Column, steps: int, season: int = SEASON) -> Column:
+    """The line applied season after season, starting from the last known one."""
+
+    def ahead(step: Column) -> Column:
+        known = F.get(values, (F.size(values) - season + step % season).cast("int"))
+        turns = F.sequence(F.lit(0), F.floor(step / season).cast("int"))
+        return F.aggregate(turns, known, lambda value, _: line["offset"] + line["slope"] * value)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), ahead)
+
+
+def lag_residuals(values: Column, line: Column, season: int = SEASON) -> Column:
+    pairs = F.greatest(_n(values) - season, F.lit(0))
+    before, after = F.slice(values, F.lit(1), pairs), F.slice(values, F.lit(season + 1), pairs)
+    return F.zip_with(before, after, lambda x, y: y - line["offset"] - line["slope"] * x)
+
+
+def median(values: Column) -> Column:
+    """The middle of a short array, or the mean of the two in the middle."""
+    half = F.floor(F.size(values) / 2).cast("int")
+    return bind(
+        F.array_sort(values),
+        lambda ranked: F.when(F.size(ranked) % 2 == 1, F.get(ranked, half)).otherwise(
+            (F.get(ranked, half - 1) + F.get(ranked, half)) / 2.0
+        ),
+    )
+
+
+def deviation(values: Column) -> Column:
+    """Sample standard deviation of an array; 0 for a single value."""
+
+    def spread(held: Column) -> Column:
+        return bind(
+            F.try_divide(total(held), F.size(held)),
+            lambda mean: F.sqrt(F.try_divide(total(F.transform(held, lambda x: (x - mean) * (x - mean))), F.size(held) - 1)),
+        )
+
+    return F.coalesce(bind(values, spread), F.lit(0.0))
+
+
 def chi_square_tail(x: Column, dof: int) -> Column:
     """P(X > x) of a chi-square with an even number of degrees of freedom, in closed form."""
     if dof % 2:

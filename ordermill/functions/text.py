@@ -10,8 +10,8 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = UPPER.lower()
+# What does not belong to a word: anything but letters and their marks, in any script.
+NO_LETTER = r"[^\p{L}\p{M}]+"
 
 
 def strip_brand(c: Column, brand: str) -> Column:
@@ -21,9 +21,8 @@ def strip_brand(c: Column, brand: str) -> Column:
 
 
 def spaced_words(c: Column) -> Column:
-    """The text's words in ASCII lower case with one space around each, for whole-word searches."""
-    folded = F.translate(c, UPPER, LOWER)
-    return F.concat(F.lit(" "), F.regexp_replace(folded, "[^a-z]+", " "), F.lit(" "))
+    """The text's words in lower case with one space around each, for whole-word searches."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(c), NO_LETTER, " "), F.lit(" "))
 
 
 def words_present(words: Column, cues: Iterable[str]) -> Column:

@@ -1,12 +1,13 @@
-"""Per-entity daily forecasts: a fitted model where it earns its keep, a weekday median elsewhere.
+"""Per-entity daily forecasts: a weekly model where it earns its keep, a weekday median elsewhere.
 
-Only model fitting runs in Python (`arimax.fit_entity`). Series building, error measures, the
-residual test, the fallback and the assembly of rows are DataFrame code.
+Everything is DataFrame code over one row per entity that holds its daily values as an array: two
+candidate models, their error on a holdout against a seasonal benchmark, the residual test, the
+fallback and the rows. A caller may supply another fitter in place of the two candidates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,14 +16,25 @@ from pyspark.sql import functions as F
 from ordermill.functions.calendar import DateLike, as_of_date
 from ordermill.functions.numbers import choose
 from ordermill.functions.series import (
+    aicc,
     all_but_last,
+    deviation,
+    lag_forecast,
+    lag_line,
+    lag_residuals,
     last,
     ljung_box_pvalue,
+    median,
     repeat_last_season,
+    season_mean_residuals,
+    season_means,
     skill,
+    total,
     wape,
 )
-from ordermill.operators.arimax import FIT_FIELDS, fit_entity
+
+# What the forecast table calls a row that the model made, and one that the fallback made.
+MODEL_LABEL, FALLBACK_LABEL = "WEEKLY_MODEL", "SEASONAL_MEDIAN_FALLBACK"
 
 
 @dataclass(frozen=True)
@@ -43,8 +55,9 @@ class ForecastPlan:
     fallback_z: float = 1.28
     residual_level: float = 0.05
     lags: int = 10
+    mean_weeks: int = 4
     regressor_weekdays: Sequence[int] = (3, 4)  # Thursday and Friday, Monday being 0
-    fit_tasks: int | None = None  # tasks for fitting; default: the session's shuffle partitions
+    fit_tasks: int | None = None  # tasks for the work per entity; default: the session's shuffle partitions
 
     def __post_init__(self):
         if self.min_history < max(5 * self.lags, 4 * self.season + self.holdout):
@@ -97,20 +110,16 @@ def history_gate(profile: DataFrame, plan: ForecastPlan = ForecastPlan()) -> Dat
 
 
 def calendar_features(series: DataFrame, plan: ForecastPlan = ForecastPlan()) -> DataFrame:
-    """The model's inputs per day: log value, weekday regressors, holdout flag."""
-    last_day = series.groupBy(plan.entity).agg(F.max(plan.date).alias("_last"))
+    """A model's inputs per day: log value, weekday regressors, holdout flag."""
+    last_day = F.max(plan.date).over(Window.partitionBy(plan.entity))
     weekday = F.weekday(plan.date)
     flags = {f"is_weekday_{k}": (weekday == k).cast("int") for k in plan.regressor_weekdays}
-    return (
-        series.join(last_day, plan.entity)
-        .withColumns(
-            {
-                "log_value": F.log1p(plan.value),
-                **flags,
-                "is_holdout": F.col(plan.date) > F.date_sub("_last", plan.holdout),
-            }
-        )
-        .drop("_last")
+    return series.withColumns(
+        {
+            "log_value": F.log1p(plan.value),
+            **flags,
+            "is_holdout": F.col(plan.date) > F.date_sub(last_day, plan.holdout),
+        }
     )
 
 
@@ -181,10 +190,8 @@ def _future_days(profile: DataFrame, plan: ForecastPlan) -> DataFrame:
     )
 
 
-def _median_interval(plan: ForecastPlan) -> dict[str, Column]:
-    """Point and bounds of the fallback; the lower bound has a floor but no ceiling."""
-    middle, spread = F.col("median_value"), F.lit(plan.fallback_z) * F.col("deviation")
-    cap = F.col("capacity_cap")
+def _bounds(middle: Column, spread: Column, cap: Column) -> dict[str, Column]:
+    """Point and bounds; the lower bound has a floor but no ceiling."""
     return {
         "predicted_revenue": _clip(middle, cap),
         "lower_ci": _clip(middle - spread),
@@ -197,90 +204,160 @@ def median_forecast(profile: DataFrame, plan: ForecastPlan = ForecastPlan()) ->
     fit_for = profile.filter(has_history(plan))
     future = _future_days(fit_for.drop("values"), plan).withColumn("weekday", F.weekday("forecast_date"))
     joined = future.join(weekday_medians(fit_for, plan), [plan.entity, "weekday"])
-    bounds = [c.alias(name) for name, c in _median_interval(plan).items()]
+    spread = F.lit(plan.fallback_z) * F.col("deviation")
+    bounds = [c.alias(name) for name, c in _bounds(F.col("median_value"), spread, F.col("capacity_cap")).items()]
     return joined.select(plan.entity, "forecast_date", *bounds, "n_obs_used")
 
 
+# The columns of a diagnostics row.
 DIAGNOSTICS = [
     "sarima_order", "sarima_seasonal_order", "aic", "aicc", "ljung_box_pvalue", "residuals_pass",
     "holdout_mape_pct", "naive_wape_pct", "skill_vs_naive_pct", "n_obs_used", "status",
 ]
 
+#: What a fitter adds to a profile row: the model's name and period, its information criteria, its forecast of
+#: the holdout made without it, its residuals, and point, lower and upper bound per future day. A fitter that
+#: fails for an entity leaves `future` NULL and says why in `fit_error`.
+FIT_COLUMNS = ["model_order", "model_seasonal_order", "aic", "aicc", "holdout", "residuals", "future", "fit_error"]
+Fitter = Callable[[DataFrame, "ForecastPlan"], DataFrame]
+
+
+def weekly_models(profile: DataFrame, plan: ForecastPlan = ForecastPlan()) -> DataFrame:
+    """The better of two weekly models on the holdout, by built-in functions over the array of values.
+
+    One repeats the mean of the last weeks per weekday. The other regresses the log of a day's value on
+    that of a week before and is applied week after week. Equal errors, or none to compare, keep the first.
+    """
+    season, ahead, z = plan.season, plan.horizon, plan.interval_z
+    values = F.when(has_history(plan), F.col("values"))
+    logs = F.transform(values, F.log1p)
+    known, known_logs = all_but_last(values, plan.holdout), all_but_last(F.col("_logs"), plan.holdout)
+    actual = last(values, plan.holdout)
+    fitted = profile.withColumn("_logs", logs).withColumns(
+        {"_line": lag_line(F.col("_logs"), season), "_held_line": lag_line(known_logs, season)}
+    )
+    fitted = fitted.withColumns(
+        {
+            "_by_mean": season_means(known, plan.holdout, season, plan.mean_weeks),
+            "_by_lag": F.transform(lag_forecast(known_logs, F.col("_held_line"), plan.holdout, season), F.expm1),
+        }
+    )
+    lag_wins = F.coalesce(wape(F.col("_by_lag"), actual) < wape(F.col("_by_mean"), actual), F.lit(False))
+    fitted = fitted.withColumn("_lag", lag_wins)
+    by_lag = F.col("_lag")
+    fitted = fitted.withColumn(
+        "residuals",
+        F.when(by_lag, lag_residuals(F.col("_logs"), F.col("_line"), season)).otherwise(
+            season_mean_residuals(values, season, plan.mean_weeks)
+        ),
+    )
+    squares = F.try_divide(total(F.transform("residuals", lambda r: r * r)), F.size("residuals"))
+    fitted = fitted.withColumn("_variance", squares)
+    reach = F.lit(z) * F.sqrt("_variance")
+
+    def bounds(middle: Column, back: Callable[[Column], Column]) -> Column:
+        return F.transform(
+            middle,
+            lambda x: F.struct(
+                back(x).alias("predicted_revenue"), back(x - reach).alias("lower_ci"), back(x + reach).alias("upper_ci")
+            ),
+        )
 
-def fit_models(series: DataFrame, plan: ForecastPlan = ForecastPlan()) -> DataFrame:
-    """One fitted model per entity; the input has at most one row per entity and day."""
-    fit = fit_entity(
-        plan.entity, plan.date, plan.value, list(plan.regressor_weekdays), plan.holdout, plan.horizon
+    future = F.when(by_lag, bounds(lag_forecast(F.col("_logs"), F.col("_line"), ahead, season), F.expm1)).otherwise(
+        bounds(season_means(values, ahead, season, plan.mean_weeks), lambda x: x)
     )
-    key_type = series.schema[plan.entity].dataType.simpleString()
-    return series.groupBy(plan.entity).applyInPandas(fit, f"{plan.entity} {key_type}, {FIT_FIELDS}")
+    n, parameters = F.size("residuals"), F.when(by_lag, F.lit(3)).otherwise(F.lit(1))
+    aic = F.when(F.col("_variance") > 0, n * F.log("_variance") + 2.0 * parameters)
+    return fitted.withColumns(
+        {
+            "model_order": F.when(by_lag, F.lit("weekly lag")).otherwise(F.lit(f"mean of {plan.mean_weeks} weeks")),
+            "model_seasonal_order": F.lit(str(season)),
+            "aic": aic,
+            "aicc": F.when(aic.isNotNull(), aicc(aic, n, parameters)),
+            "holdout": F.when(by_lag, F.col("_by_lag")).otherwise(F.col("_by_mean")),
+            "future": F.when(has_history(plan), future),
+            "fit_error": F.lit(None).cast("string"),
+        }
+    ).select(*profile.columns, *FIT_COLUMNS)
+
+
+def _fallback_days(plan: ForecastPlan) -> Column:
+    """Point and bounds of the fallback per future day, from the same weekdays of the last days."""
+    values, cap = F.col("values"), F.col("capacity_cap")
+
+    def day(step: Column) -> Column:
+        # Weekdays repeat every 7 days; the day `step` ahead is at place n + step - 1.
+        first = F.size(values) + (step - 1) % 7 - 7 * F.floor(F.lit(plan.fallback_days) / 7)
+        alike = F.transform(
+            F.filter(F.sequence(F.lit(0), F.lit(plan.fallback_days // 7)), lambda w: first + 7 * w < F.size(values)),
+            lambda w: F.get(values, (first + 7 * w).cast("int")),
+        )
+        bounds = _bounds(median(alike), F.lit(plan.fallback_z) * deviation(alike), cap)
+        return F.struct(*[c.alias(name) for name, c in bounds.items()])
 
+    return F.transform(F.sequence(F.lit(1), F.lit(plan.horizon)), day)
 
-def forecast(perf: DataFrame, plan: ForecastPlan = ForecastPlan(), as_of: DateLike | Column = None) -> DataFrame:
+
+def forecast(
+    perf: DataFrame,
+    plan: ForecastPlan = ForecastPlan(),
+    as_of: DateLike | Column = None,
+    fitter: Fitter = weekly_models,
+) -> DataFrame:
     """Forecast rows and one diagnostics row per entity, told apart by `record_type`.
 
-    Write the result once and split the written table: every action on it fits all models again.
-    The explicit number of tasks keeps the adaptive planner from merging the small series into few
-    of them; their exchange by entity serves gap filling, fits and profile alike.
+    The input is read once. All work per entity happens in the row that holds its values, so nothing is
+    joined back; the explicit number of tasks keeps the adaptive planner from merging the small series
+    into few of them. Write the result once and split the written table.
     """
-    spark = perf.sparkSession
-    tasks = plan.fit_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    series = regular_series(perf, plan, tasks)
-    profile = series_profile(series, plan)
-    length = F.count(F.lit(1)).over(Window.partitionBy(plan.entity))
-    counted = series.withColumn("n_obs_used", length).filter(has_history(plan)).drop("n_obs_used")
-    fits = fit_models(counted, plan)
-
-    known = profile.join(fits, plan.entity, "left")
-    scored = holdout_scores(known, F.transform("holdout_mean", F.expm1), plan)
+    if plan.fallback_days % 7:
+        raise ValueError("fallback_days must be whole weeks")
+    tasks = plan.fit_tasks or int(perf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    profile = series_profile(regular_series(perf, plan, tasks), plan)
+    scored = holdout_scores(fitter(profile, plan), F.col("holdout"), plan)
     tested = residual_test(scored, F.col("residuals"), plan)
-    fitted = F.col("future_mean").isNotNull()
+    fitted = F.col("future").isNotNull()
     status = choose(
         [(~has_history(plan), skipped_status(plan)), (~fitted, F.col("fit_error"))],
         fallback_status(plan),
     )
     judged = (
         tested.withColumn("status", status)
-        .withColumnRenamed("model_order", "sarima_order")
-        .withColumnRenamed("model_seasonal_order", "sarima_seasonal_order")
-        .withColumns({c: F.when(fitted, F.col(c)) for c in ("residuals_pass", "ljung_box_pvalue")})
+        .withColumnsRenamed({"model_order": "sarima_order", "model_seasonal_order": "sarima_seasonal_order"})
+        .withColumns({c: F.when(fitted, F.col(c)) for c in DIAGNOSTICS if c not in ("n_obs_used", "status")})
     )
-
-    steps = F.when(fitted, F.sequence(F.lit(0), F.lit(plan.horizon))).otherwise(F.array(F.lit(0)))
-    rows = judged.withColumn("step", F.explode(steps)).select(
-        plan.entity, "step", "last_date", "capacity_cap", *DIAGNOSTICS,
-        F.get("future_mean", F.col("step") - 1).alias("log_mean"),
-        F.get("future_se", F.col("step") - 1).alias("log_se"),
+    capped = F.transform(
+        "future",
+        lambda day: F.struct(
+            _clip(day["predicted_revenue"], F.col("capacity_cap")).alias("predicted_revenue"),
+            _clip(day["lower_ci"]).alias("lower_ci"),
+            _clip(day["upper_ci"], F.col("capacity_cap")).alias("upper_ci"),
+        ),
+    )
+    days = F.when(fitted, F.when(F.col("status") == "OK", capped).otherwise(_fallback_days(plan)))
+    numbers = ["predicted_revenue", "lower_ci", "upper_ci"]
+    nothing = F.struct(*[F.lit(None).cast("double").alias(c) for c in numbers])
+    # The diagnostics row goes first, at step 0. The outer form infers no filter on the array, which the optimizer
+    # would move below the steps above, to work all of them out a second time.
+    rows = judged.withColumn("_days", F.concat(F.array(nothing), F.coalesce(days, F.array().cast(_DAYS)))).select(
+        plan.entity, "last_date", *DIAGNOSTICS, F.posexplode_outer("_days").alias("step", "day")
     )
-    rows = rows.withColumn("forecast_date", F.when(F.col("step") > 0, F.date_add("last_date", F.col("step"))))
-    rows = rows.withColumn("weekday", F.weekday("forecast_date"))
-    rows = rows.join(weekday_medians(profile, plan), [plan.entity, "weekday"], "left")
-
-    reach = F.lit(plan.interval_z) * F.col("log_se")
-    cap = F.col("capacity_cap")
-    modelled = {
-        "predicted_revenue": _clip(F.expm1("log_mean"), cap),
-        "lower_ci": _clip(F.expm1(F.col("log_mean") - reach)),
-        "upper_ci": _clip(F.expm1(F.col("log_mean") + reach), cap),
-    }
-    fallback = _median_interval(plan)
     is_forecast = F.col("step") > 0
-    numbers = [
-        F.when(is_forecast, F.when(F.col("status") == "OK", modelled[name]).otherwise(fallback[name])).alias(name)
-        for name in modelled
-    ]
     return rows.select(
         plan.entity,
         F.when(is_forecast, "forecast").otherwise("diagnostics").alias("record_type"),
-        "forecast_date",
-        *numbers,
+        F.when(is_forecast, F.date_add("last_date", F.col("step"))).alias("forecast_date"),
+        *[F.col(f"day.{c}").alias(c) for c in numbers],
         *DIAGNOSTICS,
         as_of_date(as_of).alias("model_run_date"),
     )
 
 
+_DAYS = "array<struct<predicted_revenue:double,lower_ci:double,upper_ci:double>>"
+
+
 def forecast_rows(mixed: DataFrame, plan: ForecastPlan = ForecastPlan()) -> DataFrame:
-    method = F.when(F.col("status") == "OK", "ARIMAX").otherwise("SEASONAL_MEDIAN_FALLBACK")
+    method = F.when(F.col("status") == "OK", MODEL_LABEL).otherwise(FALLBACK_LABEL)
     return mixed.filter(F.col("record_type") == "forecast").select(
         plan.entity, "forecast_date", "predicted_revenue", "lower_ci", "upper_ci",
         "n_obs_used", "model_run_date", method.alias("forecast_method"),

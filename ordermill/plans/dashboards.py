@@ -32,11 +32,12 @@ def forecast_total(forecasts: DataFrame, venues: DataFrame) -> DataFrame:
     return with_venue_name(totals, venues)
 
 
-def diagnostics_footer(latest: DataFrame, venues: DataFrame) -> DataFrame:
+def diagnostics_footer(latest: DataFrame, venues: DataFrame, model_name: str = "Weekly model") -> DataFrame:
     """One line of text on model health: about the venue if there is one, else about the chain.
 
     Takes the latest run per venue; the log of all runs would mix old and new verdicts.
     """
+    # The wording of both lines.
     def text(c: Column) -> Column:
         return c.cast("string")
 
@@ -54,7 +55,7 @@ def diagnostics_footer(latest: DataFrame, venues: DataFrame) -> DataFrame:
         F.lit(" | Holdout WAPE: "), *wape_text(F.max("holdout_mape_pct")),
         F.lit(" | Residuals: "), F.max("residuals_pass"),
         F.lit(" | Model used: "),
-        F.when(F.max("status") == "OK", "ARIMAX").otherwise("Seasonal-median fallback"),
+        F.when(F.max("status") == "OK", model_name).otherwise("Seasonal-median fallback"),
     )
     chain = F.concat(
         F.lit("Chain-Wide Status (as of "), text(F.max("model_run_date")), F.lit(") | Avg Holdout WAPE: "),

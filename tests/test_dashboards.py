@@ -27,7 +27,7 @@ def footer(spark, *rows):
 
 def test_footer_for_one_venue(spark):
     text = footer(spark, ("V1", "(1, 0, 1)", 12.345, "PASS", "OK", DAY))
-    assert text == "Branch: Acme One | Order: (1, 0, 1) | Holdout WAPE: 12.3% | Residuals: PASS | Model used: ARIMAX"
+    assert text == "Branch: Acme One | Order: (1, 0, 1) | Holdout WAPE: 12.3% | Residuals: PASS | Model used: Weekly model"
     text = footer(spark, ("V9", "(1, 0, 1)", 12.0, "FAIL", "OK_FALLBACK_SEASONAL_MEDIAN", DAY))
     assert text.startswith("Branch: V9") and text.endswith("Model used: Seasonal-median fallback")
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import series as ts
 from ordermill.functions.calendar import days_between
-from ordermill.operators import arimax
 from ordermill.operators import forecast as fc
 
 START = dt.date(2024, 1, 1)  # a Monday
@@ -24,7 +23,7 @@ def perf(spark, **series):
 def weekly(n, noise=0.02, seed=1):
     rng = np.random.default_rng(seed)
     pattern = np.array([100, 110, 120, 150, 250, 180, 90.0])
-    return [pattern[i % 7] * (1 + 0.001 * i) * math.exp(noise * rng.standard_normal()) for i in range(n)]
+    return [float(pattern[i % 7] * (1 + 0.001 * i) * math.exp(noise * rng.standard_normal())) for i in range(n)]
 
 
 def white(n, seed=2):
@@ -156,39 +155,55 @@ def test_status_follows_residuals_and_skill(mixed):
             assert (row.status == "OK") == good
 
 
-def test_a_failing_fit_is_reported_and_does_not_stop_the_rest():
-    import pandas as pd
-
-    run = arimax.fit_entity("k", "d", "v", [3, 4], 14, 14)
-    rows = pd.DataFrame({"d": pd.date_range("2024-01-01", periods=5), "v": [1.0] * 5})
-    out = run(("x",), rows)
-    assert out.loc[0, "k"] == "x" and out.loc[0, "fit_error"].startswith("FIT_FAILED")
-
-
-def test_unit_root_test():
-    rng = np.random.default_rng(0)
-    noise = rng.standard_normal(400)
-    assert not arimax.has_unit_root(noise)
-    assert arimax.has_unit_root(np.cumsum(noise))
-
-
-def test_forecast_recursion_continues_a_pure_seasonal_walk():
-    y = np.array([10.0, 11, 12, 13, 20, 15, 9] * 20)
-    exog = np.zeros((len(y) + 14, 2))
-    s = arimax.DifferencedSeries(y, exog[: len(y)], 0, 1)
-    mean, se = s.forecast({"beta": np.zeros(2), "ar": {}, "ma": {}}, y, exog, 14)
-    assert np.allclose(mean, y[:14]) and np.all(np.diff(se) >= 0)
-
-
-def test_ar_coefficients_are_recovered():
-    rng = np.random.default_rng(3)
-    y = np.zeros(3000)
-    for t in range(2, len(y)):
-        y[t] = 0.6 * y[t - 1] - 0.3 * y[t - 2] + rng.standard_normal()
-    s = arimax.DifferencedSeries(y, np.zeros((len(y), 1)), 0, 0)
-    model, _, k = s.solve((2, 0, 0, 0))
-    assert model["ar"][1] == pytest.approx(0.6, abs=0.06) and model["ar"][2] == pytest.approx(-0.3, abs=0.06)
-    assert k == 4
+def test_a_failing_fit_is_reported_and_does_not_stop_the_rest(spark):
+    def picky(profile, plan):
+        fits = fc.weekly_models(profile, plan)
+        odd = F.col("restaurant_id") == "odd"
+        return fits.withColumns(
+            {"future": F.when(~odd, F.col("future")), "fit_error": F.when(odd, F.lit("FIT_FAILED: no"))}
+        )
+
+    rows = fc.forecast(perf(spark, odd=weekly(120), fine=weekly(120)), as_of="2024-08-01", fitter=picky).collect()
+    assert diagnostics(rows)["odd"].status == "FIT_FAILED: no" and diagnostics(rows)["odd"].aicc is None
+    assert len([r for r in rows if r.record_type == "forecast"]) == 14
+
+
+def test_lag_line_against_numpy(spark):
+    values = weekly(120, noise=0.3)
+    line = one(spark, ts.lag_line(F.col("v")), v=values)
+    slope, offset = np.polyfit(values[:-7], values[7:], 1)
+    assert line.slope == pytest.approx(slope) and line.offset == pytest.approx(offset)
+    got = one(spark, ts.lag_forecast(F.col("v"), ts.lag_line(F.col("v")), 14), v=values)
+    first = [offset + slope * x for x in values[-7:]]
+    assert got == pytest.approx(first + [offset + slope * x for x in first])
+    errors = one(spark, ts.lag_residuals(F.col("v"), ts.lag_line(F.col("v"))), v=values)
+    assert errors == pytest.approx([y - offset - slope * x for x, y in zip(values, values[7:])])
+
+
+def test_season_means_and_their_errors(spark):
+    values = weekly(60, noise=0.3)
+    got = one(spark, ts.season_means(F.col("v"), 14), v=values)
+    assert got == pytest.approx([np.mean([values[60 + h % 7 - 7 * w] for w in range(1, 5)]) for h in range(14)])
+    errors = one(spark, ts.season_mean_residuals(F.col("v")), v=values)
+    assert errors == pytest.approx([values[t] - np.mean([values[t - 7 * w] for w in range(1, 5)]) for t in range(28, 60)])
+
+
+@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0, 1.0, 3.0], [4.0, 4.0, 4.0, 10.0]])
+def test_median_and_deviation(spark, values):
+    assert one(spark, ts.median(F.col("v")), v=values) == np.median(values)
+    wanted = np.std(values, ddof=1) if len(values) > 1 else 0.0
+    assert one(spark, ts.deviation(F.col("v")), v=values) == pytest.approx(wanted)
+
+
+def test_fallback_days_equal_the_median_forecast(spark, mixed):
+    data = perf(spark, flat=[50.0] * 120, noise=white(200))
+    table = {(r.restaurant_id, r.forecast_date): r for r in fc.median_forecast(fc.series_profile(fc.regular_series(data))).collect()}
+    fallen = [r for r in mixed if r.record_type == "forecast" and r.status == "OK_FALLBACK_SEASONAL_MEDIAN" and (r.restaurant_id, r.forecast_date) in table]
+    assert fallen
+    for r in fallen:
+        want = table[r.restaurant_id, r.forecast_date]
+        for column in ("predicted_revenue", "lower_ci", "upper_ci"):
+            assert r[column] == pytest.approx(want[column])
 
 
 def test_latest_diagnostics_takes_the_newest_run(spark):
