@@ -1,8 +1,7 @@
 """Gold marts over order headers, order lines, reviews and dimensions.
 
-Grain: one row per order id in the order facts and per review id in the review facts, which the
-silver builders provide. Pass `unique_ids=False` for tables without that guarantee: ids are then
-counted distinctly. Every grouping combines on the map side, so a venue or customer with a large
+Ids are counted distinctly. Pass `unique_ids=True` for facts with one row per id, as the batch builders
+make them: a plain count then does, and no row is copied for it. Every grouping combines on the map side, so a venue or customer with a large
 part of all rows reaches the reducers as one partial row per task.
 """
 
@@ -71,18 +70,26 @@ def daily_sales_summary(
 
     A cast that overflows stops the job, so the revenue type leaves room for a day of any size.
     """
-    measures = [
+    kinds = [f"{kind}_orders" for kind in ORDER_TYPES]
+    good = valid_orders(orders, ok_statuses)
+    per_venue = good.groupBy("order_date", "restaurant_id").agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("total_amount").cast(revenue_type).alias("total_revenue"),
-        F.count_distinct("restaurant_id").alias("unique_restaurants"),
-        *[
-            F.count(F.when(F.col("order_type") == kind, F.col("order_id"))).alias(f"{kind}_orders")
-            for kind in ORDER_TYPES
-        ],
-    ]
-    if sketch:
-        measures.insert(2, F.hll_sketch_agg("customer_id").alias("customer_hll_sketch"))
-    return valid_orders(orders, ok_statuses).groupBy("order_date").agg(*measures)
+        F.sum("total_amount").alias("total_revenue"),
+        *[F.count(F.when(F.col("order_type") == kind, F.col("order_id"))).alias(f"{kind}_orders") for kind in ORDER_TYPES],
+    )
+    days = per_venue.groupBy("order_date").agg(
+        F.sum("total_orders").alias("total_orders"),
+        F.sum("total_revenue").cast(revenue_type).alias("total_revenue"),
+        # One row per venue here, so a plain count of the known ones is the distinct count.
+        F.count("restaurant_id").alias("unique_restaurants"),
+        *[F.sum(kind).alias(kind) for kind in kinds],
+    )
+    if not sketch:
+        return days
+    # Apart from the venues: a sketch per day and task moves, none per venue.
+    sketches = good.groupBy("order_date").agg(F.hll_sketch_agg("customer_id").alias("customer_hll_sketch"))
+    joined = days.join(sketches.withColumnRenamed("order_date", "_day"), F.col("order_date").eqNullSafe(F.col("_day")))
+    return joined.select("order_date", "total_orders", "total_revenue", "customer_hll_sketch", "unique_restaurants", *kinds)
 
 
 def merged_customers(summary: DataFrame, *keys: str) -> DataFrame:
@@ -91,7 +98,7 @@ def merged_customers(summary: DataFrame, *keys: str) -> DataFrame:
     return summary.groupBy(*keys).agg(F.coalesce(estimate, F.lit(0)).alias("unique_customers"))
 
 
-def restaurant_reviews(reviews: DataFrame, venues: DataFrame, unique_ids: bool = True) -> DataFrame:
+def restaurant_reviews(reviews: DataFrame, venues: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Review count, mean, star counts and sentiment counts per venue; every venue is kept."""
     per_venue = reviews.groupBy("restaurant_id").agg(
         count_ids(F.col("review_id"), unique_ids).alias("total_reviews"),
@@ -118,7 +125,7 @@ def with_customer_share(pairs: DataFrame) -> DataFrame:
 
 
 def customer_venue_orders(
-    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = True
+    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = False
 ) -> DataFrame:
     """Order totals per customer and venue."""
     return (
@@ -134,7 +141,7 @@ def customer_venue_orders(
 
 
 def customer_order_share(
-    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = True
+    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = False
 ) -> DataFrame:
     """Order profile of each customer at each venue."""
     return with_customer_share(customer_venue_orders(orders, ok_statuses, unique_ids))
@@ -163,7 +170,7 @@ def customer_restaurant_preference(
     smoothing: float = 3.0,
     experience_weights: Mapping[str, float] = EXPERIENCE_WEIGHTS,
     preference_weights: Mapping[str, float] = PREFERENCE_WEIGHTS,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """Score and rank the venues of each customer by behaviour, recency and experience.
 
@@ -256,7 +263,7 @@ def customer_360(
     loyalty_floors: Mapping[str, float] = LOYALTY_FLOORS,
     active_days: int = ACTIVE_DAYS,
     at_risk_days: int = AT_RISK_DAYS,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """One row per known customer: orders, reviews, preferred venue, loyalty and activity."""
     ordering = (
@@ -322,7 +329,7 @@ def customer_360(
 
 
 def venue_customers(
-    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = True
+    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, unique_ids: bool = False
 ) -> DataFrame:
     """Totals per venue and customer: the one shuffle of orders that the venue profile needs."""
     amount = F.col("total_amount")
@@ -357,7 +364,7 @@ def _named(measures: Mapping[str, Column]) -> list[Column]:
 
 
 def repeat_customer_stats(
-    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, repeat_from: int = 2, unique_ids: bool = True
+    orders: DataFrame, ok_statuses: Sequence[str] = SUCCESS_STATUSES, repeat_from: int = 2, unique_ids: bool = False
 ) -> DataFrame:
     pairs = venue_customers(orders, ok_statuses, unique_ids)
     return pairs.groupBy("restaurant_id").agg(*_named(_loyalty_measures(repeat_from)))
@@ -372,7 +379,7 @@ def restaurant_360(
     smoothing: float = 10.0,
     repeat_from: int = 2,
     health_weights: Mapping[str, float] = HEALTH_WEIGHTS,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """One row per venue: orders, loyalty, delivery, reviews, complaints and a health score.
 
@@ -469,7 +476,7 @@ def daily_restaurant_performance(
     as_of: DateLike | Column = None,
     ok_statuses: Sequence[str] = SUCCESS_STATUSES,
     weekend_days: Sequence[str] = ("Friday",),
-    unique_ids: bool = True,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """One row per venue and day from its first order to `as_of`, without gaps."""
     good = valid_orders(orders, ok_statuses)
@@ -495,7 +502,8 @@ def daily_restaurant_performance(
             rate(_is("negative")).alias("daily_negative_ratio"),
         )
     )
-    first_days = good.groupBy("restaurant_id").agg(F.min("order_date").alias("first_day"))
+    # The first day is the first one with sales, so orders are not read again for it.
+    first_days = sales.groupBy("restaurant_id").agg(F.min("activity_date").alias("first_day"))
     calendar = days_between(first_days, "first_day", as_of_date(as_of), "activity_date").select(
         "restaurant_id",
         "activity_date",

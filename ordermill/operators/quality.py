@@ -45,6 +45,11 @@ def order_rules(statuses: Iterable[str] = ORDER_STATUSES, payments: Iterable[str
     }
 
 
+def readable_rules(*columns: str) -> dict[str, str]:
+    """A value that its column's type has no room for fails by name, apart from one that is missing."""
+    return {f"readable_{c}": f"{c}_readable" for c in columns}
+
+
 def order_item_rules() -> dict[str, str]:
     return {
         **required("order_id", "order_timestamp", "order_date", "restaurant_id", "item_id"),

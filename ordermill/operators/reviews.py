@@ -55,22 +55,22 @@ class CueRules:
     issues: Mapping[str, Mapping[str, Sequence[str]]] = field(
         default_factory=lambda: {
             "delivery": {
-                "severe": ("never arrived", "hours late", "idiot"),
+                "severe": ("never arrived", "hours late"),
                 "moderate": ("very late", "late delivery", "wrong address"),
                 "minor": ("bit late", "slightly late", "slow delivery"),
             },
             "food_quality": {
                 "severe": ("disgusting", "inedible", "spoiled", "raw"),
-                "moderate": ("stale", "undercooked", "burnt", "trash"),
+                "moderate": ("stale", "undercooked", "burnt"),
                 "minor": ("bland", "lukewarm", "too salty"),
             },
             "pricing": {
-                "severe": ("worthless", "rip off", "daylight robbery"),
+                "severe": ("rip off", "daylight robbery"),
                 "moderate": ("overpriced", "not worth"),
                 "minor": ("pricey", "a bit expensive"),
             },
             "portion_size": {
-                "severe": ("left hungry", "pathetic"),
+                "severe": ("left hungry",),
                 "moderate": ("tiny portion", "half empty"),
                 "minor": ("small portion", "rather small"),
             },

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.calendar import day_name, is_day, parse_timestamp
-from ordermill.functions.payload import ORDER_FIELDS, count_items, parse_items
+from ordermill.functions.payload import MONEY, ORDER_FIELDS, count_items, parse_items
 from ordermill.operators.quality import (
     apply_expectations,
     dimension_rules,
     order_item_rules,
     order_rules,
+    readable_rules,
 )
 
 Metrics = Observation | str | None
@@ -34,9 +35,9 @@ def unify_orders(sources: Sequence[tuple[str, DataFrame]], naive_tz: str | None
     """Union of the order sources with one row per order id.
 
     Sources come in order of preference. The survivor of an id is the row of the most preferred
-    source, then the newest `created_at`, then the smallest row, so reruns agree. A minimum over a
-    struct combines on the map side: an id with very many copies shrinks to one row per task
-    before the shuffle, which a row_number window would not do.
+    source, then the newest `created_at`, then the smallest hash of the row, then the smallest row, so
+    reruns agree. Rows move once, by id, and are sorted once, after the exchange, by id and that compact
+    key. Equal copies beyond the survivor cost one step of a running number, however many there are.
     """
     tagged = [
         conform_orders(df, label, naive_tz).withColumn("preference", F.lit(place))
@@ -46,19 +47,25 @@ def unify_orders(sources: Sequence[tuple[str, DataFrame]], naive_tz: str | None
     for other in tagged[1:]:
         union = union.unionByName(other)
     payload = [c for c in [*ORDER_FIELDS, "source_system"] if c != "order_id"]
-    age = F.coalesce(-F.unix_micros("created_at"), F.lit(2**63 - 1)).alias("age")
-    survivor = F.min(F.struct("preference", age, *payload)).alias("survivor")
-    return (
-        union.groupBy("order_id").agg(survivor)
-        .select("order_id", *[F.col(f"survivor.{c}").alias(c) for c in payload])
-        .select(*ORDER_FIELDS, "source_system")
+    keyed = union.withColumns(
+        {
+            "_age": F.coalesce(-F.unix_micros("created_at"), F.lit(2**63 - 1)),
+            "_hash": F.xxhash64(*payload),
+        }
     )
+    order = Window.partitionBy("order_id").orderBy("preference", "_age", "_hash", *payload)
+    numbered = keyed.repartition("order_id").withColumn("_place", F.row_number().over(order))
+    return numbered.filter("_place = 1").select(*ORDER_FIELDS, "source_system")
 
 
 def order_headers(
-    unified: DataFrame, weekend_days: Sequence[str] = ("Friday",), precision: tuple[int, int] = (10, 2)
+    unified: DataFrame, weekend_days: Sequence[str] = ("Friday",), precision: tuple[int, int] = MONEY
 ) -> DataFrame:
-    """Order header columns before any quality rule. An amount too large for the type is NULL."""
+    """Order header columns before any quality rule.
+
+    An amount too large for the type is NULL; `total_amount_readable` tells it from a missing one.
+    """
+    amount = F.col("total_amount").try_cast("decimal({},{})".format(*precision))
     at = F.col("timestamp").cast("timestamp")
     return unified.select(
         "order_id",
@@ -71,17 +78,23 @@ def order_headers(
         "customer_id",
         "order_type",
         count_items(F.col("items")).alias("item_count"),
-        F.col("total_amount").try_cast("decimal({},{})".format(*precision)).alias("total_amount"),
+        amount.alias("total_amount"),
         "payment_method",
         "order_status",
+        (amount.isNotNull() | F.col("total_amount").isNull()).alias("total_amount_readable"),
     )
 
 
+def header_rules() -> dict[str, str]:
+    return order_rules() | readable_rules("total_amount")
+
+
 def fact_orders(unified: DataFrame, metrics: Metrics = None, **options) -> DataFrame:
-    return apply_expectations(order_headers(unified, **options), order_rules(), metrics)
+    headers = order_headers(unified, **options)
+    return apply_expectations(headers, header_rules(), metrics).drop("total_amount_readable")
 
 
-def order_lines(unified: DataFrame, precision: tuple[int, int] = (10, 2)) -> DataFrame:
+def order_lines(unified: DataFrame, precision: tuple[int, int] = MONEY) -> DataFrame:
     """One row per order line before any quality rule; orders without readable items give none."""
     at = F.col("timestamp").cast("timestamp")
     exploded = unified.select(
@@ -108,11 +121,11 @@ def fact_order_items(unified: DataFrame, metrics: Metrics = None, **options) ->
     return apply_expectations(order_lines(unified, **options), order_item_rules(), metrics)
 
 
-def with_items_total(unified: DataFrame, precision: tuple[int, int] = (10, 2)) -> DataFrame:
+def with_items_total(unified: DataFrame, precision: tuple[int, int] = MONEY) -> DataFrame:
     """Headers with the sum of their lines, folded inside the array: no explode, no shuffle."""
     lines = parse_items(F.col("items"), precision)
-    zero = F.lit(0).cast("decimal(20,2)")
-    total = F.aggregate(lines, zero, lambda acc, x: (acc + x["subtotal"]).cast("decimal(20,2)"))
+    zero = F.lit(0).cast("decimal(28,2)")
+    total = F.aggregate(lines, zero, lambda acc, x: (acc + x["subtotal"]).cast("decimal(28,2)"))
     return unified.withColumns(
         {
             "order_timestamp": F.col("timestamp").cast("timestamp"),
@@ -138,7 +151,7 @@ def dim_customer(raw: DataFrame, metrics: Metrics = None) -> DataFrame:
     return _dimension(raw, ["customer_id", "name", "phone", "city", joined], ["customer_id", "join_date"], metrics)
 
 
-def dim_menu_item(raw: DataFrame, metrics: Metrics = None, precision: tuple[int, int] = (10, 2)) -> DataFrame:
+def dim_menu_item(raw: DataFrame, metrics: Metrics = None, precision: tuple[int, int] = MONEY) -> DataFrame:
     price = F.col("price").try_cast("decimal({},{})".format(*precision)).alias("price")
     vegetarian = F.col("is_vegetarian").try_cast("boolean").alias("is_vegetarian")
     columns = ["restaurant_id", "item_id", "name", "category", price, "ingredients", vegetarian, "spice_level"]

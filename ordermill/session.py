@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +38,7 @@ def local_session(cores: int | str = "*", app_name: str = "ordermill", **extra:
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("ORDERMILL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "ordermill"))
         # Without call sites in error messages, a plan of many expressions is built in half the time.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -49,24 +49,36 @@ def local_session(cores: int | str = "*", app_name: str = "ordermill", **extra:
     return spark
 
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="ordermill-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder. Only a local master may fall back to a temp folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder(spark.sparkContext.applicationId)
+    """The shared scratch folder that `spark.checkpoint.dir` names; where it is unset, one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back, so several outputs share one run."""
+    """Write a frame to the shared folder and read it back, so several outputs share one run.
+
+    The files go when the application ends, or before by `discard`.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
+    folder, files = _hadoop(spark, path)
+    files.deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files behind a frame that `materialise` gave."""
+    spark = df.sparkSession
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if spark.sparkContext.applicationId not in path:
+            raise ValueError(f"not a frame of the shared folder: {path}")
+        folder, files = _hadoop(spark, path)
+        files.delete(folder, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and the file system it is in, whichever kind that is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

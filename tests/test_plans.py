@@ -44,17 +44,17 @@ def test_filter_and_columns_reach_the_scan(silver_tables):
 def test_marts_do_not_expand_rows_for_distinct_counts(silver_tables):
     t = silver_tables
     for df in (
-        marts.restaurant_360(t["venues"], t["orders"], t["reviews"], fx.AS_OF),
-        marts.daily_restaurant_performance(t["orders"], t["reviews"], t["venues"], fx.AS_OF),
-        marts.restaurant_reviews(t["reviews"], t["venues"]),
-        marts.customer_restaurant_preference(t["orders"], t["reviews"], fx.AS_OF),
+        marts.restaurant_360(t["venues"], t["orders"], t["reviews"], fx.AS_OF, unique_ids=True),
+        marts.daily_restaurant_performance(t["orders"], t["reviews"], t["venues"], fx.AS_OF, unique_ids=True),
+        marts.restaurant_reviews(t["reviews"], t["venues"], unique_ids=True),
+        marts.customer_restaurant_preference(t["orders"], t["reviews"], fx.AS_OF, unique_ids=True),
     ):
         assert "Expand" not in plan_of(df)
 
 
 def test_venue_profile_reads_orders_once(silver_tables):
     t = silver_tables
-    plan = plan_of(marts.restaurant_360(t["venues"], t["orders"], t["reviews"], fx.AS_OF))
+    plan = plan_of(marts.restaurant_360(t["venues"], t["orders"], t["reviews"], fx.AS_OF, unique_ids=True))
     assert len(re.findall(r"FileScan parquet \[order_id", plan)) == 1
 
 
@@ -72,7 +72,8 @@ def exchanges(df):
 
 def test_preference_windows_share_one_exchange(silver_tables, no_broadcast):
     found = exchanges(
-        marts.customer_restaurant_preference(silver_tables["orders"], silver_tables["reviews"], fx.AS_OF))
+        marts.customer_restaurant_preference(
+            silver_tables["orders"], silver_tables["reviews"], fx.AS_OF, unique_ids=True))
     # orders and reviews by pair, then the pairs by customer; the join moves nothing
     assert sorted(found) == ["customer_id", "customer_id, restaurant_id", "customer_id, restaurant_id"]
 
@@ -84,20 +85,41 @@ def test_item_popularity_adds_no_exchange_for_the_distinct_count(silver_tables,
     assert len(found) == 5 and not any("order_id" in keys and "item_id" in keys for keys in found)
 
 
-def test_series_are_moved_once_by_entity_for_gaps_profile_and_fits(silver_tables, no_broadcast):
-    sales = silver_tables["orders"].selectExpr(
-        "restaurant_id", "order_date AS activity_date", "total_amount AS daily_revenue")
-    found = exchanges(fc.forecast(sales, as_of=fx.AS_OF))
-    assert set(found) <= {"restaurant_id", "restaurant_id, activity_date", "restaurant_id, weekday", "restaurant_id, _groupingexpression"}
-    plan = plan_of(fc.forecast(sales, as_of=fx.AS_OF))
-    fit = plan[plan.index("FlatMapGroupsInPandas"):]
-    assert fit[: fit.index("REPARTITION_BY_NUM")].count("Exchange") == 1
+def test_dedup_sorts_no_rows_before_the_exchange(spark, sf_dir, tmp_path):
+    cq.fx.historical_orders_raw(spark, sf_dir).write.parquet(str(tmp_path / "orders"))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    plan = plan_of(silver.unify_orders([("a", orders), ("b", orders)]))
+    assert plan.count("Exchange") == 1 and "Sort" not in plan[plan.index("Exchange"):]
 
 
-def test_dedup_combines_before_the_shuffle(spark, sf_dir):
-    plan = plan_of(cq.unified(spark, sf_dir))
-    assert "partial_min(struct(preference" in plan.replace("named_struct(preference, preference", "struct(preference")
-    assert "Window" not in plan
+def test_sketches_do_not_move_per_venue(silver_tables):
+    plan = re.sub(r"#\d+L?", "", plan_of(marts.daily_sales_summary(silver_tables["orders"])))
+    moved = [line for line in plan.splitlines() if "hll" in line or "Exchange" in line]
+    for k, line in enumerate(moved):
+        if "partial_hll_sketch_agg" in line:
+            assert "hashpartitioning(order_date, " in moved[k - 1] or "hashpartitioning(order_date, " in moved[k - 2]
+    assert not any("hll" in line and "restaurant_id" in line for line in moved)
+
+
+def scans(df, column):
+    """File scans in the plan that really ran."""
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    return len(re.findall(rf"FileScan parquet \[[^\]]*{column}", final))
+
+
+def test_single_reads(spark, silver_tables):
+    t = silver_tables
+    sales = t["orders"].selectExpr("restaurant_id", "order_date AS activity_date", "total_amount AS daily_revenue")
+    assert scans(fc.forecast(sales, as_of=fx.AS_OF), "total_amount") == 1
+    assert scans(fc.calendar_features(fc.regular_series(sales)), "total_amount") == 1
+    performance = marts.daily_restaurant_performance(t["orders"], t["reviews"], t["venues"], fx.AS_OF, unique_ids=True)
+    # The calendar's first days come from the sales, whose exchange serves both.
+    final = plan_of(performance).split("== Initial Plan ==")[0]
+    assert "Expand" not in final
+    performance.collect()
+    final = plan_of(performance).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[order_id", final)) - final.count("ReusedExchange") <= 1
 
 
 @pytest.mark.parametrize("name", ["star_breakdown", "sentiment_distribution"])
@@ -117,20 +139,15 @@ def test_no_forced_broadcast_anywhere():
     from pathlib import Path
 
     root = Path(__file__).resolve().parent.parent
-    for path in [*root.glob("ordermill/**/*.py"), *root.glob("checks/*.py")]:
+    parts = ("functions", "operators", "plans", "sources", "streaming")
+    for path in [*(p for part in parts for p in root.glob(f"ordermill/{part}/*.py")), *root.glob("checks/*.py")]:
         source = path.read_text()
         assert "broadcast(" not in source and "localCheckpoint" not in source and "crossJoin" not in source, path
 
 
-def test_models_are_fitted_once_per_action(silver_tables):
-    t = silver_tables
-    performance = marts.daily_restaurant_performance(t["orders"], t["reviews"], t["venues"], fx.AS_OF)
-    plan = plan_of(fc.forecast(performance, as_of=fx.AS_OF))
-    assert plan.count("FlatMapGroupsInPandas") == 1
-
-
-def test_median_of_fits_runs_in_as_many_tasks_as_asked(silver_tables):
+def test_forecast_work_runs_in_as_many_tasks_as_asked(silver_tables):
     t = silver_tables
     performance = marts.daily_restaurant_performance(t["orders"], t["reviews"], t["venues"], fx.AS_OF)
     plan = plan_of(fc.forecast(performance, fc.ForecastPlan(fit_tasks=17), fx.AS_OF))
     assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(restaurant_id" in plan and ", 17)" in plan
+    assert "Pandas" not in plan and "Python" not in plan

@@ -95,3 +95,27 @@ def test_the_text_is_classified_once_per_row(spark):
     plan = rv.fact_review(texts(spark, "x"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") == 1
     assert plan.count("from_json") == 1
+
+
+def test_letters_of_any_script_belong_to_words(spark):
+    rules = rv.CueRules(positive=("вкусно", "délicieux"), negative=("ужасно",), issues={"food_quality": {"severe": ("raw",), "moderate": (), "minor": ("сырой",)}})
+    texts = [("a", "Очень ВКУСНО!"), ("b", "C'était délicieux."), ("c", "sërawé"), ("d", "стейк сырой"), ("e", "raw")]
+    df = spark.createDataFrame(texts, "k string, review_text string")
+    got = {r.k: r.analysis_json for r in rv.classify_by_cues(df, rules).collect()}
+    assert '"sentiment":"positive"' in got["a"] and '"sentiment":"positive"' in got["b"]
+    assert '"food_quality_severity":"none"' in got["c"] and '"food_quality_severity":"minor"' in got["d"]
+    assert '"food_quality_severity":"severe"' in got["e"]
+
+
+def test_insults_name_no_issue(spark):
+    df = spark.createDataFrame([("What an idiot of a parrot",)], "review_text string")
+    answer = rv.classify_by_cues(df).first().analysis_json
+    assert '"sentiment":"negative"' in answer and "true" not in answer
+
+
+def test_rounding_keeps_large_numbers(spark):
+    from ordermill.functions.numbers import round_half_up
+
+    row = spark.sql("SELECT 2e18D AS a, 0.575D AS b, -1e300D AS c, CAST(NULL AS double) AS d").select(
+        *[round_half_up(c, 2).alias(c) for c in "abcd"]).first()
+    assert tuple(row) == (2e18, 0.58, -1e300, None)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.functions.payload import ORDER_FIELDS, count_items, parse_items
-from ordermill.operators import silver
+from ordermill.operators import quality, silver
 
 RAW = ", ".join(f"{c} {'double' if c == 'total_amount' else 'string'}" for c in ORDER_FIELDS)
 
@@ -50,10 +50,10 @@ def test_dedup_is_idempotent_and_ignores_row_order(spark):
 
 def test_zoned_and_naive_timestamps(spark):
     df = frame(spark, order("zoned", "2024-01-05T10:00:00+03:30"), order("naive", "2024-01-05T10:00:00"),
-               order("bad", "yesterday"))
+               order("short", "2024-01-05T10:00:00+03"), order("day", "2024-01-05"), order("bad", "yesterday"))
     at = {r.order_id: r.timestamp for r in silver.conform_orders(df, "h", "Asia/Tehran").select(
         "order_id", F.date_format("timestamp", "HH:mm").alias("timestamp")).collect()}
-    assert at == {"zoned": "06:30", "naive": "06:30", "bad": None}
+    assert at == {"zoned": "06:30", "naive": "06:30", "short": "07:00", "day": "20:30", "bad": None}
 
 
 def test_real_timestamps_are_left_alone(spark):
@@ -64,10 +64,13 @@ def test_real_timestamps_are_left_alone(spark):
 
 def test_fact_orders_columns_and_drops(spark):
     df = silver.unify_orders([("h", frame(
-        spark, order("ok"), order(None), order("bad_time", "x"), order("huge", total=1e12), order("no_items", items="nope")))])
+        spark, order("ok"), order(None), order("bad_time", "x"), order("large", total=1e12), order("huge", total=1e17), order("no_items", items="nope")))])
     facts = silver.fact_orders(df)
     row = facts.collect()
-    assert [r.order_id for r in row] == ["ok"]
+    assert [r.order_id for r in sorted(row, key=lambda r: r.total_amount)] == ["ok", "large"]
+    row = [r for r in row if r.order_id == "ok"]
+    failed = {r.order_id: r.reasons for r in quality.quarantine(silver.order_headers(df), silver.header_rules()).collect()}
+    assert failed["huge"] == ["valid_total_amount", "readable_total_amount"]
     assert row[0].order_date == dt.date(2024, 1, 5) and row[0].order_hour == 10
     assert row[0].day_of_week == "Friday" and row[0].is_weekend is True
     assert silver.order_headers(df, weekend_days=("Saturday",)).filter("is_weekend").count() == 0
