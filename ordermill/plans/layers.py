@@ -2,90 +2,146 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.functions.calendar import DateLike
-from ordermill.operators import marts, silver
+from ordermill.functions.calendar import DateLike, parse_timestamp
+from ordermill.operators import marts, quality, silver
 from ordermill.operators.forecast import ForecastPlan, diagnostics_rows, forecast, forecast_rows
 from ordermill.operators.reviews import Scorer, fact_review
-from ordermill.session import materialise
+from ordermill.session import discard, materialise
 from ordermill.sources import sinks
 
 Tables = Callable[[str], DataFrame]
 
 
+Metrics = Observation | None
+
+
 @dataclass(frozen=True)
 class Step:
+    """A table and how to build it.
+
+    `build` may pass the observation on to a builder with rules, which then counts the failures of each.
+    `rejected` gives the rows that fail, for the quarantine table.
+    """
+
     table: str
-    build: Callable[[Tables], DataFrame]
+    build: Callable[[Tables, Metrics], DataFrame]
     partition_by: Sequence[str] = ()
+    comment: str | None = None
+    ruled: bool = False
+    rejected: Callable[[Tables], DataFrame] | None = None
 
     @property
     def layer(self) -> str:
         return self.table.split(".")[0]
 
 
-def _orders(t: Tables) -> DataFrame:
-    return silver.unify_orders(
-        [
-            ("historical_batch", t("bronze.historical_orders_raw")),
-            ("streaming_kafka", t("bronze.restaurant_orders_stream_bronze")),
-        ]
-    )
-
+def build_steps(as_of: DateLike = None, scorer: Scorer | None = None, naive_tz: str | None = None) -> list[Step]:
+    """Silver and gold tables in dependency order. Texts without an offset are times in `naive_tz`."""
 
-def build_steps(as_of: DateLike = None, scorer: Scorer | None = None) -> list[Step]:
-    """Silver and gold tables in dependency order."""
+    def from_silver(mart: Callable[..., DataFrame], *names: str, **options) -> Callable[[Tables, Metrics], DataFrame]:
+        return lambda t, seen: mart(*(t(name) for name in names), **options)
 
-    def from_silver(mart: Callable[..., DataFrame], *names: str, **options) -> Callable[[Tables], DataFrame]:
-        return lambda t: mart(*(t(name) for name in names), **options)
+    def with_rules(builder: Callable[..., DataFrame], name: str) -> Callable[[Tables, Metrics], DataFrame]:
+        return lambda t, seen: builder(t(name), metrics=seen)
 
-    orders, items, reviews = "silver.fact_orders", "silver.fact_order_items", "silver.fact_review"
+    unified, orders, items = "silver.orders_unified_silver", "silver.fact_orders", "silver.fact_order_items"
+    reviews = "silver.fact_review"
     venues, customers, menu = "silver.dim_restaurant", "silver.dim_customer", "silver.dim_menu_item"
     preference = "gold.customer_restaurant_preference"
 
-    def enriched(t: Tables) -> DataFrame:
+    def all_orders(t: Tables, seen: Metrics) -> DataFrame:
+        sources = ("historical_batch", "historical_orders_raw"), ("streaming_kafka", "restaurant_orders_stream_bronze")
+        return silver.unify_orders([(label, t(f"bronze.{name}")) for label, name in sources], naive_tz)
+
+    def enriched(t: Tables, seen: Metrics) -> DataFrame:
         raw = t("bronze.customer_reviews_raw")
-        return fact_review(raw.withColumn("review_timestamp", F.try_to_timestamp("review_timestamp")), scorer)
+        at = parse_timestamp(raw, "review_timestamp", naive_tz)
+        return fact_review(raw.withColumn("review_timestamp", at), scorer, metrics=seen)
 
+    def bad_orders(t: Tables) -> DataFrame:
+        return quality.quarantine(silver.order_headers(t(unified)), silver.header_rules())
+
+    def bad_items(t: Tables) -> DataFrame:
+        return quality.quarantine(silver.order_lines(t(unified)), quality.order_item_rules())
+
+    # One row per order and review id is what the builders above give, so plain counts do.
+    once = {"unique_ids": True}
     return [
-        Step("silver.orders_unified_silver", _orders),
-        Step(orders, from_silver(silver.fact_orders, "silver.orders_unified_silver"), ["order_date"]),
-        Step(items, from_silver(silver.fact_order_items, "silver.orders_unified_silver"), ["order_date"]),
-        Step(reviews, enriched),
-        Step(venues, from_silver(silver.dim_restaurant, "bronze.restaurants_raw")),
-        Step(customers, from_silver(silver.dim_customer, "bronze.customers_raw")),
-        Step(menu, from_silver(silver.dim_menu_item, "bronze.menu_items_raw")),
-        Step("gold.daily_sales_summary", from_silver(marts.daily_sales_summary, orders), ["order_date"]),
-        Step("gold.daily_restaurant_reviews", from_silver(marts.restaurant_reviews, reviews, venues)),
-        Step(preference, from_silver(marts.customer_restaurant_preference, orders, reviews, as_of=as_of)),
+        Step(unified, all_orders, comment="Orders of all sources, one row per order id"),
+        Step(orders, with_rules(silver.fact_orders, unified), ["order_date"], "One row per valid order", True, bad_orders),
+        Step(items, with_rules(silver.fact_order_items, unified), ["order_date"], "One row per valid order line", True, bad_items),
+        Step(reviews, enriched, comment="Reviews with sentiment and issues", ruled=True),
+        Step(venues, with_rules(silver.dim_restaurant, "bronze.restaurants_raw"), comment="Venues", ruled=True),
+        Step(customers, with_rules(silver.dim_customer, "bronze.customers_raw"), comment="Customers", ruled=True),
+        Step(menu, with_rules(silver.dim_menu_item, "bronze.menu_items_raw"), comment="Menu items per venue", ruled=True),
+        Step("gold.daily_sales_summary", from_silver(marts.daily_sales_summary, orders), comment="Sales per day"),
+        Step("gold.daily_restaurant_reviews", from_silver(marts.restaurant_reviews, reviews, venues, **once),
+             comment="Review counts per venue"),
+        Step(preference, from_silver(marts.customer_restaurant_preference, orders, reviews, as_of=as_of, **once),
+             comment="Preference score per customer and venue"),
         Step("gold.customer_360",
-             from_silver(marts.customer_360, customers, orders, reviews, preference, venues, as_of=as_of)),
-        Step("gold.restaurant_360", from_silver(marts.restaurant_360, venues, orders, reviews, as_of=as_of)),
-        Step("gold.daily_item_popularity",
-             from_silver(marts.daily_item_popularity, items, orders, menu), ["order_date"]),
+             from_silver(marts.customer_360, customers, orders, reviews, preference, venues, as_of=as_of, **once),
+             comment="Customer profile"),
+        Step("gold.restaurant_360", from_silver(marts.restaurant_360, venues, orders, reviews, as_of=as_of, **once),
+             comment="Venue profile"),
+        Step("gold.daily_item_popularity", from_silver(marts.daily_item_popularity, items, orders, menu), ["order_date"],
+             "Item sales per venue and day"),
         Step("gold.daily_restaurant_performance",
-             from_silver(marts.daily_restaurant_performance, orders, reviews, venues, as_of=as_of)),
-    ]
+             from_silver(marts.daily_restaurant_performance, orders, reviews, venues, as_of=as_of, **once),
+             comment="Sales and reviews per venue and day, without gaps"),
+    ]
+
 
+BUILD_LOG, QUARANTINE = "silver.build_log", "silver.quarantined_rows"
 
-def build_all(spark: SparkSession, steps: Sequence[Step]) -> None:
-    """Write every table of the list; bronze tables must exist."""
+
+def build_all(spark: SparkSession, steps: Sequence[Step], run: str | None = None) -> None:
+    """Write every table of the list; bronze tables must exist.
+
+    Rows written and failures per rule are counted while writing and kept in the build log under `run`
+    (default: the current time). Rows that fail a rule go to the quarantine table with their reasons.
+    """
     sinks.create_namespaces(spark)
+    run = run or dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
     for step in steps:
-        sinks.overwrite_table(step.build(spark.read.table), step.table, partition_by=step.partition_by)
-        sinks.tag_table(spark, step.table, {"quality": step.layer})
+        written, seen = Observation(f"written {step.table}"), Observation(f"rules {step.table}") if step.ruled else None
+        rows = step.build(spark.read.table, seen).observe(written, F.count(F.lit(1)).alias("rows"))
+        sinks.overwrite_table(rows, step.table, partition_by=step.partition_by)
+        sinks.tag_table(spark, step.table, {"quality": step.layer}, step.comment)
+        counts = {"rows_written": written.get["rows"], **(seen.get if seen else {})}
+        log = spark.createDataFrame(
+            [(step.table, name, int(n), run) for name, n in counts.items()],
+            "table_name string, measure string, value long, run string",
+        )
+        # The run and table make a partition, so a build that is repeated under one name replaces its counts.
+        sinks.append_merged(log.withColumn("part", F.concat_ws("/", "run", "table_name")), BUILD_LOG, run="part")
+        if step.rejected is not None:
+            failed = step.rejected(spark.read.table)
+            body = [c for c in failed.columns if c != "reasons"]
+            sinks.append_merged(
+                failed.select(F.to_json(F.struct(*body)).alias("row"), "reasons", F.lit(step.table).alias("table_name")),
+                QUARANTINE,
+                run="table_name",
+            )
 
 
 def publish_forecasts(
     spark: SparkSession, performance: DataFrame, plan: ForecastPlan = ForecastPlan(), as_of: DateLike = None
 ) -> None:
-    """Fit once, then write the forecasts over the old ones and append the diagnostics to the log."""
+    """Fit once, then write the forecasts over the old ones and the diagnostics to the log of all runs.
+
+    A run that is repeated for a day replaces that day's diagnostics.
+    """
     sinks.create_namespaces(spark, ["platinum"])
     mixed = materialise(forecast(performance, plan, as_of), f"forecast-{plan.value}")
     sinks.overwrite_table(forecast_rows(mixed, plan), "platinum.daily_revenue_forecast_by_restaurant")
-    sinks.append_merged(diagnostics_rows(mixed, plan), "platinum.daily_revenue_forecast_diagnostics")
+    log = "platinum.daily_revenue_forecast_diagnostics"
+    sinks.append_merged(diagnostics_rows(mixed, plan), log, run="model_run_date")
+    discard(mixed)
