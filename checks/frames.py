@@ -5,7 +5,8 @@ Each frame is derived from whole tables; `checks.sql` states the same definition
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Sequence
+from functools import lru_cache, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,28 @@ BRAND = "Acme Table"
 LOYALTY_FLOORS = {"Platinum": 3_000_000, "Gold": 2_000_000, "Silver": 1_000_000}
 
 
-# Frames are lazy: one per session and folder will do, as with tables opened by name.
-frame = lru_cache(maxsize=512)
+# Folders of frames that were written out beforehand, by frame name and table folder.
+STORED: dict[tuple[str, str], str] = {}
+
+
+def frame(build):
+    """Frames are lazy: one per session and folder will do, as with tables opened by name."""
+    cached = lru_cache(maxsize=512)(build)
+
+    @wraps(build)
+    def opened(spark: SparkSession, sf_dir: str, *rest) -> DataFrame:
+        folder = None if rest else STORED.get((build.__name__, sf_dir))
+        return spark.read.parquet(folder) if folder else cached(spark, sf_dir, *rest)
+
+    return opened
+
+
+def store(spark: SparkSession, sf_dir: str, names: Sequence[str], folder: str) -> None:
+    """Write frames out and read them from there from now on, as a deployment reads its tables."""
+    for name in names:
+        path = f"{folder.rstrip('/')}/{name}"
+        globals()[name](spark, sf_dir).write.mode("overwrite").parquet(path)
+        STORED[name, sf_dir] = path
 
 
 @frame
@@ -141,10 +162,15 @@ def fact_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@frame
 def menu_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items a venue has sold, but for every tenth item, which the menu lacks."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_partkey % 10 <> 0").select("l_orderkey", "l_partkey")
+    """The menu without every tenth part, so that joins with it have something to leave out."""
+    return whole_menu_raw(spark, sf_dir).filter("CAST(substr(item_id, 2) AS bigint) % 10 <> 0")
+
+
+@frame
+def whole_menu_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items a venue has sold."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     sold = lines.join(_order_venue(spark, sf_dir), "l_orderkey").select("restaurant_id", "l_partkey").distinct()
     return sold.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         "restaurant_id",
@@ -183,22 +209,31 @@ def historical_orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @frame
-def _live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live share: overlaps the historical one, with zoned timestamps and another status."""
-    live = order_payloads(spark, sf_dir).filter("o_orderkey % 10 >= 6")
+def _sent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as a stream sends them: with zoned timestamps and another status."""
     zoned = {c: F.concat(c, F.lit("+00:00")) for c in ("timestamp", "created_at")}
-    return live.withColumns({**zoned, "order_status": F.lit("pending")})
+    return order_payloads(spark, sf_dir).withColumns({**zoned, "order_status": F.lit("pending")})
+
+
+def _live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live share, which overlaps the historical one."""
+    return _sent_orders(spark, sf_dir).filter("o_orderkey % 10 >= 6")
 
 
 def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live share in a message envelope; `items` is a real array inside the payload."""
+    """The live share in a message envelope."""
+    return all_messages(spark, sf_dir).filter("offset % 10 >= 6")
+
+
+def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in a message envelope; `items` is a real array inside the payload."""
     payload = [
         "order_id", "timestamp", "restaurant_id", "customer_id", "order_type", "items",
         "total_amount", "payment_method", "order_status", "created_at",
     ]
     array = "array<struct<item_id string, name string, quantity int, unit_price decimal(10,2), subtotal decimal(10,2)>>"
-    live = _live_orders(spark, sf_dir).withColumn("items", F.from_json("items", array))
-    return live.select(
+    sent = _sent_orders(spark, sf_dir).withColumn("items", F.from_json("items", array))
+    return sent.select(
         F.col("restaurant_id").cast("binary").alias("key"),
         F.to_json(F.struct(*payload)).cast("binary").alias("value"),
         F.to_timestamp("timestamp").alias("timestamp"),

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import frames as fx
-from ordermill.functions import series as ts
 from ordermill.functions.calendar import days_between
 from ordermill.functions.numbers import choose, round_half_up
-from ordermill.functions.payload import count_items, parse_items
+from ordermill.functions.payload import ORDER_FIELDS, parse_items
 from ordermill.functions.text import strip_brand
 from ordermill.operators import forecast as fc
 from ordermill.operators import marts, quality, reviews, silver
@@ -68,26 +67,41 @@ def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_list(items: Column) -> Column:
+    """An order's lines as one text that does not depend on their order."""
+    fields = ("item_id", "name", "quantity", "unit_price", "subtotal")
+    lines = F.transform(parse_items(items), lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields]))
+    return F.array_join(F.array_sort(lines), ",")
+
+
 @query
 def src_kafka_decode(spark, sf_dir):
-    bronze = kafka.bronze_orders(fx.stream_messages(spark, sf_dir))
-    return bronze.select(
-        "kafka_key", "order_id", "timestamp", "customer_id", "order_type", "total_amount", "payment_method",
-        "order_status", "partition", "offset", count_items(F.col("items")).alias("item_count"),
-    )
+    bronze = kafka.bronze_orders(fx.all_messages(spark, sf_dir))
+
+    def raw(name: str) -> Column:
+        return F.get_json_object("raw_json_payload", f"$.{name}")
+
+    texts = [c for c in ORDER_FIELDS if c not in ("items", "total_amount")]
+    return bronze.withColumns(
+        {
+            "items": line_list(F.col("items")),
+            "raw_fields": F.concat_ws("|", *map(raw, texts)),
+            "raw_amount": raw("total_amount").cast("double"),
+            "raw_items": line_list(raw("items")),
+        }
+    ).drop("raw_json_payload", "ingested_at")
 
 
 @query
 def snk_kafka_payload(spark, sf_dir):
-    messages = kafka.to_messages(fx.fact_orders(spark, sf_dir), "restaurant_id")
-
-    fields = "order_id string, order_date string, item_count bigint, total_amount double, is_weekend boolean"
-    return messages.select("key", F.from_json("value", fields).alias("row")).select("key", "row.*")
+    orders = fx.fact_orders(spark, sf_dir)
+    messages = kafka.to_messages(orders, "restaurant_id")
+    return messages.select("key", F.from_json("value", orders.schema).alias("row")).select("key", "row.*")
 
 
 @query
 def orders_unified(spark, sf_dir):
-    return unified(spark, sf_dir).drop("items", "created_at")
+    return unified(spark, sf_dir).withColumn("items", line_list(F.col("items")))
 
 
 @query
@@ -108,7 +122,7 @@ def fact_orders(spark, sf_dir):
 
 @query
 def fact_orders_dq_counts(spark, sf_dir):
-    return quality.violation_counts(silver.order_headers(unified(spark, sf_dir)), quality.order_rules())
+    return quality.violation_counts(silver.order_headers(unified(spark, sf_dir)), silver.header_rules())
 
 
 @query
@@ -128,7 +142,7 @@ def dim_customer(spark, sf_dir):
 
 @query
 def dim_menu_item(spark, sf_dir):
-    return silver.dim_menu_item(fx.menu_raw(spark, sf_dir))
+    return silver.dim_menu_item(fx.whole_menu_raw(spark, sf_dir))
 
 
 # --- reviews ------------------------------------------------------------------------------------
@@ -137,13 +151,12 @@ def dim_menu_item(spark, sf_dir):
 @query
 def classify_review(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review_text"))
-    return reviews.enrich_reviews(docs).drop("review_text", "analysis_json")
+    return reviews.enrich_reviews(docs).drop("review_text")
 
 
 @query
 def fact_review(spark, sf_dir):
-    facts = reviews.fact_review(fx.reviews_raw(spark, sf_dir))
-    return facts.withColumn("review_text", F.length("review_text")).drop("analysis_json")
+    return reviews.fact_review(fx.reviews_raw(spark, sf_dir))
 
 
 def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,6 +354,7 @@ def daily_restaurant_performance(spark, sf_dir):
 # --- forecasting --------------------------------------------------------------------------------
 
 
+@fx.frame
 def sales_by_day(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> DataFrame:
     """Forecast input: days with sales only, so that the series builder has gaps to fill."""
     return (
@@ -355,51 +369,25 @@ def profile(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> DataFram
     return fc.series_profile(fc.regular_series(sales_by_day(spark, sf_dir, as_of)))
 
 
-def recent_mean(plan: fc.ForecastPlan = fc.ForecastPlan()) -> Column:
-    """A simple model to score: the mean of the last four training weeks, per weekday."""
-    train = ts.all_but_last(F.col("values"), plan.holdout)
-    weeks = range(1, 5)
-
-    def mean_of(h: Column) -> Column:
-        place = F.size(train) + (h % plan.season)
-        return sum((F.get(train, (place - plan.season * w).cast("int")) for w in weeks), F.lit(0.0)) / 4.0
-
-    return F.transform(F.sequence(F.lit(0), F.lit(plan.holdout - 1)), mean_of)
-
-
-def log_changes() -> Column:
-    """Day-to-day change of the log series: residuals of the simplest model there is."""
-    logs = F.transform("values", F.log1p)
-    n = F.size("values")
-    return F.zip_with(F.slice(logs, F.lit(2), n - 1), F.slice(logs, F.lit(1), n - 1), lambda b, a: b - a)
+@fx.frame
+def forecasts(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> DataFrame:
+    return fc.forecast(sales_by_day(spark, sf_dir, as_of), as_of=as_of)
 
 
-def judged_run(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> DataFrame:
-    """Diagnostics rows of the simple model, as of a day."""
-    known = profile(spark, sf_dir, as_of).filter(fc.has_history())
-    tested = fc.residual_test(fc.holdout_scores(known, recent_mean()), log_changes())
-    nothing = F.lit(None).cast("double")
-    return tested.withColumns(
-        {
-            "status": fc.fallback_status(),
-            "sarima_order": F.lit("(0, 1, 0)"),
-            "sarima_seasonal_order": F.lit("(0, 0, 0, 7)"),
-            "aic": nothing,
-            "aicc": nothing,
-            "model_run_date": F.lit(as_of).cast("date"),
-        }
-    ).select("restaurant_id", *fc.DIAGNOSTICS, "model_run_date")
+def diagnostics(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF) -> DataFrame:
+    return rounded(fc.diagnostics_rows(forecasts(spark, sf_dir, as_of)), **DIAGNOSTIC_DIGITS)
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged_run(spark, sf_dir, fx.EARLIER_RUN).unionByName(judged_run(spark, sf_dir))
+    runs = [fc.diagnostics_rows(forecasts(spark, sf_dir, day)) for day in (fx.EARLIER_RUN, fx.AS_OF)]
+    return runs[0].unionByName(runs[1])
 
 
 def median_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fc.median_forecast(profile(spark, sf_dir))
 
 
-DIAGNOSTIC_DIGITS = {"ljung_box_pvalue": 6, "holdout_mape_pct": 4, "naive_wape_pct": 4, "skill_vs_naive_pct": 4}
+DIAGNOSTIC_DIGITS = {"aic": 4, "aicc": 4, "ljung_box_pvalue": 6, "holdout_mape_pct": 4, "naive_wape_pct": 4, "skill_vs_naive_pct": 4}
 
 
 @query
@@ -439,18 +427,12 @@ def forecast_naive_wape(spark, sf_dir):
 
 @query
 def forecast_skill(spark, sf_dir):
-    known = profile(spark, sf_dir).filter(fc.has_history())
-    scored = fc.holdout_scores(known, recent_mean()).select(
-        "restaurant_id", "holdout_mape_pct", "naive_wape_pct", "skill_vs_naive_pct"
-    )
-    return rounded(scored, holdout_mape_pct=4, naive_wape_pct=4, skill_vs_naive_pct=4)
+    return diagnostics(spark, sf_dir).select("restaurant_id", "holdout_mape_pct", "naive_wape_pct", "skill_vs_naive_pct")
 
 
 @query
 def ljung_box(spark, sf_dir):
-    known = profile(spark, sf_dir).filter(fc.has_history())
-    tested = fc.residual_test(known, log_changes()).select("restaurant_id", "ljung_box_pvalue", "residuals_pass")
-    return rounded(tested, ljung_box_pvalue=6)
+    return diagnostics(spark, sf_dir).select("restaurant_id", "ljung_box_pvalue", "residuals_pass")
 
 
 @query
@@ -460,17 +442,18 @@ def forecast_median_fallback(spark, sf_dir):
 
 @query
 def forecast_fallback_decision(spark, sf_dir):
-    return judged_run(spark, sf_dir).select("restaurant_id", "residuals_pass", "status")
+    return diagnostics(spark, sf_dir).select("restaurant_id", "residuals_pass", "status")
 
 
 @query
-def forecast_arimax(spark, sf_dir):
-    return fc.forecast_rows(fc.forecast(performance(spark, sf_dir), as_of=fx.AS_OF))
+def forecast_rows(spark, sf_dir):
+    rows = fc.forecast_rows(forecasts(spark, sf_dir))
+    return rounded(rows, predicted_revenue=4, lower_ci=4, upper_ci=4)
 
 
 @query
 def forecast_diagnostics(spark, sf_dir):
-    return fc.diagnostics_rows(fc.forecast(performance(spark, sf_dir), as_of=fx.AS_OF))
+    return diagnostics(spark, sf_dir)
 
 
 @query

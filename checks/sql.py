@@ -1,7 +1,8 @@
 """The registered queries in DuckDB SQL, over the same tables.
 
-Written from the definitions, not from the Spark code: each text names the common table
-expressions it needs, and `text` puts those (and what they need) in front.
+Written from the definitions; of the library's values they take the cue words and the names of the
+review categories. Each text names the common table expressions it needs, and `text` puts those (and
+what they need) in front.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 import re
 
 from checks.frames import AS_OF, BRAND, CATEGORY_SHIFT, EARLIER_RUN
-from ordermill.functions.text import LOWER, UPPER
 from ordermill.operators.quality import REVIEW_CATEGORIES
 from ordermill.operators.reviews import CueRules
 
@@ -83,6 +83,16 @@ SELECT order_id, item_id, restaurant_id, order_timestamp, CAST(order_timestamp A
        item_name, quantity, unit_price, subtotal
 FROM fx_lines JOIN fx_order ON l_orderkey = o_orderkey WHERE restaurant_id IS NOT NULL"""
 
+CTES["fx_line_list"] = """
+SELECT l_orderkey, array_to_string(list_sort(list(concat_ws(':', item_id, item_name, quantity, unit_price, subtotal))), ',') AS lines
+FROM fx_lines GROUP BY l_orderkey"""
+
+CTES["fx_menu_whole"] = """
+SELECT restaurant_id, 'P' || p_partkey AS item_id, p_name AS name, p_type AS category,
+       CAST(p_retailprice AS DECIMAL(10,2)) AS price, p_brand AS ingredients, p_size % 2 = 0 AS is_vegetarian
+FROM (SELECT DISTINCT restaurant_id, l_partkey FROM lineitem JOIN fx_order_venue USING (l_orderkey))
+JOIN part ON l_partkey = p_partkey"""
+
 CTES["fx_menu"] = """
 SELECT restaurant_id, 'P' || p_partkey AS item_id, p_name AS name, p_type AS category,
        CAST(p_retailprice AS DECIMAL(10,2)) AS price, p_brand AS ingredients, p_size % 2 = 0 AS is_vegetarian
@@ -299,22 +309,40 @@ CTES["s_events"] = _series("SELECT event_type AS restaurant_id, CAST(ts AS DATE)
 
 for _tag in ("now", "earlier"):
     _s = f"s_{_tag}"
+    CTES[f"lagged_{_tag}"] = f"""
+SELECT *, ln(1 + v) AS x,
+       {', '.join(f'lag(ln(1 + v), {k}) OVER (PARTITION BY restaurant_id ORDER BY d) AS x{k}' for k in (7, 14))},
+       {', '.join(f'lag(v, {k}) OVER (PARTITION BY restaurant_id ORDER BY d) AS v{k}' for k in range(7, 36, 7))}
+FROM {_s} WHERE n >= 90"""
+    CTES[f"lines_{_tag}"] = f"""
+SELECT restaurant_id, b, y - b * z AS a, held_b, held_y - held_b * held_z AS held_a
+FROM (SELECT restaurant_id, avg(x) AS y, avg(x7) AS z, CASE WHEN var_pop(x7) > 0 THEN regr_slope(x, x7) ELSE 0 END AS b,
+             avg(CASE WHEN back >= 14 THEN x END) AS held_y, avg(CASE WHEN back >= 14 THEN x7 END) AS held_z,
+             CASE WHEN var_pop(CASE WHEN back >= 14 THEN x7 END) > 0
+                  THEN regr_slope(CASE WHEN back >= 14 THEN x END, x7) ELSE 0 END AS held_b
+      FROM lagged_{_tag} WHERE x7 IS NOT NULL GROUP BY restaurant_id)"""
     CTES[f"holdout_{_tag}"] = f"""
 SELECT restaurant_id, d, v AS actual, CASE WHEN back > 6 THEN v7 ELSE v14 END AS naive,
-       CASE WHEN back > 6 THEN v7 + v14 + v21 + v28 ELSE v14 + v21 + v28 + v35 END / 4.0 AS recent
-FROM (SELECT *, {', '.join(f'lag(v, {k}) OVER (PARTITION BY restaurant_id ORDER BY d) AS v{k}' for k in range(7, 36, 7))}
-      FROM {_s})
-WHERE back < 14 AND n >= 90"""
+       CASE WHEN back > 6 THEN v7 + v14 + v21 + v28 ELSE v14 + v21 + v28 + v35 END / 4.0 AS recent,
+       exp(CASE WHEN back > 6 THEN held_a + held_b * x7 ELSE held_a + held_b * (held_a + held_b * x14) END) - 1 AS lagged
+FROM lagged_{_tag} JOIN lines_{_tag} USING (restaurant_id)
+WHERE back < 14"""
     CTES[f"scores_{_tag}"] = f"""
-SELECT *, CASE WHEN naive_wape_pct > 0 THEN (1 - holdout_mape_pct / naive_wape_pct) * 100 END AS skill_vs_naive_pct
-FROM (SELECT restaurant_id,
-             CASE WHEN sum(actual) > 0 THEN sum(abs(recent - actual)) / sum(actual) * 100 END AS holdout_mape_pct,
-             CASE WHEN sum(actual) > 0 THEN sum(abs(naive - actual)) / sum(actual) * 100 END AS naive_wape_pct
-      FROM holdout_{_tag} GROUP BY restaurant_id)"""
+SELECT restaurant_id, lag_wins, holdout_mape_pct, naive_wape_pct,
+       CASE WHEN naive_wape_pct > 0 THEN (1 - holdout_mape_pct / naive_wape_pct) * 100 END AS skill_vs_naive_pct
+FROM (SELECT *, coalesce(lag_pct < mean_pct, FALSE) AS lag_wins,
+             CASE WHEN lag_pct < mean_pct THEN lag_pct ELSE mean_pct END AS holdout_mape_pct
+      FROM (SELECT restaurant_id,
+                   CASE WHEN sum(actual) > 0 THEN sum(abs(recent - actual)) / sum(actual) * 100 END AS mean_pct,
+                   CASE WHEN sum(actual) > 0 THEN sum(abs(lagged - actual)) / sum(actual) * 100 END AS lag_pct,
+                   CASE WHEN sum(actual) > 0 THEN sum(abs(naive - actual)) / sum(actual) * 100 END AS naive_wape_pct
+            FROM holdout_{_tag} GROUP BY restaurant_id))"""
+    CTES[f"errors_{_tag}"] = f"""
+SELECT restaurant_id, d, lag_wins, CASE WHEN lag_wins THEN x - a - b * x7 ELSE v - (v7 + v14 + v21 + v28) / 4.0 END AS e
+FROM lagged_{_tag} JOIN lines_{_tag} USING (restaurant_id) JOIN scores_{_tag} USING (restaurant_id)
+WHERE i > CASE WHEN lag_wins THEN 7 ELSE 28 END"""
     CTES[f"changes_{_tag}"] = f"""
-SELECT restaurant_id, d, x - avg(x) OVER (PARTITION BY restaurant_id) AS x
-FROM (SELECT restaurant_id, d, ln(1 + v) - lag(ln(1 + v)) OVER (PARTITION BY restaurant_id ORDER BY d) AS x
-      FROM {_s} WHERE n >= 90) WHERE x IS NOT NULL"""
+SELECT restaurant_id, d, e - avg(e) OVER (PARTITION BY restaurant_id) AS x FROM errors_{_tag}"""
     CTES[f"tests_{_tag}"] = f"""
 SELECT restaurant_id, p, CASE WHEN p > 0.05 THEN 'PASS' ELSE 'FAIL' END AS residuals_pass FROM (
   SELECT restaurant_id, exp(-h) * (1 + h + h**2 / 2 + h**3 / 6 + h**4 / 24) AS p FROM (
@@ -323,14 +351,22 @@ SELECT restaurant_id, p, CASE WHEN p > 0.05 THEN 'PASS' ELSE 'FAIL' END AS resid
           FROM (SELECT *, {', '.join(f'lag(x, {k}) OVER (PARTITION BY restaurant_id ORDER BY d) AS x{k}' for k in range(1, 11))}
                 FROM changes_{_tag})
           GROUP BY restaurant_id)))"""
+    CTES[f"fits_{_tag}"] = f"""
+SELECT *, aic + 2.0 * k * (k + 1) / (m - k - 1) AS aicc
+FROM (SELECT *, CASE WHEN variance > 0 THEN m * ln(variance) + 2.0 * k END AS aic
+      FROM (SELECT restaurant_id, any_value(lag_wins) AS lag_wins, count(*) AS m, avg(e * e) AS variance,
+                   CASE WHEN any_value(lag_wins) THEN 3 ELSE 1 END AS k
+            FROM errors_{_tag} GROUP BY restaurant_id))"""
     CTES[f"judged_{_tag}"] = f"""
-SELECT restaurant_id, '(0, 1, 0)' AS sarima_order, '(0, 0, 0, 7)' AS sarima_seasonal_order, CAST(NULL AS DOUBLE) AS aic,
-       CAST(NULL AS DOUBLE) AS aicc, {r('p', 6)} AS ljung_box_pvalue, residuals_pass,
+SELECT restaurant_id, CASE WHEN f.lag_wins THEN 'weekly lag' WHEN NOT f.lag_wins THEN 'mean of 4 weeks' END AS sarima_order,
+       CASE WHEN n >= 90 THEN '7' END AS sarima_seasonal_order, {r('aic', 4)} AS aic,
+       {r('aicc', 4)} AS aicc, {r('p', 6)} AS ljung_box_pvalue, residuals_pass,
        holdout_mape_pct, naive_wape_pct, skill_vs_naive_pct, n AS n_obs_used,
-       CASE WHEN residuals_pass = 'PASS' AND skill_vs_naive_pct > 0 THEN 'OK' ELSE 'OK_FALLBACK_SEASONAL_MEDIAN' END AS status,
+       CASE WHEN n < 90 THEN 'SKIPPED_INSUFFICIENT_HISTORY (n=' || n || ' < 90)'
+            WHEN residuals_pass = 'PASS' AND skill_vs_naive_pct > 0 THEN 'OK' ELSE 'OK_FALLBACK_SEASONAL_MEDIAN' END AS status,
        '{AS_OF if _tag == "now" else EARLIER_RUN}' AS model_run_date
-FROM tests_{_tag} JOIN scores_{_tag} USING (restaurant_id)
-JOIN (SELECT DISTINCT restaurant_id, n FROM {_s}) USING (restaurant_id)"""
+FROM (SELECT DISTINCT restaurant_id, n FROM {_s}) LEFT JOIN tests_{_tag} USING (restaurant_id)
+LEFT JOIN scores_{_tag} USING (restaurant_id) LEFT JOIN fits_{_tag} f USING (restaurant_id)"""
 
 CTES["latest"] = """
 SELECT * EXCLUDE (place) FROM (
@@ -350,6 +386,30 @@ JOIN (SELECT restaurant_id, isodow(d) AS dow, median(v) AS middle, coalesce(stdd
       FROM s_now WHERE back < 28 GROUP BY restaurant_id, isodow(d)) w USING (restaurant_id)
 WHERE isodow(f.forecast_date) = w.dow"""
 
+# The four values of each future day's weekday serve the mean, the median and, the newest of them, the lag model.
+CTES["ahead"] = """
+SELECT restaurant_id, step, avg(v) AS mean, median(v) AS middle, coalesce(stddev_samp(v), 0.0) AS dev,
+       max(CASE WHEN back < 7 THEN ln(1 + v) END) AS x
+FROM s_now, (SELECT unnest(range(1, 15)) AS step)
+WHERE back < 28 AND back % 7 = 6 - (step - 1) % 7 AND n >= 90 GROUP BY restaurant_id, step"""
+CTES["modelled"] = """
+SELECT restaurant_id, step, status, middle, dev, capacity_cap, last_date, n_obs_used,
+       CASE WHEN lag_wins THEN exp(u) - 1 ELSE mean END AS point,
+       CASE WHEN lag_wins THEN exp(u - reach) - 1 ELSE mean - reach END AS low,
+       CASE WHEN lag_wins THEN exp(u + reach) - 1 ELSE mean + reach END AS high
+FROM (SELECT *, 1.2815515655446004::DOUBLE * sqrt(variance) AS reach, CASE WHEN step <= 7 THEN a + b * x ELSE a + b * (a + b * x) END AS u
+      FROM ahead JOIN lines_now USING (restaurant_id) JOIN fits_now USING (restaurant_id)
+      JOIN (SELECT restaurant_id, status FROM judged_now) USING (restaurant_id) JOIN caps USING (restaurant_id))"""
+CTES["forecasts"] = """
+SELECT restaurant_id, last_date + CAST(step AS INTEGER) AS forecast_date, n_obs_used,
+       CASE WHEN status = 'OK' THEN least(greatest(point, 0.0), capacity_cap)
+            ELSE least(greatest(middle, 0.0), capacity_cap) END AS predicted_revenue,
+       CASE WHEN status = 'OK' THEN greatest(low, 0.0) ELSE greatest(middle - 1.28 * dev, 0.0) END AS lower_ci,
+       CASE WHEN status = 'OK' THEN least(greatest(high, 0.0), capacity_cap)
+            ELSE least(greatest(middle + 1.28 * dev, 0.0), capacity_cap) END AS upper_ci,
+       CASE WHEN status = 'OK' THEN 'WEEKLY_MODEL' ELSE 'SEASONAL_MEDIAN_FALLBACK' END AS forecast_method
+FROM modelled"""
+
 QUERIES: dict[str, str] = {}
 
 
@@ -382,17 +442,22 @@ def _all(checks: dict[str, str]) -> str:
 ISO = "strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S')"
 
 QUERIES["src_kafka_decode"] = f"""
-SELECT restaurant_id AS kafka_key, order_id, {ISO} || '+00:00' AS "timestamp", customer_id, order_type,
-       {_dbl('total_amount')}, payment_method, 'pending' AS order_status, o_orderkey % 4 AS "partition",
-       o_orderkey AS "offset", item_count
-FROM fx_order WHERE o_orderkey % 10 >= 6"""
+SELECT restaurant_id AS kafka_key, order_id, {ISO} || '+00:00' AS "timestamp", restaurant_id, customer_id, order_type,
+       lines AS items, {_dbl('total_amount')}, payment_method, 'pending' AS order_status, {ISO} || '+00:00' AS created_at,
+       {_day('order_timestamp', 'kafka_timestamp')}, o_orderkey % 4 AS "partition", o_orderkey AS "offset",
+       concat_ws('|', order_id, {ISO} || '+00:00', restaurant_id, customer_id, order_type, payment_method, 'pending',
+                 {ISO} || '+00:00') AS raw_fields, CAST(total_amount AS DOUBLE) AS raw_amount, lines AS raw_items
+FROM fx_order LEFT JOIN fx_line_list ON o_orderkey = l_orderkey"""
 
 QUERIES["snk_kafka_payload"] = f"""
-SELECT restaurant_id AS "key", order_id, {_day('order_date')}, item_count, {_dbl('total_amount')}, is_weekend FROM fx_fact_orders"""
+SELECT restaurant_id AS "key", order_id, {_day('order_timestamp')}, {_day('order_date')}, {_big('order_hour')}, day_of_week,
+       is_weekend, restaurant_id, customer_id, order_type, item_count, {_dbl('total_amount')}, payment_method, order_status
+FROM fx_fact_orders"""
 
 QUERIES["orders_unified"] = f"""
-SELECT order_id, {_day('order_timestamp', '"timestamp"')}, restaurant_id, customer_id, order_type, {_dbl('total_amount')},
-       payment_method, order_status, source_system FROM fx_unified"""
+SELECT order_id, {_day('order_timestamp', '"timestamp"')}, restaurant_id, customer_id, order_type, lines AS items,
+       {_dbl('total_amount')}, payment_method, order_status, {_day('order_timestamp', 'created_at')}, source_system
+FROM fx_unified LEFT JOIN fx_line_list ON o_orderkey = l_orderkey"""
 
 QUERIES["orders_dedup_survivor"] = """
 SELECT order_id, CASE WHEN o_orderkey % 10 >= 6 THEN 'streaming_kafka' ELSE 'historical_batch' END AS source_system,
@@ -415,7 +480,8 @@ ORDER_CHECKS = {
     "valid_order_status": "order_status IN ('completed', 'pending', 'ready', 'delivered', 'preparing', 'confirmed')",
     "valid_payment_method": "payment_method IN ('wallet', 'card', 'cash')",
 }
-QUERIES["fact_orders_dq_counts"] = _counts(ORDER_CHECKS, "fx_unified", _all(ORDER_CHECKS))
+_readable = {**ORDER_CHECKS, "readable_total_amount": "TRUE"}
+QUERIES["fact_orders_dq_counts"] = _counts(_readable, "fx_unified", _all(_readable))
 
 QUERIES["fact_order_items"] = f"""
 SELECT order_id, item_id, restaurant_id, {_day('order_timestamp')}, {_day('order_date')}, item_name, {_big('quantity')},
@@ -427,7 +493,7 @@ QUERIES["dim_customer"] = """
 SELECT 'C' || c_custkey AS customer_id, c_name AS name, '+' || c_custkey AS phone, c_mktsegment AS city,
        CAST(CAST(DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS VARCHAR) AS join_date FROM customer"""
 QUERIES["dim_menu_item"] = f"""
-SELECT restaurant_id, item_id, name, category, {_dbl('price')}, ingredients, is_vegetarian, 'None' AS spice_level FROM fx_menu"""
+SELECT restaurant_id, item_id, name, category, {_dbl('price')}, ingredients, is_vegetarian, 'None' AS spice_level FROM fx_menu_whole"""
 
 
 def _classified(source: str, keep: str) -> str:
@@ -436,18 +502,21 @@ def _classified(source: str, keep: str) -> str:
     def hit(cues) -> str:
         return "(" + " OR ".join(f"contains(t, ' {cue} ')" for cue in cues) + ")"
 
-    levels, fields = [], []
+    levels, fields, answer = [], [], []
     for c, by_level in rules.issues.items():
         order = ("severe", "moderate", "minor")
         cases = " ".join(f"WHEN {hit(by_level[s])} THEN '{s}'" for s in order)
         cues = " ".join(f"WHEN {hit([cue])} THEN '{cue}'" for s in order for cue in by_level[s])
         levels.append(f"CASE {cases} ELSE 'none' END AS {c}_severity, CASE {cues} ELSE '' END AS issue_{c}_reason")
         fields.append(f"{c}_severity <> 'none' AS issue_{c}, {c}_severity, issue_{c}_reason")
+        answer.append(
+            f"""',"issue_{c}":' || ({c}_severity <> 'none') || ',"{c}_severity":"' || {c}_severity || '","issue_{c}_reason":"' || issue_{c}_reason || '"'"""
+        )
     mood = f"CASE WHEN {hit(rules.negative)} THEN 'negative' WHEN {hit(rules.positive)} THEN 'positive' ELSE 'neutral' END"
     return f"""
-SELECT {keep}, sentiment, {', '.join(fields)} FROM (
+SELECT {keep}, sentiment, {', '.join(fields)}, '{{"sentiment":"' || sentiment || '"' || {' || '.join(answer)} || '}}' AS analysis_json FROM (
   SELECT *, {mood} AS sentiment, {', '.join(levels)}
-  FROM (SELECT *, ' ' || regexp_replace(translate(full_text, '{UPPER}', '{LOWER}'), '[^a-z]+', ' ', 'g') || ' ' AS t
+  FROM (SELECT *, ' ' || regexp_replace(lower(full_text), '[^\\p{{L}}\\p{{M}}]+', ' ', 'g') || ' ' AS t
         FROM ({source})))"""
 
 
@@ -466,7 +535,7 @@ REMARKED = "SELECT *, text || '. ' || " + " || '. ' || ".join(
 ) + " AS full_text FROM fx_review_base"
 QUERIES["fact_review"] = _classified(
     REMARKED,
-    "review_id, order_id, customer_id, restaurant_id, rating, length(full_text) AS review_text, "
+    "review_id, order_id, customer_id, restaurant_id, rating, full_text AS review_text, "
     "CAST(review_timestamp AS VARCHAR) AS review_timestamp",
 )
 
@@ -581,8 +650,14 @@ def _score_columns(*names: str, digits: int = 4) -> str:
 
 
 QUERIES["forecast_skill"] = f"""
-SELECT restaurant_id, {_score_columns('holdout_mape_pct', 'naive_wape_pct', 'skill_vs_naive_pct')} FROM scores_now"""
-QUERIES["ljung_box"] = f"SELECT restaurant_id, {r('p', 6)} AS ljung_box_pvalue, residuals_pass FROM tests_now"
+SELECT restaurant_id, {_score_columns('holdout_mape_pct', 'naive_wape_pct', 'skill_vs_naive_pct')} FROM judged_now"""
+QUERIES["ljung_box"] = "SELECT restaurant_id, ljung_box_pvalue, residuals_pass FROM judged_now"
+QUERIES["forecast_rows"] = f"""
+SELECT restaurant_id, {_day('forecast_date')}, {_score_columns('predicted_revenue', 'lower_ci', 'upper_ci')}, n_obs_used,
+       '{AS_OF}' AS model_run_date, forecast_method FROM forecasts"""
+QUERIES["forecast_diagnostics"] = f"""
+SELECT * EXCLUDE (holdout_mape_pct, naive_wape_pct, skill_vs_naive_pct),
+       {_score_columns('holdout_mape_pct', 'naive_wape_pct', 'skill_vs_naive_pct')} FROM judged_now"""
 QUERIES["forecast_median_fallback"] = f"""
 SELECT restaurant_id, {_day('forecast_date')}, n_obs_used, {_score_columns('predicted_revenue', 'lower_ci', 'upper_ci', digits=6)}
 FROM fx_median"""
@@ -602,7 +677,7 @@ QUERIES["db_diagnostics_footer"] = f"""
 SELECT CASE WHEN count(DISTINCT restaurant_id) = 1 THEN
          'Branch: ' || max(coalesce(name, restaurant_id)) || ' | Order: ' || max(sarima_order) || ' | Holdout WAPE: '
          || {r('max(holdout_mape_pct)', 1)} || '% | Residuals: ' || max(residuals_pass) || ' | Model used: '
-         || CASE WHEN max(status) = 'OK' THEN 'ARIMAX' ELSE 'Seasonal-median fallback' END
+         || CASE WHEN max(status) = 'OK' THEN 'Weekly model' ELSE 'Seasonal-median fallback' END
        ELSE 'Chain-Wide Status (as of ' || max(model_run_date) || ') | Avg Holdout WAPE: ' || {r('avg(holdout_mape_pct)', 1)}
          || '% | Passing Residual Diagnostics: ' || count(CASE WHEN residuals_pass = 'PASS' THEN 1 END) || '/' || count(*)
          || ' Branches | On Fallback: ' || count(CASE WHEN status = 'OK_FALLBACK_SEASONAL_MEDIAN' THEN 1 END) || '/'
