@@ -110,26 +110,32 @@ def build_all(spark: SparkSession, steps: Sequence[Step], run: str | None = None
     """
     sinks.create_namespaces(spark)
     run = run or dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
-    for step in steps:
-        written, seen = Observation(f"written {step.table}"), Observation(f"rules {step.table}") if step.ruled else None
-        rows = step.build(spark.read.table, seen).observe(written, F.count(F.lit(1)).alias("rows"))
-        sinks.overwrite_table(rows, step.table, partition_by=step.partition_by)
-        sinks.tag_table(spark, step.table, {"quality": step.layer}, step.comment)
-        counts = {"rows_written": written.get["rows"], **(seen.get if seen else {})}
-        log = spark.createDataFrame(
-            [(step.table, name, int(n), run) for name, n in counts.items()],
-            "table_name string, measure string, value long, run string",
-        )
-        # The run and table make a partition, so a build that is repeated under one name replaces its counts.
-        sinks.append_merged(log.withColumn("part", F.concat_ws("/", "run", "table_name")), BUILD_LOG, run="part")
-        if step.rejected is not None:
-            failed = step.rejected(spark.read.table)
-            body = [c for c in failed.columns if c != "reasons"]
-            sinks.append_merged(
-                failed.select(F.to_json(F.struct(*body)).alias("row"), "reasons", F.lit(step.table).alias("table_name")),
-                QUARANTINE,
-                run="table_name",
-            )
+    counted: list[tuple[str, str, int, str]] = []
+    try:
+        for step in steps:
+            counted += [(step.table, name, int(n), run) for name, n in _write(spark, step).items()]
+            if step.rejected is not None:
+                _set_aside(step.rejected(spark.read.table), step.table)
+    finally:
+        # One row per table and rule; what was written before a failure is logged too.
+        log = spark.createDataFrame(counted, "table_name string, measure string, value long, run string")
+        sinks.append_merged(log, BUILD_LOG, run="run")
+
+
+def _write(spark: SparkSession, step: Step) -> dict[str, int]:
+    """Write one table; rows written and failures per rule."""
+    written, seen = Observation(f"written {step.table}"), Observation(f"rules {step.table}") if step.ruled else None
+    rows = step.build(spark.read.table, seen).observe(written, F.count(F.lit(1)).alias("rows"))
+    sinks.overwrite_table(rows, step.table, partition_by=step.partition_by)
+    sinks.tag_table(spark, step.table, {"quality": step.layer}, step.comment)
+    return {"rows_written": written.get["rows"], **(seen.get if seen else {})}
+
+
+def _set_aside(failed: DataFrame, table: str) -> None:
+    """Keep rows that fail a rule, as JSON with their reasons, in place of those of the last build."""
+    body = [c for c in failed.columns if c != "reasons"]
+    rows = failed.select(F.to_json(F.struct(*body)).alias("row"), "reasons", F.lit(table).alias("table_name"))
+    sinks.append_merged(rows, QUARANTINE, run="table_name")
 
 
 def publish_forecasts(
