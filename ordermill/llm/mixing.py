@@ -14,7 +14,7 @@ from ordermill.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, MOST = (1, 2, 3), 3
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000  # a task sorts so many rows of a source at a time, however large the source is
 KEY_DIGITS = 15  # hexadecimal digits of the hash that make the key
 KEYS = 16**KEY_DIGITS
 

@@ -190,7 +190,7 @@ def test_mix(make, edge, edge_rows, spark, sf_dir):
     table = [(r["doc_id"], r["text"], None, r["source"]) for r in some("documents", spark, sf_dir).collect()]
     for docs, rows in ((edge, edge_rows), (some("documents", spark, sf_dir), table)):
         plan, sized = mixed(rows)
-        for bucket in (2, 50_000):
+        for bucket in (2, 5_000):
             got = mixing.mix(docs, bucket_rows=bucket).collect()
             assert Counter((r["doc_id"], r["source"], r["size"]) for r in got) == Counter(sized)
             taken = defaultdict(int)
