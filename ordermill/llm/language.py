@@ -23,7 +23,8 @@ from ordermill.llm.common import byte_table, utf8, word_runs
 
 ASCII_LETTERS = byte_table(r"A-Za-z\x80-\xff", lower=True)
 OTHER_SIGN = re.compile(r"[^\x00-\x7F\w]|[^\x00-\x7F\D]")  # above ASCII: no word sign, or a digit
-SAMPLE_ROWS = 2_000  # labelled documents per language that the fit expects to read
+SAMPLE_ROWS = 2_000  # labelled documents per language that the fit reads at least, if there are so many
+DRAW_BITS, DRAW_STEPS = 40, 16  # a row's draw, and the steps in which a language's greatest draw may double
 MODEL_ENTRIES = 300_000  # words and n-grams of all languages together
 LONGEST = 4
 UNKNOWN = "und"
@@ -121,29 +122,49 @@ def fit(
     sample_rows: int = SAMPLE_ROWS,
     entries: int = MODEL_ENTRIES,
     longest: int = LONGEST,
+    id_col: str = "doc_id",
 ) -> Model:
-    """Fit on about ``sample_rows`` rows per language, drawn by a hash of the text.
+    """Fit on the ``sample_rows`` rows of each language (or all, if fewer) that a hash of id and text puts first.
 
-    Rows without text or language are left out. Words and n-grams are counted in Spark; the most frequent
-    ``entries`` in all, as many for every language, half of them words, reach the driver.
+    Rows whose hash is in the step of the last one are read too: some 4% more, or all of a group of rows with
+    the same id and text. So every language has its rows in the sample, whatever its texts. Rows without text or
+    language are left out. Words and n-grams are counted in Spark; the most frequent ``entries`` in all, as many
+    for every language, half of them words, reach the driver.
+
+    What a language has not seen scores the same in all languages, below all that any of them has seen: half
+    an occurrence in the largest sample. So a language with little text wins nothing by not knowing a word.
     """
+    draw = F.pmod(F.xxhash64("text", "id"), F.lit(1 << DRAW_BITS)) + 1
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")
     )
-    rows = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    known = known.select("lang", "text", F.floor(F.log2(draw.cast("double")) * DRAW_STEPS).cast("int").alias("step"))
+    rows: dict[str, dict[int, int]] = {}
+    for r in known.groupBy("lang", "step").agg(F.count("*").alias("n")).collect():
+        rows.setdefault(r["lang"], {})[r["step"]] = r["n"]
     languages = sorted(rows)
     if not languages:
         return Model([], {}, [{} for _ in range(longest)])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_rows / rows[lang]))])
-    sample = known.where(draw < F.element_at(share, F.col("lang")))
+    last = {}
+    for lang, steps in rows.items():
+        held = 0
+        for step in sorted(steps):
+            last[lang], held = step, held + steps[step]
+            if held >= sample_rows:
+                break
+    upto = F.create_map(*[F.lit(x) for lang in languages for x in (lang, last[lang])])
+    sample = known.where(F.col("step") <= F.element_at(upto, F.col("lang")))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words: dict[str, Counter] = {}
-            for lang, text in zip(batch["lang"], batch["text"]):
+            for (lang, text), copies in Counter(zip(batch["lang"], batch["text"])).items():
+                held = words.setdefault(lang, Counter())
                 for part in words_of(text):
-                    words.setdefault(lang, Counter()).update(part)
+                    if copies == 1:
+                        held.update(part)
+                    else:
+                        held.update({word: n * copies for word, n in Counter(part).items()})
             for lang, count in words.items():
                 yield pd.DataFrame({"lang": lang, "word": list(count), "n": list(count.values())})
 
@@ -167,7 +188,8 @@ def fit(
     order = Window.partitionBy("lang", "length").orderBy(F.desc("n"), "unit")
     top = units.withColumn("rank", F.row_number().over(order)).where((F.col("rank") <= each) & (F.col("rank") <= kept))
     tables: list[dict[str, np.ndarray]] = [{} for _ in range(longest + 1)]
-    floor = [np.array([-np.log(totals.get((lang, length), 0) + 1.0) for lang in languages]) + np.log(0.5) for length in range(longest + 1)]
+    most = [max(totals.get((lang, length), 0) for lang in languages) for length in range(longest + 1)]
+    floor = [np.full(len(languages), np.log(0.5) - np.log(n + 1.0)) for n in most]
     for row in top.select("lang", "length", "unit", "n").collect():
         values = tables[row["length"]].get(row["unit"])
         if values is None:
@@ -198,6 +220,6 @@ def identify(
     from. Equally likely languages: the first by name. Only the text is an input of a prediction, so ids
     may be NULL or repeat and other columns are ignored.
     """
-    model = fit(docs.where(learn), text_col, lang_col, **fitted)
+    model = fit(docs.where(learn), text_col, lang_col, id_col=id_col, **fitted)
     named = docs.select(F.col(id_col).alias("doc_id"), predicted(text_col, model, docs.sparkSession).alias("found"))
     return named.select("doc_id", "found.lang_pred", "found.score")

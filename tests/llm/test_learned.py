@@ -62,6 +62,30 @@ def test_language_at_the_edges(edge, edge_rows):
     assert language.identify(edge.limit(0), F.lit(True)).count() == 0
 
 
+def accuracy(docs, model, spark, langs):
+    found = docs.where(F.col("lang").isin(*langs)).select("lang", language.predicted("text", model, spark).alias("found")).collect()
+    return {x: np.mean([r["found"]["lang_pred"] == x for r in found if r["lang"] == x]) for x in langs}
+
+
+def test_language_with_little_text_takes_no_documents_of_others(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang in ('de', 'en', 'es', 'fr') and length(text) > 100")
+    one = [r["doc_id"] for r in docs.where("lang = 'es' and length(text) > 300").orderBy("doc_id").limit(1).collect()]
+    model = language.fit(docs.where((F.col("lang") != "es") | F.col("doc_id").isin(one)))
+    assert model.languages == ["de", "en", "es", "fr"]
+    assert min(accuracy(docs, model, spark, ("de", "en", "fr")).values()) >= 0.97
+    floors = [np.min(list(table.values()), axis=0) for table in (model.words, *model.grams[1:])]
+    assert all(np.ptp(x) < 1e-9 for x in floors)
+
+
+def test_language_made_of_copies_is_in_the_sample(spark, make):
+    for k, text in enumerate(("uno dos tres", "cuatro cinco", "seis siete ocho", "nueve diez once doce")):
+        rows = [(n, text, "es", "s") for n in range(300)] + [(1000 + n, f"one two {'abcdefgh'[n % 8] * 3}", "en", "s") for n in range(300)]
+        for docs in (make(rows), make([(None, *r[1:]) for r in rows])):
+            model = language.fit(docs, sample_rows=5)
+            assert model.words[text.split()[0].encode()][1] > model.words[b"one"][1], k
+            assert language.Scorer(model).predict(text.encode())[0] == "es"
+
+
 def test_quality_of_held_out_documents(spark):
     found = QUERIES["op10_quality"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").toPandas()
     good, bad = found[found["quality"] == 1], found[found["quality"] == 0]
