@@ -2,9 +2,9 @@
 
 Document frequencies of the templates' words, counted over all files, decide which words are rare. The
 index holds each template's rarest words with their positions. A file's words that are in the index give
-postings; those of one template that agree on where it would start are intersected. Where enough agree, the
-template is laid over the file: enough of its words have to stand at their places, and its key phrases have
-to stand in that stretch.
+postings; those of one template that agree on where it would start, give or take a few words added or left
+out, are intersected. Where enough agree, the template is aligned with that stretch of the file: enough of its
+words have to stand there in its order, and its key phrases have to stand there unbroken.
 """
 
 from __future__ import annotations
@@ -56,6 +56,7 @@ TEMPLATES = (
     Template("cc0", "released under cc0 1 0 universal", ("cc0",)),
 )
 RARE, AGREE, COVERED = 4, 2, 0.8
+SHIFT = 6  # words added or left out between two postings that still agree
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -66,17 +67,38 @@ def stands(words: list[bytes], phrase: list[bytes], at: int) -> bool:
     return at >= 0 and words[at : at + len(phrase)] == phrase
 
 
+def aligned(words: list[bytes], places: dict[bytes, int], size: int) -> int:
+    """How many of a template's ``size`` words stand in ``words`` in its order (their longest common subsequence).
+
+    ``places``: of each template word, the bits of its positions. Zero bits of ``row`` count the words found.
+    """
+    full = (1 << size) - 1
+    row = full
+    for word in words:
+        met = row & places.get(word, 0)
+        if met:
+            row = (row + met | row - met) & full
+    return size - row.bit_count()
+
+
 class Index:
     """Postings of each template's ``rare`` rarest words; ``counts``: documents that hold a word."""
 
-    def __init__(self, counts: dict[str, int], total: int, phrases=PHRASES, templates=TEMPLATES, rare: int = RARE, agree: int = AGREE, covered: float = COVERED):
+    def __init__(
+        self, counts: dict[str, int], total: int, phrases=PHRASES, templates=TEMPLATES,
+        rare: int = RARE, agree: int = AGREE, covered: float = COVERED, shift: int = SHIFT,
+    ):
         idf = lambda word: math.log((total + 1) / (counts.get(word.decode(), 0) + 1))
-        self.covered = covered
+        self.covered, self.shift = covered, shift
         self.templates = [(t.label, t.text.encode().split(), [k.encode().split() for k in t.keys]) for t in templates]
         self.phrases = [(p.encode().split(), label) for p, label in phrases]
         self.postings = defaultdict(list)
-        self.needed = []
+        self.needed, self.places = [], []
         for number, (_, words, _) in enumerate(self.templates):
+            bits: dict[bytes, int] = defaultdict(int)
+            for at, word in enumerate(words):
+                bits[word] |= 1 << at
+            self.places.append(dict(bits))
             rarest = set(sorted(set(words), key=lambda w: (-idf(w), w))[:rare])
             self.needed.append(min(agree, len(rarest)))
             for at, word in enumerate(words):
@@ -89,12 +111,30 @@ class Index:
             self.anchors[phrase[at]].append((number, at))
         self.wanted = frozenset(self.postings) | frozenset(self.anchors)
 
+    def _agreeing(self, number: int, starts: list[tuple[int, bytes]]) -> Iterator[tuple[int, int]]:
+        """First and last start of each widest group of starts within ``shift`` words that has enough rare words."""
+        if len(starts) < self.needed[number]:
+            return
+        starts = sorted(starts)
+        held: dict[bytes, int] = defaultdict(int)
+        stop = 0
+        for k, (first, word) in enumerate(starts):
+            grown = stop
+            while stop < len(starts) and starts[stop][0] <= first + self.shift:
+                held[starts[stop][1]] += 1
+                stop += 1
+            if stop > grown and len(held) >= self.needed[number]:
+                yield first, starts[stop - 1][0]
+            held[word] -= 1
+            if not held[word]:
+                del held[word]
+
     def scan(self, text: bytes) -> tuple:
         """(words, base places, first, last, base labels, labels, score) of one text."""
         words, wanted = words_of(text), self.wanted
         hits = [(at, word) for at, word in enumerate(words) if word in wanted]
         places, base, labels, score = [], set(), set(), 0.0
-        votes: dict[tuple[int, int], set] = defaultdict(set)
+        votes: dict[int, list[tuple[int, bytes]]] = defaultdict(list)
         for at, word in hits:
             for number, offset in self.anchors.get(word, ()):
                 phrase, label = self.phrases[number]
@@ -102,17 +142,15 @@ class Index:
                     places.append(at - offset)
                     base.add(label)
             for number, offset in self.postings.get(word, ()):
-                votes[number, at - offset].add(word)
-        for (number, start), agreeing in votes.items():
-            if len(agreeing) < self.needed[number]:
-                continue
+                votes[number].append((at - offset, word))
+        for number, starts in votes.items():
             label, template, keys = self.templates[number]
-            inside = words[max(0, start) : max(0, start + len(template))]
-            shift = max(0, -start)
-            share = sum(a == b for a, b in zip(inside, template[shift:])) / len(template)
-            if share >= self.covered and all(any(stands(inside, key, k) for k in range(len(inside))) for key in keys):
-                labels.add(label)
-                score = max(score, share)
+            for first, last in self._agreeing(number, starts):
+                inside = words[max(0, first - self.shift) : max(0, last + len(template) + self.shift)]
+                share = aligned(inside, self.places[number], len(template)) / len(template)
+                if share >= self.covered and all(any(stands(inside, key, k) for k in range(len(inside))) for key in keys):
+                    labels.add(label)
+                    score = max(score, share)
         return (
             len(words),
             len(places),
@@ -146,12 +184,12 @@ def document_frequencies(docs: DataFrame, text_col: str, vocabulary: frozenset[b
 
 def license_scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES,
-    rare: int = RARE, agree: int = AGREE, covered: float = COVERED,
+    rare: int = RARE, agree: int = AGREE, covered: float = COVERED, shift: int = SHIFT,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     ``score``: 1 where a base phrase stands, else the share of its words that the best accepted template
-    has at their places; 0 without one. NULL and empty texts have no words, NULL first and last words and
+    has there in its order; 0 without one. NULL and empty texts have no words, NULL first and last words and
     empty labels. Every row is judged by itself: ids may be NULL or repeat, other columns are ignored.
     """
     vocabulary = frozenset(w for t in templates for w in t.text.encode().split()) | frozenset(
@@ -161,7 +199,7 @@ def license_scan(
 
     @pandas_udf("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
     def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = Index(counts, total, phrases, templates, rare, agree, covered)
+        index = Index(counts, total, phrases, templates, rare, agree, covered, shift)
         for batch in batches:
             out = pd.DataFrame(
                 [index.scan(x) for x in batch],

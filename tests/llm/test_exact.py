@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -284,6 +285,37 @@ def test_license_scan(spark, sf_dir, make, edge):
     assert licenses.license_scan(edge.limit(0)).count() == 0 and licenses.license_scan(edge).count() == edge.count()
 
 
+VARIANTS = [
+    ("permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("Permission to use, copy, modify, and/or distribute this software and its documentation for any purpose with or without fee is hereby granted", "isc"),
+    ("Redistribution and use in source and binary forms are permitted provided that the following conditions are met", "bsd"),
+    ("This Source Code Form, as above, is subject to the terms of the Mozilla Public License, v. 2.0", "mpl"),
+    ("This is free and truly unencumbered software, all of it released into the public domain", "unlicense"),
+    ("This is free and unencumbered software, all of it released into the public domain", "unlicense"),
+    ("licensed under a Creative Commons Attribution 4.0 license", "cc-by"),
+    ("licensed under the CC BY-SA 4.0", "cc-by-sa"),
+    ("permission to use it with or without fee", ""),
+    ("without or with " + "fee for any purpose " * 50, ""),
+]
+
+
+def test_a_word_added_or_left_out_keeps_the_license(make):
+    docs = make([(2 * k + n, pad + text + pad, "en", "s") for k, (text, _) in enumerate(VARIANTS) for n, pad in enumerate(("", " some words before and after it "))])
+    found = {r["doc_id"]: r["labels"] for r in licenses.license_scan(docs).collect()}
+    assert [(found[2 * k], found[2 * k + 1]) for k in range(len(VARIANTS))] == [(label, label) for _, label in VARIANTS]
+
+
+def test_aligned_is_the_longest_common_subsequence():
+    draw = random.Random(5)
+    for _ in range(300):
+        a, b = ([draw.choice(b"abcde") for _ in range(draw.randrange(1, 30))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert licenses.aligned(b, {x: sum(1 << k for k, y in enumerate(a) if x == y) for x in a}, len(a)) == best[-1][-1]
+
+
 # Repeated strings
 
 
