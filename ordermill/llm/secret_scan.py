@@ -55,7 +55,8 @@ CLASSES = (
     EntropyClass("entropy_hex", DIGITS + "ABCDEF", 24, 3.01, r"^(?=.*[0-9])(?=.*[A-F])"),
     EntropyClass("entropy_base64", DIGITS + UPPER + LOWER + "+/_-", 24, 3.81, r"[0-9]"),
 )
-#: Candidates that match one of these are no secrets: UUIDs, paths and slugs of words, examples, one repeated unit.
+#: No secrets: UUIDs, paths and slugs of words, examples, one repeated unit. A pattern that starts with ^ allows the
+#: candidate that it matches whole; the others allow only what they match, and what stands beside it is judged by itself.
 #: None needs more than a pass over a long candidate, nor a stack that grows with it (hence the `*+`).
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
@@ -145,20 +146,49 @@ def _hot_stretch(characters: Column, kind: EntropyClass) -> Column:
     return F.aggregate(ends, empty, slid, lambda state: F.struct(state["first"].alias("first"), state["last"].alias("last")))
 
 
+def _parts(run: Column, words: str, suspect) -> Column:
+    """The ``suspect`` ones of the parts of a run between matches of ``words``, as (start, hit)."""
+    turns = F.arrays_zip(F.split(run, words, -1).alias("gap"), F.regexp_extract_all(run, F.lit(words), F.lit(0)).alias("hit"))
+
+    def walk(state: Column, x: Column) -> Column:
+        part = F.array(F.struct(state["at"].alias("start"), x["gap"].alias("hit")))
+        return F.struct(
+            (state["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
+            F.when(suspect(x["gap"]), F.concat(state["found"], part)).otherwise(state["found"]).alias("found"),
+        )
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("found"))
+    return F.aggregate(turns, begin, walk, lambda state: state["found"])
+
+
 def entropy_spans(text: Column, kind: EntropyClass, rank: int, allowed: tuple[str, ...]) -> Column:
-    """One span per candidate: from its first to its last window over the threshold."""
+    """One span per candidate: from its first to its last window over the threshold.
+
+    A candidate is a run of the class, or where allowed words stand in the run, each part beside them.
+    """
     run = "[" + kind.alphabet.replace("-", r"\-") + "]{" + str(kind.window)
+    whole = [p for p in allowed if p.removeprefix("(?i)").startswith("^")]
+    words = "|".join(f"(?:{p})" for p in allowed if p not in whole)
 
-    def suspect(hit: Column) -> Column:
+    def suspect(hit: Column, bare: Column) -> Column:
         keep = hit.rlike(kind.mixed)
-        for pattern in allowed:
-            keep = keep & ~hit.rlike(pattern)
+        for pattern in whole:
+            keep = keep & ~bare.rlike(pattern)
         return keep
 
-    judged = F.transform(
-        _places(text, run + ",}", run + "}", suspect),
-        lambda x: F.struct(x["start"].alias("start"), hot_stretch(x["hit"], kind).alias("hot")),
-    )
+    def suspect_part(part: Column) -> Column:
+        # The sign between an allowed word and the part counts for its entropy, not for its shape.
+        return (F.length(part) >= kind.window) & suspect(part, F.regexp_replace(part, "^[/_+-]|[/_+-]$", ""))
+
+    candidates = _places(text, run + ",}", run + "}", lambda hit: suspect(hit, hit))
+    if words:
+
+        def cut(x: Column) -> Column:
+            parts = F.transform(_parts(x["hit"], words, suspect_part), lambda p: F.struct((x["start"] + p["start"]).alias("start"), p["hit"].alias("hit")))
+            return F.when(x["hit"].rlike(words), parts).otherwise(F.array(F.struct(x["start"].alias("start"), x["hit"].alias("hit"))))
+
+        candidates = F.flatten(F.transform(candidates, cut))
+    judged = F.transform(candidates, lambda x: F.struct(x["start"].alias("start"), hot_stretch(x["hit"], kind).alias("hot")))
     return F.transform(
         F.filter(judged, lambda x: x["hot"]["first"] >= 0),
         lambda x: _span(kind.kind, rank, x["start"] + x["hot"]["first"], x["start"] + x["hot"]["last"] + kind.window),
@@ -182,7 +212,7 @@ def scan(
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy.
 
     ``spans``: kind:start:end of base and entropy spans by start, then kind as listed; code points, end
-    exclusive. The allow-list suppresses entropy spans only. NULL and empty texts have no span and the hash
+    exclusive. The allow-list suppresses entropy spans only, and only what it matches, not what stands beside it. NULL and empty texts have no span and the hash
     of an empty string. Every row is judged by itself: ids may be NULL or repeat, other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))

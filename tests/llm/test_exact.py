@@ -142,6 +142,23 @@ def test_secret_scan(spark, sf_dir, make, edge):
     assert secret_scan.scan(edge.limit(0)).count() == 0
 
 
+def test_a_token_beside_an_allowed_word_is_found(make):
+    draw = random.Random(6)
+    tokens = ["".join(draw.sample(secret_scan.LOWER + secret_scan.UPPER + secret_scan.DIGITS, 40)) for _ in range(6)]
+    uuid = "550e8400-e29b-41d4-a716-446655440000"
+    cases = [
+        ("/samples/" + tokens[0], tokens[:1]), ("my_example_" + tokens[1], tokens[1:2]), (tokens[2] + "0123456789" + tokens[3], tokens[2:4]),
+        (f"é {tokens[4] * 20}your-{tokens[5]} end", tokens[4:]), ("/2024/example/path/of/many/plain/words/and/11", []), (f"example-{uuid}/sample/{uuid}", []),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", []), ("example1" * 20_000, []),
+    ]
+    docs = make([(k, text, "en", "s") for k, (text, _) in enumerate(cases)])
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.scan(docs).collect()}
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs).collect()}
+    for k, (text, held) in enumerate(cases):
+        assert spans[k].count("entropy_base64") == len(held)
+        assert not any(token[4:] in clean[k] for token in held) and (held or clean[k] == text)
+
+
 def test_long_runs_take_no_quadratic_time(make):
     import random
 
