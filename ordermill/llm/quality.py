@@ -4,9 +4,11 @@ A document is a bag of passages of ``PASSAGE`` bytes. Each passage becomes a vec
 and is encoded by a learned layer; gated attention weighs the encodings, and a logistic layer scores their
 weighted mean. Labels exist for documents only, so the attention learns which passages decide.
 
-The fit reads a bounded sample of labelled documents. Their features are stored once, in shards; in every
-round each shard improves the current parameters by itself in a task of its own, and the driver averages
-the shards' parameters by their documents. Scoring covers every passage of every document.
+The fit reads a bounded sample of labelled documents, every passage of each. Their features are stored once, a
+long document's in several rows, and dealt to shards; in every round each shard improves the current parameters
+by itself in a task of its own, and the driver averages the shards' parameters by their documents. The more
+passages, the more shards; a shard goes over its passages in blocks, whose attention sums are combined per
+document. Scoring covers every passage of every document.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ordermill.llm.common import PrefixHash, utf8, word_bounds
+from ordermill.llm.common import BLANK, PrefixHash, utf8, word_bounds
 from ordermill.session import materialise
 
 PASSAGE = 512
-FIT_DOCUMENTS, FIT_PASSAGES = 4096, 48  # bounds of the sample: documents, and passages of each, evenly spaced
+FIT_DOCUMENTS = 4096  # bound of the sample
+SHARD_PASSAGES, BLOCK = 1 << 18, 1 << 16  # passages of a shard, beyond which there are more, and those encoded at once
 SHARDS, ROUNDS, STEPS, RATE, DECAY = 4, 4, 30, 0.04, 1e-4
 ENCODED, ATTENTION = 16, 8
 CHUNK = 1 << 20  # bytes of text measured at once
@@ -80,6 +83,23 @@ def features(texts: list[bytes], size: int = PASSAGE) -> tuple[np.ndarray, np.nd
     return np.sqrt(out), owner
 
 
+def long_features(text: bytes) -> Iterator[np.ndarray]:
+    """What ``features`` gives for one text, ``CHUNK`` bytes of text at a time.
+
+    A piece is measured with the passage before it, where its first word may start, and up to the end of its
+    last word, at most another ``CHUNK``.
+    """
+    for at in range(0, max(1, len(text)), CHUNK):
+        first, stop = max(0, at - PASSAGE), min(len(text), at + CHUNK)
+        upto = stop
+        if stop < len(text) and (not at or BLANK.search(text, at, stop)):
+            end = BLANK.search(text, stop, stop + CHUNK)
+            upto = end.start() if end else min(len(text), stop + CHUNK)
+        skip = (at - first) // PASSAGE
+        count = -(-(stop - at + (stop == len(text))) // PASSAGE)
+        yield features([text[first:upto]])[0][skip : skip + count]
+
+
 def shapes(encoded: int = ENCODED, attention: int = ATTENTION) -> list[tuple[int, ...]]:
     return [(FEATURES, encoded), (encoded,), (encoded, attention), (encoded, attention), (attention,), (encoded,), (1,)]
 
@@ -111,21 +131,37 @@ def _encode(x: np.ndarray, p: list[np.ndarray]) -> tuple[np.ndarray, ...]:
 def bag_loss(flat: np.ndarray, x: np.ndarray, starts: np.ndarray, bag: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
     """Mean log loss over bags and its gradient. ``starts``: each bag's first passage; ``bag``: each passage's bag."""
     p = unpacked(flat)
-    h, v, u, s = _encode(x, p)
-    e = np.exp(s - np.maximum.reduceat(s, starts)[bag])
-    a = e / np.add.reduceat(e, starts)[bag]
-    z = np.add.reduceat(a[:, None] * h, starts)
+    peak, weight, z = np.full(len(starts), -np.inf), np.zeros(len(starts)), np.zeros((len(starts), len(p[5])))
+    blocks = [slice(at, at + BLOCK) for at in range(0, len(x), BLOCK)]
+    for part in blocks:
+        encoded = h, _, _, s = _encode(x[part], p)
+        inner = np.flatnonzero(np.diff(bag[part], prepend=-1))
+        held = bag[part][inner]
+        now = np.maximum(peak[held], np.maximum.reduceat(s, inner))
+        fade = np.exp(peak[held] - now)
+        peak[held] = now
+        e = np.exp(s - peak[bag[part]])
+        weight[held] = weight[held] * fade + np.add.reduceat(e, inner)
+        z[held] = z[held] * fade[:, None] + np.add.reduceat(e[:, None] * h, inner)
+    z /= weight[:, None]
     score = sigmoid(z @ p[5] + p[6])
     loss = -np.mean(np.where(y == 1, np.log(score + 1e-12), np.log(1 - score + 1e-12)))
     d_out = (score - y) / len(y)
     d_z = d_out[:, None] * p[5]
-    d_a = (d_z[bag] * h).sum(1)
-    d_s = a * (d_a - np.add.reduceat(a * d_a, starts)[bag])
-    d_v = d_s[:, None] * p[4] * u * (1 - v * v)
-    d_u = d_s[:, None] * p[4] * v * u * (1 - u)
-    d_h = (a[:, None] * d_z[bag] + d_v @ p[2].T + d_u @ p[3].T) * (1 - h * h)
-    grads = [x.T @ d_h, d_h.sum(0), h.T @ d_v, h.T @ d_u, (v * u).T @ d_s, z.T @ d_out, d_out.sum(keepdims=True)]
-    return float(loss), np.concatenate([g.ravel() for g in grads]) + DECAY * flat
+    d_mean = (d_z * z).sum(1)
+    total = np.zeros_like(flat)
+    for part in blocks:
+        own = bag[part]
+        h, v, u, s = encoded if len(blocks) == 1 else _encode(x[part], p)
+        a = np.exp(s - peak[own]) / weight[own]
+        d_s = a * ((d_z[own] * h).sum(1) - d_mean[own])
+        d_v = d_s[:, None] * p[4] * u * (1 - v * v)
+        d_u = d_s[:, None] * p[4] * v * u * (1 - u)
+        d_h = (a[:, None] * d_z[own] + d_v @ p[2].T + d_u @ p[3].T) * (1 - h * h)
+        grads = [x[part].T @ d_h, d_h.sum(0), h.T @ d_v, h.T @ d_u, (v * u).T @ d_s]
+        total[: -len(p[5]) - 1] += np.concatenate([g.ravel() for g in grads])
+    total[-len(p[5]) - 1 :] = np.append(z.T @ d_out, d_out.sum())
+    return float(loss), total + DECAY * flat
 
 
 def improve(flat: np.ndarray, x: np.ndarray, sizes: np.ndarray, y: np.ndarray, steps: int = STEPS, rate: float = RATE) -> np.ndarray:
@@ -196,16 +232,18 @@ class Model:
 
 
 def _bags(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rows = rows.sort_values(["draw", "y"], kind="stable")
+    """Passages, and each bag's size and label. The rows of a bag follow each other."""
+    rows = rows.sort_values(["draw", "y", "row", "piece"], kind="stable")
     x = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows["bag"]]
-    return np.concatenate(x), np.array([len(b) for b in x]), rows["y"].to_numpy()
+    first = np.flatnonzero(rows["piece"].to_numpy() == 0)
+    return np.concatenate(x), np.add.reduceat([len(b) for b in x], first), rows["y"].to_numpy()[first]
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    documents: int = FIT_DOCUMENTS, bag: int = FIT_PASSAGES, rounds: int = ROUNDS, shards: int = SHARDS,
+    documents: int = FIT_DOCUMENTS, rounds: int = ROUNDS, shards: int = SHARDS,
 ) -> Model:
-    """Fit on about ``documents`` labelled documents where ``learn`` holds, drawn by a hash of the id.
+    """Fit on about ``documents`` labelled documents where ``learn`` holds, drawn by a hash of the id, each whole.
 
     Several labels of one document count as their mean. Only the sampled labels go out to the documents.
     """
@@ -220,17 +258,17 @@ def fit(
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for text in batch["text"]:
-                pieces = -(-(len(text) + 1) // PASSAGE)
-                chosen = np.unique(np.linspace(0, pieces - 1, min(pieces, bag)).astype(int))
-                out.append(np.concatenate([features([text[k * PASSAGE : (k + 1) * PASSAGE - (k < pieces - 1)]])[0] for k in chosen]).tobytes())
-            yield pd.DataFrame({"draw": batch["draw"], "y": (batch["y"] >= 0.5).astype("int32"), "bag": out})
+            for row, draw, y, text in zip(batch["row"], batch["draw"], batch["y"], batch["text"]):
+                for piece, x in enumerate(long_features(text)):
+                    yield pd.DataFrame({"draw": [draw], "y": [int(y >= 0.5)], "row": [row], "piece": [piece], "passages": [len(x)], "bag": [x.tobytes()]})
 
     # The sampled labels number some ``documents`` rows of three numbers, so they may go to every task.
     texts = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("text")).join(F.broadcast(drawn), "doc_id")
-    sample = materialise(texts.select("draw", "y", "text").mapInPandas(measured, "draw long, y int, bag binary"), "quality-bags")
-    sharded = sample.withColumn("shard", F.col("draw") % shards)
+    columns = "draw long, y int, row long, piece int, passages int, bag binary"
+    numbered = texts.select("draw", "y", "text", F.monotonically_increasing_id().alias("row"))
+    sample = materialise(numbered.mapInPandas(measured, columns), "quality-bags")
+    count = sample.agg(F.sum("passages")).first()[0] or 0
+    sharded = sample.drop("passages").withColumn("shard", F.col("draw") % max(shards, -(-count // SHARD_PASSAGES)))
 
     def moments(rows: pd.DataFrame) -> pd.DataFrame:
         x, _, y = _bags(rows)

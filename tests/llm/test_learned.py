@@ -108,6 +108,45 @@ def test_gradient_of_the_loss():
         assert abs(slope + quality.DECAY * flat[k] - grad[k]) < 1e-6
 
 
+def test_loss_of_blocks_is_that_of_the_whole(monkeypatch):
+    draw = np.random.default_rng(2)
+    sizes = np.array([1, 3, 12, 5, 1, 9])
+    x, y = draw.normal(size=(sizes.sum(), quality.FEATURES)), np.array([1, 0, 1, 0, 0, 1])
+    starts, bag = np.cumsum(sizes) - sizes, np.repeat(np.arange(6), sizes)
+    loss, grad = quality.bag_loss(quality.start_parameters() * 3, x, starts, bag, y)
+    for block in (1, 4, 7):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        again, parts = quality.bag_loss(quality.start_parameters() * 3, x, starts, bag, y)
+        assert abs(again - loss) < 1e-12 and np.abs(parts - grad).max() < 1e-12
+
+
+def test_fit_reads_every_passage(spark, make, monkeypatch):
+    # Every other passage is clean; what decides stands in one of some 130.
+    clean, draw = "Plain words of a clean passage, as many as fit. " * 11, np.random.default_rng(3)
+    clean = clean[: quality.PASSAGE]
+    rows = []
+    for k in range(60):
+        parts = [clean] * 130
+        if k % 2:
+            parts[draw.integers(1, 129)] = ("#$ %% @@ !! " * 50)[: quality.PASSAGE]
+        rows.append((k, "".join(parts), "en", "s"))
+    docs = make([*rows, (1, rows[1][1], "en", "s")])
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(60)], "doc_id long, quality int")
+    every = np.concatenate([quality.features([text.encode()])[0] for _, text, _, _ in [*rows, rows[1]]])
+    model = quality.fit(docs, labels, F.lit(True))
+    assert np.abs(model.centre - every.mean(0, dtype=np.float64)).max() < 1e-9
+    found = model.score_all([text.encode() for _, text, _, _ in rows])
+    assert all((score >= 0.5) == (k % 2 == 0) for k, score in enumerate(found))
+    # The same of rows that hold a few passages each, in more shards than one.
+    monkeypatch.setattr(quality, "SHARD_PASSAGES", 2_000)
+    monkeypatch.setattr(quality, "CHUNK", quality.PASSAGE * 8)
+    for _, text, _, _ in rows[:2]:
+        parts = list(quality.long_features(text.encode()))
+        assert len(parts) > 16 and np.array_equal(np.concatenate(parts), quality.features([text.encode()])[0])
+    again = quality.fit(docs, labels, F.lit(True))
+    assert np.abs(again.centre - model.centre).max() < 1e-9
+
+
 def test_score_is_the_attention_weighted_passage(edge_rows):
     model = quality.Model(quality.start_parameters(3) * 3, np.zeros(quality.FEATURES), np.ones(quality.FEATURES), 0.5)
     texts = [(r[1] or "").encode() for r in edge_rows]
