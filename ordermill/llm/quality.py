@@ -185,10 +185,9 @@ class Model:
     spread: np.ndarray
     prior: float
 
-    def _encoded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x, owner = features(texts)
+    def _encoded(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h, _, _, s = _encode((x - self.centre) / self.spread, unpacked(self.flat))
-        return h, s, np.flatnonzero(np.diff(owner, prepend=-1))
+        return h, s
 
     def _out(self, z: np.ndarray) -> np.ndarray:
         p = unpacked(self.flat)
@@ -196,16 +195,18 @@ class Model:
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """The score of each of some texts, which are measured together."""
-        h, s, starts = self._encoded(texts)
+        x, owner = features(texts)
+        h, s = self._encoded(x)
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
         sizes = np.diff(np.append(starts, len(s)))
         e = np.exp(s - np.repeat(np.maximum.reduceat(s, starts), sizes))
         return self._out(np.add.reduceat(e[:, None] * h, starts) / np.add.reduceat(e, starts)[:, None])
 
     def long_score(self, text: bytes) -> float:
-        """The score of one long text, piece by piece: the attention's sums are carried with their greatest exponent."""
+        """What ``scores`` gives for a long text, piece by piece: the attention's sums are carried with their greatest exponent."""
         peak, weight, total = -np.inf, 0.0, 0.0
-        for at in range(0, len(text), CHUNK):
-            h, s, _ = self._encoded([text[at : at + CHUNK]])
+        for x in long_features(text):
+            h, s = self._encoded(x)
             now = max(peak, s.max())
             e = np.exp(s - now)
             weight, total = weight * np.exp(peak - now) + e.sum(), total * np.exp(peak - now) + e @ h

@@ -168,6 +168,15 @@ def test_score_is_the_attention_weighted_passage(edge_rows):
     assert abs(pieces - model.scores([text])[0]) < 0.02
 
 
+def test_a_long_text_scores_as_it_does_whole(edge_rows, monkeypatch):
+    model = quality.Model(quality.start_parameters(3) * 3, np.zeros(quality.FEATURES), np.ones(quality.FEATURES), 0.5)
+    prose = edge_rows[6][1].encode()
+    texts = [prose[: quality.PASSAGE * 40], prose[:20_001], b"x" * 9_000 + b" y" * 3_000, b"ab c" + b"z" * 700 + b" " + prose[:9_000], b""]
+    whole = [model.scores([text])[0] for text in texts]
+    monkeypatch.setattr(quality, "CHUNK", quality.PASSAGE * 8)
+    assert max(abs(model.long_score(text) - score) for text, score in zip(texts, whole)) < 1e-6
+
+
 def test_quality_at_the_edges(spark, edge, edge_rows):
     labels = spark.createDataFrame(
         [(k, k % 2, "x") for k in range(12)] + [(5, 1, "x"), (5, None, "x"), (None, 1, "x")], "doc_id long, quality int, score string"
