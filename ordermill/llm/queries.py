@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
+    byte_pairs,
     decontamination,
     language,
     licenses,
@@ -68,11 +69,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = byte_pairs.decode(byte_pairs.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_language_id, op3_secret_scan, op4_source_mix, op5_token_counts,
         op6_license_scan, op7_suffix_dedup, op8_nearest_vectors, op9_simhash, op10_quality,
+        op11_byte_pairs,
     )
 }
 
