@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from ordermill.llm import (
     byte_pairs,
     decontamination,
+    importance,
     language,
     licenses,
     mixing,
     neighbours,
     quality,
+    ranked_search,
     secret_scan,
     simhash,
     suffix_dedup,
@@ -79,12 +81,21 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_language_id, op3_secret_scan, op4_source_mix, op5_token_counts,
         op6_license_scan, op7_suffix_dedup, op8_nearest_vectors, op9_simhash, op10_quality,
-        op11_byte_pairs,
+        op11_byte_pairs, op12_ranked_search, op13_importance,
     )
 }
 
@@ -152,8 +163,78 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 20
 """
 
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+RANKED_SQL = f"""
+WITH terms AS (
+    SELECT doc_id, row_number() OVER () AS row, regexp_extract_all({LOWER}, {WORDS}) AS w FROM documents
+), documents_held AS (SELECT doc_id, row, w, len(w) AS n FROM terms WHERE len(w) > 0
+), totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM documents_held
+), asked AS (
+    SELECT item_id, term, count(*)::BIGINT AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, {WORDS})) AS term FROM benchmark) GROUP BY ALL
+), occurring AS (
+    SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(w) AS term FROM documents_held)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM occurring, totals GROUP BY term, n_docs
+), impacts AS (
+    SELECT row, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)) AS impact
+    FROM occurring JOIN documents_held USING (row), totals
+), scored AS (
+    SELECT item_id, row, sum(times * w * impact)::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, row
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored JOIN documents_held USING (row) WHERE score > 0 QUALIFY rank <= {ranked_search.BEST}
+"""
+
+IMPORTANCE_SQL = f"""
+WITH registers AS (
+    SELECT list(v ORDER BY b) AS crc_table FROM (
+        SELECT b, list_reduce([b] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) t(b)
+    )
+), words AS (
+    SELECT 'd' AS side, doc_id, row_number() OVER () AS row, coalesce(regexp_extract_all({LOWER}, {WORDS}), []) AS w FROM documents
+    UNION ALL SELECT 'b', NULL, NULL, coalesce(regexp_extract_all({LOWER}, {WORDS}), []) FROM benchmark
+), runs AS (
+    SELECT side, row, unnest(w || list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS feature FROM words
+), counted AS (SELECT side, row, feature, count(*) AS times FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT feature, xor(4294967295, list_reduce(
+        [4294967295] || list_transform(range(1, len(hex(feature)), 2), lambda k: ('0x' || substr(hex(feature), k, 2))::BIGINT),
+        lambda c, x: xor(c >> 8, crc_table[xor(c & 255, x) + 1]))) % {importance.BUCKETS} AS bucket
+    FROM (SELECT DISTINCT feature FROM counted), registers
+), placed AS (SELECT side, row, bucket, sum(times) AS times FROM counted JOIN hashed USING (feature) GROUP BY ALL
+), totals AS (
+    SELECT bucket, coalesce(sum(times) FILTER (side = 'd'), 0) AS s, coalesce(sum(times) FILTER (side = 'b'), 0) AS t
+    FROM placed GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + {importance.BUCKETS})::DOUBLE
+        / ((s + 1)::DOUBLE * (sum(t) OVER () + {importance.BUCKETS})::DOUBLE)))::BIGINT AS gain
+    FROM totals
+), weighed AS (
+    SELECT row, sum(times) AS n_features, floor(sum(gain * times)::DOUBLE / sum(times)::DOUBLE)::BIGINT AS weight
+    FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row
+), scored AS (
+    SELECT doc_id, len(w) >= {importance.LEAST_WORDS} AS eligible, coalesce(n_features, 0)::BIGINT AS n_features,
+        coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((
+        ('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296)))::BIGINT AS score
+    FROM words LEFT JOIN weighed USING (row) WHERE side = 'd'
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id) AS place,
+        {importance.PERCENT} * count(*) OVER (PARTITION BY eligible) // 100 AS wanted
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN eligible AND place <= wanted THEN place END AS rank FROM ranked
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": CONTAMINATION_SQL,
     "op4_source_mix": MIX_SQL,
     "op8_nearest_vectors": NEAREST_SQL,
+    "op12_ranked_search": RANKED_SQL,
+    "op13_importance": IMPORTANCE_SQL,
 }
