@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,19 +24,20 @@ from pyspark.sql.functions import pandas_udf
 from ordermill.llm.common import utf8
 
 VOCABULARY = "byte_bpe_50k.json"
-REMEMBERED = 1 << 19  # stretches whose ids a worker keeps
+REMEMBERED = 1 << 18  # stretches whose ids a worker keeps
 GROUP = 1 << 21  # characters of text encoded together
 NONE = np.int64(1 << 40)  # the rank of a pair that does not merge
 
 # The split expression of byte-level vocabularies for ASCII text, and what counts as white space in it.
 ASCII_WORDS = re.compile(
-    rb"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 )
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # A stretch is white space with what follows up to the next white space. No word of the split crosses its ends.
 ASCII_STRETCHES = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 STRETCHES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+INSIDE = re.compile(f"[{SPACE}].*[^{SPACE}]\\Z", re.DOTALL)
 BETWEEN = re.compile(f"(?<=[^{SPACE}])[{SPACE}]")
 
 
@@ -139,29 +140,39 @@ class Codec:
         order = np.argsort(owner, kind="stable")
         return ids[order], owner[order]
 
-    def words(self, stretch: str) -> list[bytes]:
-        if stretch.isascii():
-            return ASCII_WORDS.findall(stretch.encode())
-        return [word.translate(self.byte_of).encode("latin-1") for word, _ in self.split(stretch)]
+    def words(self, text: str) -> list[int]:
+        """The lengths in bytes of the words a text splits into."""
+        if text.isascii():
+            return list(map(len, ASCII_WORDS.findall(text)))
+        # In the byte alphabet a character is a byte.
+        return [len(word) for word, _ in self.split(text)]
 
     def learn(self, stretches: list[str]) -> None:
-        """Put the ids of stretches that are not known yet into ``known``, all in one flat array."""
-        words = [self.words(x) for x in stretches]
-        lengths = np.array([len(w) for several in words for w in several], np.int64)
-        data = np.frombuffer(b"".join(w for several in words for w in several), np.uint8)
+        """Put the ids of stretches that are not known yet into ``known``, all in one flat array.
+
+        Stretches that start with white space and end without split alike alone and behind one another, so
+        they are split together; the others, such as the first of a text, by themselves.
+        """
+        loose, ascii_ones, others = [], [], []
+        for x in stretches:
+            (loose if INSIDE.match(x) is None else ascii_ones if x.isascii() else others).append(x)
+        lengths = np.array([n for x in ["".join(ascii_ones), "".join(others), *loose] for n in self.words(x)], np.int64)
+        stretches = [*ascii_ones, *others, *loose]
+        raw = [x.encode() for x in stretches]
+        data = np.frombuffer(b"".join(raw), np.uint8)
         if not len(data):
             return
         fresh = np.append(True, self.apart[data[:-1].astype(np.int64) << 8 | data[1:]])
         fresh[(np.cumsum(lengths) - lengths)] = True
         part = np.cumsum(fresh) - 1
         ids, owner = self.rounds(self.symbol[data], part)
-        ends = np.cumsum([sum(map(len, several)) for several in words])
+        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
         # Where each stretch's last part ends among the ids.
         stops = np.searchsorted(owner, part[ends - 1], "right")
-        raw = ids.astype("<u4").tobytes()
+        coded = ids.astype("<u4").tobytes()
         start = 0
         for stretch, stop in zip(stretches, (4 * stops).tolist()):
-            self.known[stretch] = raw[start:stop]
+            self.known[stretch] = coded[start:stop]
             start = stop
 
     def stretches(self, text: str) -> Iterator[list[str]]:
@@ -235,29 +246,31 @@ def _definition(vocabulary: str | None) -> str:
         return file.read()
 
 
-def ids_column(text: str, definition: str, spark: SparkSession) -> Column:
-    """``definition``: the vocabulary file's text, a few MB whatever the corpus."""
+def codec_column(definition: str, spark: SparkSession, kind: str, work) -> Callable[[Column], Column]:
+    """A column function that hands a worker's codec and a batch to ``work``. ``definition``: the vocabulary
+    file's text, a few MB whatever the corpus."""
     shared = spark.sparkContext.broadcast(definition)
 
-    @pandas_udf("binary")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = _codec(shared.value)
         for batch in batches:
-            yield pd.Series(list(codec.encode(batch)), dtype="object")
+            yield work(codec, batch)
 
-    return encoded(utf8(text))
+    return run
 
 
-def text_column(ids: str, definition: str, spark: SparkSession) -> Column:
-    shared = spark.sparkContext.broadcast(definition)
+def _encoded(codec: Codec, batch: pd.Series) -> pd.Series:
+    return pd.Series(list(codec.encode(batch)), dtype="object")
 
-    @pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(shared.value)
-        for batch in batches:
-            yield pd.Series([codec.decode(x) for x in batch], dtype="object")
 
-    return decoded(F.coalesce(F.col(ids), F.lit(b"")))
+def _decoded(codec: Codec, batch: pd.Series) -> pd.Series:
+    return pd.Series([codec.decode(x) for x in batch], dtype="object")
+
+
+def _both(codec: Codec, batch: pd.Series) -> pd.DataFrame:
+    ids = _encoded(codec, batch)
+    return pd.DataFrame({"ids": ids, "decoded": _decoded(codec, ids)})
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -266,7 +279,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     No begin, end or padding tokens; a special string inside a text is its one token. NULL and empty texts
     have no ids. Rows are encoded one by one, so ids may be NULL or repeat; other columns are ignored.
     """
-    held = docs.select(F.col(id_col).alias("doc_id"), ids_column(text_col, _definition(vocabulary), docs.sparkSession).alias("ids"))
+    ids = codec_column(_definition(vocabulary), docs.sparkSession, "binary", _encoded)
+    held = docs.select(F.col(id_col).alias("doc_id"), ids(utf8(text_col)).alias("ids"))
     return held.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
@@ -275,4 +289,12 @@ def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "text", voc
 
     A column that is called ``text_col`` already is replaced.
     """
-    return encoded.withColumn(text_col, text_column(ids_col, _definition(vocabulary), encoded.sparkSession))
+    text = codec_column(_definition(vocabulary), encoded.sparkSession, "string", _decoded)
+    return encoded.withColumn(text_col, text(F.coalesce(F.col(ids_col), F.lit(b""))))
+
+
+def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """``encode`` with the text its ids decode to as ``decoded``, in one pass: a round trip of every row."""
+    both = codec_column(_definition(vocabulary), docs.sparkSession, "ids binary, decoded string", _both)
+    held = docs.select(F.col(id_col).alias("doc_id"), both(utf8(text_col)).alias("both")).select("doc_id", "both.*")
+    return held.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

@@ -72,12 +72,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = byte_pairs.decode(byte_pairs.encode(table(spark, sf_dir, "documents")))
-    return decoded.select(
+    found = byte_pairs.encode_and_decode(table(spark, sf_dir, "documents"))
+    return found.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

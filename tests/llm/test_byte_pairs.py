@@ -91,3 +91,9 @@ def test_edges(edge, edge_rows, library):
     )
     assert byte_pairs.decode(byte_pairs.encode(edge.limit(0))).count() == 0
     assert [r.text for r in byte_pairs.decode(edge.selectExpr("CAST(NULL AS binary) ids").limit(1)).collect()] == [""]
+
+
+def test_one_pass_round_trip_is_encode_then_decode(edge):
+    apart = byte_pairs.decode(byte_pairs.encode(edge), text_col="decoded").select("doc_id", "ids", "decoded", "n_tokens")
+    whole = byte_pairs.encode_and_decode(edge)
+    assert sorted(map(str, apart.collect())) == sorted(map(str, whole.collect()))
