@@ -128,10 +128,14 @@ def violation_counts(df: DataFrame, rules: Rules) -> DataFrame:
     return counted.unpivot([], list(measures), "rule", "row_count")
 
 
+def failed_rules(rules: Rules) -> Column:
+    """The names of the rules a row fails; an empty array for a row to keep."""
+    return F.array_compact(F.array(*[F.when(~passes(r), F.lit(name)) for name, r in rules.items()]))
+
+
 def quarantine(df: DataFrame, rules: Rules, reasons: str = "reasons") -> DataFrame:
     """The rows that fail, each with the names of the rules it fails."""
-    failed = F.array_compact(F.array(*[F.when(~passes(r), F.lit(name)) for name, r in rules.items()]))
-    return df.filter(~passes_all(rules)).withColumn(reasons, failed)
+    return df.filter(~passes_all(rules)).withColumn(reasons, failed_rules(rules))
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, left_total: Column, right_total: Column) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ordermill.functions.calendar import day_name, is_day, parse_timestamp
@@ -31,13 +31,28 @@ def conform_orders(df: DataFrame, source: str, naive_tz: str | None = None) -> D
     )
 
 
+def order_time(df: DataFrame, naive_tz: str | None = None) -> Column:
+    """An order's time before it is conformed."""
+    return parse_timestamp(df, "timestamp", naive_tz)
+
+
+BODY = [c for c in [*ORDER_FIELDS, "source_system"] if c != "order_id"]
+
+
+def standing(preference: Column) -> Column:
+    """How a conformed order ranks among copies of its id, the smallest first: the place of its source in the
+    order of preference, then the newest `created_at`, then the smallest hash of the row."""
+    age = F.coalesce(-F.unix_micros("created_at"), F.lit(2**63 - 1))
+    return F.struct(preference.alias("preference"), age.alias("age"), F.xxhash64(*BODY).alias("hash"))
+
+
 def unify_orders(sources: Sequence[tuple[str, DataFrame]], naive_tz: str | None = None) -> DataFrame:
-    """Union of the order sources with one row per order id.
+    """Union of the order sources with one row per order id; rows without an id are all kept.
 
     Sources come in order of preference. The survivor of an id is the row of the most preferred
     source, then the newest `created_at`, then the smallest hash of the row, then the smallest row, so
-    reruns agree. Rows move once, by id, and are sorted once, after the exchange, by id and that compact
-    key. Equal copies beyond the survivor cost one step of a running number, however many there are.
+    reruns agree. It is a minimum, so each task sends on one row per id at most, however many copies an id has.
+    Rows without an id have nothing to be compared by and move nowhere: the rules drop and count each of them.
     """
     tagged = [
         conform_orders(df, label, naive_tz).withColumn("preference", F.lit(place))
@@ -46,16 +61,11 @@ def unify_orders(sources: Sequence[tuple[str, DataFrame]], naive_tz: str | None
     union = tagged[0]
     for other in tagged[1:]:
         union = union.unionByName(other)
-    payload = [c for c in [*ORDER_FIELDS, "source_system"] if c != "order_id"]
-    keyed = union.withColumns(
-        {
-            "_age": F.coalesce(-F.unix_micros("created_at"), F.lit(2**63 - 1)),
-            "_hash": F.xxhash64(*payload),
-        }
-    )
-    order = Window.partitionBy("order_id").orderBy("preference", "_age", "_hash", *payload)
-    numbered = keyed.repartition("order_id").withColumn("_place", F.row_number().over(order))
-    return numbered.filter("_place = 1").select(*ORDER_FIELDS, "source_system")
+    columns = [*ORDER_FIELDS, "source_system"]
+    best = F.min(F.struct(standing(F.col("preference")), *BODY)).alias("best")
+    known = union.where("order_id IS NOT NULL").groupBy("order_id").agg(best)
+    nameless = union.where("order_id IS NULL").select(*columns)
+    return known.select("order_id", *[f"best.{c}" for c in BODY]).select(*columns).unionByName(nameless)
 
 
 def order_headers(

@@ -63,7 +63,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
-    folder, files = _hadoop(spark, path)
+    folder, files = hadoop_path(spark, path)
     files.deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -74,11 +74,11 @@ def discard(df: DataFrame) -> None:
     for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         if spark.sparkContext.applicationId not in path:
             raise ValueError(f"not a frame of the shared folder: {path}")
-        folder, files = _hadoop(spark, path)
+        folder, files = hadoop_path(spark, path)
         files.delete(folder, True)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """A path and the file system it is in, whichever kind that is."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

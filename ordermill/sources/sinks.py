@@ -18,16 +18,16 @@ def create_namespaces(spark: SparkSession, layers: Sequence[str] = LAYERS, locat
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key)
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def _gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of one partition value together, so that a day lands in few files.
 
     A rebalance, unlike a repartition, may be split by AQE: a very large day is not a single task.
@@ -37,7 +37,7 @@ def _gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Replace a whole table with the frame, its schema and partitioning included."""
-    writer = _gather(df, partition_by).write.mode("overwrite").format(fmt).option("overwriteSchema", "true")
+    writer = gathered(df, partition_by).write.mode("overwrite").format(fmt).option("overwriteSchema", "true")
     writer.partitionBy(*partition_by).saveAsTable(table)
 
 
@@ -50,14 +50,18 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str],
     if not spark.catalog.tableExists(table):
         overwrite_table(df, table, fmt, partition_by)
         return
-    ordered = _gather(df, partition_by).select(*spark.table(table).columns)
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    ordered = gathered(df, partition_by).select(*spark.table(table).columns)
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         ordered.write.insertInto(table, overwrite=True)
 
 
-def append_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-    """Add rows to a partitioned table that exists."""
-    _gather(df, partition_by).select(*df.sparkSession.table(table).columns).write.insertInto(table)
+def append_rows(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows to a table; the first call creates it."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        overwrite_table(df, table, partition_by=partition_by)
+        return
+    gathered(df, partition_by).select(*spark.table(table).columns).write.insertInto(table)
 
 
 def append_merged(df: DataFrame, table: str, fmt: str = "parquet", run: str | None = None) -> None:
@@ -77,7 +81,7 @@ def append_merged(df: DataFrame, table: str, fmt: str = "parquet", run: str | No
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     shape = spark.createDataFrame([], spark.table(table).schema)
     rows = shape.unionByName(df, allowMissingColumns=True)
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if by else "static"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic" if by else "static"):
         rows.write.insertInto(table, overwrite=bool(by))
 
 

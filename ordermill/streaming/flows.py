@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.operators.reviews import CueRules, Scorer, fact_review
-from ordermill.operators.silver import fact_order_items, fact_orders, unify_orders
+from ordermill.operators.silver import fact_order_items, fact_orders
 from ordermill.sources import kafka, sinks
+from ordermill.sources.partitions import in_partitions, replace_partitions
+from ordermill.streaming.orders import OrderStore, days_touched, each_batch, order_store_stream
 
 
 def bronze_stream(
@@ -20,20 +21,6 @@ def bronze_stream(
     return sinks.stream_to_table(kafka.bronze_orders(messages), table, checkpoint, every)
 
 
-def append_unseen(batch: DataFrame, table: str, key: str, day: str) -> None:
-    """Append the rows whose key the table does not hold yet under the batch's days; create the table if need be.
-
-    Copies of an order carry its timestamp, so they share its day: only those partitions are read, however
-    late a row is. A batch that is replayed finds its own rows and adds none.
-    """
-    spark = batch.sparkSession
-    if not spark.catalog.tableExists(table):
-        sinks.overwrite_table(batch, table, partition_by=[day])
-        return
-    stored = on_days(spark.read.table(table), day, days_of(batch, day)).select(key)
-    sinks.append_partitions(batch.join(stored, key, "left_anti"), table, [day])
-
-
 def silver_order_stream(
     bronze: DataFrame,
     table: str,
@@ -43,29 +30,12 @@ def silver_order_stream(
     naive_tz: str | None = None,
     day: str = "order_date",
 ) -> StreamingQuery:
-    """Bronze to unified orders, one row per order id, partitioned by day.
+    """Bronze to unified orders, one row per order id over all days, partitioned by day.
 
-    No state and no watermark: an order is compared with the stored orders of its day, so one that
-    arrives late is kept like any other, and a copy is left out whenever it comes.
+    The table is the orders of an `OrderStore`; messages without an id are in the store's rejects. Where copies
+    replace orders, marts follow the store's change log (`follow_changes`); the append streams below see new rows only.
     """
-
-    def add(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            survivors = unify_orders([(source, batch)], naive_tz)
-            append_unseen(survivors.withColumn(day, F.to_date("timestamp")), table, "order_id", day)
-        finally:
-            batch.unpersist()
-
-    return _each_batch(bronze, add, checkpoint, every)
-
-
-def _each_batch(
-    stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
-) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.start()
+    return order_store_stream(bronze, OrderStore(table, day=day), checkpoint, source=source, every=every, naive_tz=naive_tz)
 
 
 def fact_order_stream(
@@ -94,18 +64,6 @@ def fact_review_stream(
     return sinks.stream_to_table(fact_review(reviews, scorer, rules), table, checkpoint, every)
 
 
-def days_of(batch: DataFrame, day: str) -> list:
-    """The distinct days of a micro-batch; as many values as the batch has days."""
-    return [row[0] for row in batch.select(day).distinct().collect()]
-
-
-def on_days(facts: DataFrame, day: str, days: Sequence) -> DataFrame:
-    """The rows of the listed days and no others: a literal list prunes partitions exactly."""
-    known = [d for d in days if d is not None]
-    wanted = F.col(day).isin(known)
-    return facts.filter(wanted | F.col(day).isNull() if len(known) < len(days) else wanted)
-
-
 def refresh_daily(
     spark: SparkSession,
     facts_stream: DataFrame,
@@ -120,18 +78,18 @@ def refresh_daily(
     """Keep a per-day mart current: each micro-batch recomputes the days it touches.
 
     `mart` gets the touched days of each facts table, then the dimension tables whole. The days are
-    recomputed from the tables and overwrite their partitions, so replaying a batch after a failure gives
-    the same table. Facts tables that have no column of the day's name are not cut to the days.
+    recomputed from the tables and replace their partitions, so replaying a batch after a failure gives
+    the same table; a day that is recomputed to nothing is cleared. Facts tables that have no column of the day's name are not cut to the days.
     """
     names = [facts_tables] if isinstance(facts_tables, str) else list(facts_tables)
 
     def recompute(batch: DataFrame, batch_id: int) -> None:
-        days = days_of(batch, day)
+        days = days_touched(batch, day)
         if not days:
             return
         session = batch.sparkSession
-        facts = [on_days(t, day, days) if day in t.columns else t for t in map(session.read.table, names)]
-        whole = [session.read.table(name) for name in dimensions]
-        sinks.overwrite_partitions(on_days(mart(*facts, *whole), day, days), gold_table, [day])
+        facts = [t.where(in_partitions([day], days)) if day in t.columns else t for t in map(session.table, names)]
+        whole = [session.table(name) for name in dimensions]
+        replace_partitions(mart(*facts, *whole).where(in_partitions([day], days)), gold_table, [day], days)
 
-    return _each_batch(facts_stream, recompute, checkpoint, every)
+    return each_batch(facts_stream, recompute, checkpoint, every)
