@@ -1,13 +1,15 @@
 """Nearest neighbours by inner product with randomly rotated one-bit codes.
 
-A vector's residual to the mean is normalised, rotated at random and kept as one sign bit per dimension,
-with two scalars: the residual's length and how much of it the code holds. From the bits and the scalars
-follow an estimate of any inner product and a bound on its error. A vector is reranked on its original
+A vector's residual to the mean is normalised, padded with zeros, rotated at random and kept as one sign bit per
+rotated dimension, with two scalars: the residual's length and how much of it the code holds. A query is rotated
+alike and cut into four bit planes. The bits that a code and a plane share, counted on packed words, give
+with the scalars an estimate of the inner product and a bound on its error. A vector is reranked on its original
 components wherever estimate plus bound reaches the query's k-th best score known so far.
 
-Queries are a stated set and go out in blocks of bounded size; every block meets every indexed row. A block
-starts from the k-th best scores within a bounded sample of rows, so a task passes on few rows that do not
-end up among the nearest.
+Several bits per dimension make the bound narrow: its width falls with the root of the number of bits.
+
+Queries are a stated set and go out in blocks of bounded size; every block meets every indexed row. A query
+starts from its k-th best score within a bounded sample of rows, found in the tasks that read the queries.
 """
 
 from __future__ import annotations
@@ -24,47 +26,79 @@ from ordermill.session import materialise
 
 NEAREST = 20
 CONFIDENCE = 3.0  # standard errors in the bound; 1.9 already misses few
-QUERY_BLOCK = 1024
-SAMPLE_ROWS = 4096  # rows that give the mean and each block's first thresholds
+BITS_PER_DIMENSION, MOST_BITS = 8, 1024  # beyond that many dimensions a code has one bit for each
+PLANES = 4  # bits of a query's rotated components
+QUERY_BLOCK = 16_384
+SAMPLE_ROWS = 4096  # rows that give the mean and each query's first threshold
+TILE = 256  # rows and queries whose codes are compared at once
+PAIRS = 1 << 15  # pairs reranked at once
+HELD = 1 << 18  # scores a task keeps before it cuts them to the best of each query
 SEED = 11
 CODES = "vec_id long, embedding array<float>, code binary, length double, held double"
 
 
+@dataclass(frozen=True)
+class Planes:
+    """Queries cut into bit planes: component = low + step * (sum of 2**p over the planes p that have its bit)."""
+
+    words: np.ndarray  # plane, query, word
+    low: np.ndarray
+    step: np.ndarray
+    total: np.ndarray  # of a query's rotated components, as cut
+    lost: np.ndarray  # length of what the cut lost
+    centre: np.ndarray  # inner product with the centre
+    norm: np.ndarray
+
+
 @dataclass(frozen=True)
 class Rotation:
     """What the codes of all rows share."""
 
     centre: np.ndarray
-    matrix: np.ndarray
+    matrix: np.ndarray  # width x bits, its rows orthonormal
 
     @classmethod
     def of(cls, sample: np.ndarray, seed: int = SEED) -> Rotation:
         width = sample.shape[1]
-        q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, width)))
-        return cls(sample.mean(0), q * np.sign(np.diag(r)))
+        bits = -(-max(width, min(BITS_PER_DIMENSION * width, MOST_BITS)) // 64) * 64
+        q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(bits, width)))
+        return cls(sample.mean(0), (q * np.sign(np.diag(r))).T)
 
     def encode(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Packed sign bits, residual lengths, and the inner product of each unit residual with its code."""
         residual = vectors - self.centre
         length = np.sqrt((residual * residual).sum(1))
         turned = residual @ self.matrix / np.where(length > 0, length, 1)[:, None]
-        held = np.abs(turned).sum(1) / np.sqrt(vectors.shape[1])
+        held = np.abs(turned).sum(1) / np.sqrt(self.matrix.shape[1])
         return np.packbits(turned > 0, axis=1), length, held
 
-    def bound(self, codes: np.ndarray, length: np.ndarray, held: np.ndarray, queries: np.ndarray, confidence: float) -> np.ndarray:
-        """For each row and query: the estimated inner product plus its error bound."""
-        width = queries.shape[1]
-        signs = np.unpackbits(codes, axis=1, count=width).astype(np.float32)
-        signs *= 2 / np.sqrt(width)
-        signs -= 1 / np.sqrt(width)
+    def planes(self, queries: np.ndarray) -> Planes:
+        turned = queries @ self.matrix
+        low, high = turned.min(1), turned.max(1)
+        step = np.where(high > low, (high - low) / ((1 << PLANES) - 1), 1.0)
+        cut = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
+        words = np.stack([np.packbits(cut >> p & 1, axis=1).view(np.uint64) for p in range(PLANES)])
+        kept = low[:, None] + step[:, None] * cut
+        lost = np.sqrt(((turned - kept) ** 2).sum(1))
+        return Planes(words, low, step, kept.sum(1), lost, queries @ self.centre, np.sqrt((queries * queries).sum(1)))
+
+    def reach(self, codes: np.ndarray, length: np.ndarray, held: np.ndarray, planes: Planes, some: slice, confidence: float) -> np.ndarray:
+        """For each row and query of a slice: the estimated inner product plus its error bound."""
+        bits = self.matrix.shape[1]
+        words = planes.words[:, some]
+        shared = np.zeros((len(codes), words.shape[1]), np.int32)
+        for w in range(words.shape[2]):
+            for p in range(PLANES):
+                shared += np.left_shift(np.bitwise_count(codes[:, w, None] & words[p, None, :, w]), p, dtype=np.int32)
+        ones = np.bitwise_count(codes).sum(1, dtype=np.int64)
+        # The sum of a query's components where the code's bit is 1, then twice that less the sum of all.
+        signed = 2 * (planes.low[some][None, :] * ones[:, None] + planes.step[some][None, :] * shared) - planes.total[some][None, :]
         safe = np.where(held > 0, held, 1)
-        estimate = signs @ (queries @ self.matrix).T.astype(np.float32)
-        estimate *= (length / safe).astype(np.float32)[:, None]
-        error = np.sqrt(np.maximum(0, 1 - held**2)) / safe / np.sqrt(max(1, width - 1)) * length * confidence
-        norms = np.sqrt((queries * queries).sum(1))
-        estimate += (queries @ self.centre).astype(np.float32)[None, :]
-        estimate += error.astype(np.float32)[:, None] * norms.astype(np.float32)[None, :]
-        return estimate + np.float32(1e-4) * (1 + np.abs(estimate))  # single precision rounds
+        scale = length / safe / np.sqrt(bits)
+        spread = np.sqrt(np.maximum(0, 1 - held**2) / max(1, bits - 1) * bits)
+        error = np.sqrt((spread[:, None] * planes.norm[some][None, :]) ** 2 + planes.lost[some][None, :] ** 2)
+        out = planes.centre[some][None, :] + scale[:, None] * (signed + confidence * error)
+        return out + 1e-9 * (1 + np.abs(out))  # sums in another order round differently
 
 
 def exact(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -102,15 +136,52 @@ def index(vectors: DataFrame, rotation: Rotation) -> DataFrame:
     return materialise(vectors.mapInPandas(coded, CODES), "one-bit-codes")
 
 
-def _thresholds(sample_ids: np.ndarray, sample: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
-    """Each query's k-th best exact score among the sample, the query itself left out; minus infinity for want of k."""
-    out = np.full(len(ids), -np.inf)
-    for at in range(len(ids)):
-        others = sample_ids != ids[at]
-        if others.sum() >= k:
-            scores = exact(sample[others], np.broadcast_to(queries[at], sample[others].shape))
-            out[at] = np.partition(scores, -k)[-k]
-    return out
+def with_floor(queries: DataFrame, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> DataFrame:
+    """Queries with the k-th best exact score among the sample, the query itself left out; minus infinity for want of k."""
+    shared = queries.sparkSession.sparkContext.broadcast((sample_ids, sample))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sample_ids, sample = shared.value
+        for batch in batches:
+            ids, vectors = batch["vec_id"].to_numpy(), _matrix(batch["embedding"], sample.shape[1])
+            floor = np.full(len(ids), -np.inf)
+            for first in range(0, len(ids) if len(sample_ids) > k else 0, TILE):
+                part = slice(first, first + TILE)
+                # A product of matrices adds up in another order than `exact`; the floor gives way by more than that.
+                scores = vectors[part] @ sample.T
+                scores[ids[part][:, None] == sample_ids[None, :]] = -np.inf
+                best = np.partition(scores, -k, axis=1)[:, -k]
+                floor[part] = best - 1e-9 * (1 + np.abs(best))
+            yield batch.assign(floor=floor)
+
+    return queries.mapInPandas(run, "vec_id long, embedding array<float>, floor double")
+
+
+class Best:
+    """A task's best rows per query, and the score a further row has to reach."""
+
+    def __init__(self, floor: np.ndarray, k: int):
+        self.floor, self.k, self.parts, self.size = floor.copy(), k, [], 0
+        self.at, self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, at: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        good = scores >= self.floor[at]
+        self.parts.append((at[good], ids[good], scores[good]))
+        self.size += int(good.sum())
+        if self.size >= HELD:
+            self.cut()
+
+    def cut(self) -> None:
+        at, ids, scores = (np.concatenate(x) for x in zip((self.at, self.ids, self.scores), *self.parts))
+        order = np.lexsort((ids, -scores, at))
+        at, ids, scores = at[order], ids[order], scores[order]
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        rank = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        kth = rank == self.k - 1
+        self.floor[at[kth]] = np.maximum(self.floor[at[kth]], scores[kth])
+        keep = rank < self.k
+        self.at, self.ids, self.scores = at[keep], ids[keep], scores[keep]
+        self.parts, self.size = [], 0
 
 
 def search_block(indexed: DataFrame, rotation: Rotation, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int, confidence: float) -> DataFrame:
@@ -119,28 +190,21 @@ def search_block(indexed: DataFrame, rotation: Rotation, ids: np.ndarray, querie
 
     def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rotation, ids, queries, floor = shared.value
-        width, floor = queries.shape[1], floor.copy()
-        best = pd.DataFrame({"at": [], "vec_id": [], "score": []}).astype({"at": "int64", "vec_id": "int64"})
+        best, planes = Best(floor, k), rotation.planes(queries)
         for batch in batches:
-            for first in range(0, len(batch), 4096):
-                part = batch.iloc[first : first + 4096]
-                rows, names = _matrix(part["embedding"], width), part["vec_id"].to_numpy()
-                codes = np.frombuffer(b"".join(part["code"]), np.uint8).reshape(len(part), -1)
-                reach = rotation.bound(codes, part["length"].to_numpy(), part["held"].to_numpy(), queries, confidence)
-                row, at = np.nonzero(reach >= floor[None, :])
-                apart = names[row] != ids[at]
-                row, at = row[apart], at[apart]
-                score = exact(rows[row], queries[at])
-                good = score >= floor[at]
-                found = pd.DataFrame({"at": at[good], "vec_id": names[row[good]], "score": score[good]})
-                if not len(found):
-                    continue
-                best = pd.concat([best, found]).sort_values(["at", "score", "vec_id"], ascending=[True, False, True])
-                rank = best.groupby("at").cumcount()
-                best = best[rank < k]
-                last = best[rank[rank < k] == k - 1]
-                floor[last["at"]] = np.maximum(floor[last["at"]], last["score"])
-        yield pd.DataFrame({"query_id": ids[best["at"]], "vec_id": best["vec_id"], "score": best["score"]})
+            rows, names = _matrix(batch["embedding"], queries.shape[1]), batch["vec_id"].to_numpy()
+            codes = np.frombuffer(b"".join(batch["code"]), np.uint64).reshape(len(batch), -1)
+            length, held = batch["length"].to_numpy(), batch["held"].to_numpy()
+            for a in range(0, len(batch), TILE):
+                for b in range(0, len(ids), TILE):
+                    part, some = slice(a, a + TILE), slice(b, b + TILE)
+                    reach = rotation.reach(codes[part], length[part], held[part], planes, some, confidence)
+                    row, at = np.nonzero((reach >= best.floor[some][None, :]) & (names[part][:, None] != ids[some][None, :]))
+                    for first in range(0, len(row), PAIRS):
+                        r, q = row[first : first + PAIRS] + a, at[first : first + PAIRS] + b
+                        best.add(q, names[r], exact(rows[r], queries[q]))
+        best.cut()
+        yield pd.DataFrame({"query_id": ids[best.at], "vec_id": best.ids, "score": best.scores})
 
     return indexed.mapInPandas(searched, "query_id long, vec_id long, score double")
 
@@ -169,7 +233,8 @@ def nearest(
     known = _matrix(sample["embedding"], width)
     rotation = Rotation.of(known if len(known) else np.zeros((1, width)))
     indexed = index(rows, rotation)
-    asked = indexed.where(is_query).select("vec_id", "embedding")
+    asked = with_floor(indexed.where(is_query).select("vec_id", "embedding"), sample["vec_id"].to_numpy(), known, k)
+    asked = materialise(asked, "search-queries")
     blocks = -(-asked.count() // query_block)
     found = None
     for block in range(blocks):
@@ -177,8 +242,7 @@ def nearest(
         if not len(part):
             continue
         ids, queries = part["vec_id"].to_numpy(), _matrix(part["embedding"], width)
-        floor = _thresholds(sample["vec_id"].to_numpy(), known, ids, queries, k)
-        hits = search_block(indexed, rotation, ids, queries, floor, k, confidence)
+        hits = search_block(indexed, rotation, ids, queries, part["floor"].to_numpy(), k, confidence)
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         ranked = materialise(ranked.select("query_id", "rank", "vec_id", "score"), "nearest")

@@ -494,3 +494,35 @@ def test_deduplicated_keeps_one_of_each_group(edge, edge_rows):
     representatives = {(d, fp) for d, fp, c in classes([r[:2] for r in edge_rows]) if d == c}
     prints = {(d, print_of(t) - (1 << 64) * (print_of(t) >> 63)) for d, t in found}
     assert prints == representatives
+
+
+def test_one_bit_codes_bound_inner_products():
+    draw = np.random.default_rng(2)
+    rows, queries = draw.normal(size=(3000, 64)) + 0.3, draw.normal(size=(300, 64))
+    rotation = neighbours.Rotation.of(rows)
+    codes, length, held = rotation.encode(rows)
+    planes = rotation.planes(queries)
+    words = codes.view(np.uint64)
+    assert words.shape == (3000, 8)
+    scores = rows @ queries.T
+    for some in (slice(0, 256), slice(256, 300)):
+        reach = rotation.reach(words, length, held, planes, some, 3.0)
+        assert (reach < scores[:, some]).mean() < 0.005
+    floor = np.partition(scores, -20, axis=0)[-20]
+    passed = np.concatenate([rotation.reach(words, length, held, planes, slice(a, a + 100), 3.0) for a in (0, 100, 200)], axis=1) >= floor
+    assert passed.mean() < 0.1
+
+
+def test_a_task_keeps_the_best_of_each_query(monkeypatch):
+    monkeypatch.setattr(neighbours, "HELD", 50)
+    draw = random.Random(8)
+    best, rows = neighbours.Best(np.full(7, -np.inf), 3), []
+    for _ in range(40):
+        some = [(draw.randrange(7), draw.randrange(1000), float(draw.randrange(20))) for _ in range(draw.randrange(30))]
+        rows += some
+        at, ids, scores = (np.array(x) for x in zip(*some)) if some else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        best.add(at, ids, scores)
+    best.cut()
+    for q in range(7):
+        mine = [(s, i) for a, i, s in zip(best.at, best.ids, best.scores) if a == q]
+        assert mine == [(s, i) for s, i in sorted(((s, i) for a, i, s in rows if a == q), key=lambda x: (-x[0], x[1]))[:3]]
