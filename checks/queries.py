@@ -13,6 +13,7 @@ from ordermill.functions.calendar import days_between
 from ordermill.functions.numbers import choose, round_half_up
 from ordermill.functions.payload import ORDER_FIELDS, parse_items
 from ordermill.functions.text import strip_brand
+from ordermill.operators import autoregression
 from ordermill.operators import forecast as fc
 from ordermill.operators import marts, quality, reviews, silver
 from ordermill.plans import dashboards as db
@@ -461,6 +462,23 @@ def forecast_diagnostics_latest(spark, sf_dir):
     return rounded(fc.latest_diagnostics(run_log(spark, sf_dir)), **DIAGNOSTIC_DIGITS)
 
 
+def order_choices(spark: SparkSession, sf_dir: str, most: int) -> DataFrame:
+    chosen = autoregression.order_choice(profile(spark, sf_dir), most=most)
+    return rounded(chosen, dickey_fuller=6, aicc=4)
+
+
+@query
+def forecast_difference_test(spark, sf_dir):
+    return order_choices(spark, sf_dir, 3).select("restaurant_id", "dickey_fuller", "differenced")
+
+
+@query
+def forecast_ar_order(spark, sf_dir):
+    chosen = order_choices(spark, sf_dir, 3)
+    phi = [round_half_up(F.get("phi", F.lit(k)), 6).alias(f"phi_{k + 1}") for k in range(3)]
+    return chosen.select("restaurant_id", "differenced", "ar_order", "aicc", *phi)
+
+
 # --- dashboards ---------------------------------------------------------------------------------
 
 

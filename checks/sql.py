@@ -307,6 +307,40 @@ CTES["s_now"] = _series(_sales_until(AS_OF))
 CTES["s_earlier"] = _series(_sales_until(EARLIER_RUN))
 CTES["s_events"] = _series("SELECT event_type AS restaurant_id, CAST(ts AS DATE) AS d, value AS v FROM events")
 
+CTES["ar_logs"] = "SELECT restaurant_id, i, ln(1 + v) AS x FROM s_now WHERE n >= 90"
+CTES["ar_tested"] = """
+SELECT restaurant_id, t, coalesce(t >= -2.86154 - 2.8903 / m - 4.234 / (m * m) - 40.040 / (m * m * m), FALSE) AS differenced
+FROM (SELECT restaurant_id, count(*)::DOUBLE AS m, CASE WHEN regr_syy(d, l) - regr_slope(d, l) * regr_sxy(d, l) > 0
+             THEN regr_slope(d, l) / sqrt((regr_syy(d, l) - regr_slope(d, l) * regr_sxy(d, l)) / (count(*) - 2) / regr_sxx(d, l)) END AS t
+      FROM (SELECT restaurant_id, lag(x) OVER w AS l, x - lag(x) OVER w AS d FROM ar_logs
+            WINDOW w AS (PARTITION BY restaurant_id ORDER BY i))
+      WHERE l IS NOT NULL GROUP BY restaurant_id)"""
+CTES["ar_centred"] = """
+SELECT restaurant_id, i, z - avg(z) OVER (PARTITION BY restaurant_id) AS c
+FROM (SELECT restaurant_id, i, CASE WHEN differenced THEN x - lag(x) OVER (PARTITION BY restaurant_id ORDER BY i) ELSE x END AS z
+      FROM ar_logs JOIN ar_tested USING (restaurant_id))
+WHERE z IS NOT NULL"""
+CTES["ar_covariances"] = """
+SELECT restaurant_id, count(*) AS m, sum(c * c) / count(*) AS r0, sum(c * c1) / count(*) AS r1,
+       sum(c * c2) / count(*) AS r2, sum(c * c3) / count(*) AS r3
+FROM (SELECT *, lag(c, 1) OVER w AS c1, lag(c, 2) OVER w AS c2, lag(c, 3) OVER w AS c3 FROM ar_centred
+      WINDOW w AS (PARTITION BY restaurant_id ORDER BY i))
+GROUP BY restaurant_id"""
+# The normal equations of order 1 to 3 by hand: partial correlations, coefficients, variances.
+CTES["ar_first"] = "SELECT *, r1 / r0 AS k1, r0 * (1 - (r1 / r0) ** 2) AS v1 FROM ar_covariances"
+CTES["ar_second"] = "SELECT *, (r2 - k1 * r1) / v1 AS k2, k1 - (r2 - k1 * r1) / v1 * k1 AS a1, v1 * (1 - ((r2 - k1 * r1) / v1) ** 2) AS v2 FROM ar_first"
+CTES["ar_third"] = "SELECT *, (r3 - a1 * r2 - k2 * r1) / v2 AS k3, v2 * (1 - ((r3 - a1 * r2 - k2 * r1) / v2) ** 2) AS v3 FROM ar_second"
+CTES["ar_orders"] = " UNION ALL ".join(
+    f"SELECT restaurant_id, {p} AS p, m * ln({v}) + 2.0 * {p + 1} + 2.0 * {p + 1} * {p + 2} / (m - {p + 1} - 1) AS aicc, "
+    f"{', '.join(f'{x} AS phi_{k + 1}' for k, x in enumerate(phi))} FROM ar_third"
+    for p, v, phi in (
+        (0, "r0", ("NULL", "NULL", "NULL")),
+        (1, "v1", ("k1", "NULL", "NULL")),
+        (2, "v2", ("a1", "k2", "NULL")),
+        (3, "v3", ("a1 - k3 * k2", "k2 - k3 * a1", "k3")),
+    )
+)
+
 for _tag in ("now", "earlier"):
     _s = f"s_{_tag}"
     CTES[f"lagged_{_tag}"] = f"""
@@ -666,6 +700,12 @@ QUERIES["forecast_diagnostics_latest"] = f"""
 SELECT * EXCLUDE (holdout_mape_pct, naive_wape_pct, skill_vs_naive_pct),
        {_score_columns('holdout_mape_pct', 'naive_wape_pct', 'skill_vs_naive_pct')} FROM latest"""
 
+QUERIES["forecast_difference_test"] = f"SELECT restaurant_id, {r('t', 6)} AS dickey_fuller, differenced FROM ar_tested"
+QUERIES["forecast_ar_order"] = f"""
+SELECT restaurant_id, differenced, CAST(p AS BIGINT) AS ar_order, {_score_columns('aicc')}, {_score_columns('phi_1', 'phi_2', 'phi_3', digits=6)}
+FROM ar_orders JOIN ar_tested USING (restaurant_id)
+QUALIFY row_number() OVER (PARTITION BY restaurant_id ORDER BY aicc, p) = 1"""
+
 NAMED = "LEFT JOIN (SELECT restaurant_id, name FROM fx_venue) r USING (restaurant_id)"
 QUERIES["db_forecast_total"] = f"""
 SELECT restaurant_id, {r('sum(predicted_revenue) / 1e6', 4)} AS expected_total_m, coalesce(name, restaurant_id) AS restaurant_name

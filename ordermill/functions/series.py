@@ -178,3 +178,149 @@ def _q_statistic(centred: Column, n: Column, lags: int) -> Column:
     products = total(F.transform(F.sequence(F.lit(1), F.lit(lags)), lag_term))
     variance = total(F.transform(centred, lambda x: x * x))
     return n * (n + 2.0) * F.try_divide(products, variance * variance)
+
+
+# MacKinnon's (2010) response surface for the 5 % point of the Dickey-Fuller test with a constant.
+DICKEY_FULLER_5_PCT = (-2.86154, -2.8903, -4.234, -40.040)
+
+
+def differences(values: Column) -> Column:
+    """Each value less the one before; one fewer than the values."""
+    count = F.greatest(_n(values) - 1, F.lit(0))
+    return F.zip_with(F.slice(values, F.lit(2), count), F.slice(values, F.lit(1), count), lambda b, a: b - a)
+
+
+def dickey_fuller(values: Column) -> Column:
+    """t-statistic of the level in a regression of the changes on the level before, with a constant.
+
+    It needs the sums of two series, their squares and their product alone. NULL where the level never
+    varies, or the regression leaves nothing over.
+    """
+
+    def of(held: Column) -> Column:
+        pairs = F.struct(all_but_last(held, 1).alias("x"), differences(held).alias("d"))
+        return bind(pairs, lambda p: bind(centred_sums(p["x"], p["d"]), statistic))
+
+    def centred_sums(x: Column, d: Column) -> Column:
+        means = F.struct(F.try_divide(total(x), _n(x)).alias("x"), F.try_divide(total(d), _n(d)).alias("d"))
+        return bind(
+            means,
+            lambda m: F.struct(
+                _n(x).alias("n"),
+                total(F.transform(x, lambda a: (a - m["x"]) * (a - m["x"]))).alias("xx"),
+                total(F.transform(d, lambda b: (b - m["d"]) * (b - m["d"]))).alias("dd"),
+                total(F.zip_with(x, d, lambda a, b: (a - m["x"]) * (b - m["d"]))).alias("xd"),
+            ),
+        )
+
+    def statistic(s: Column) -> Column:
+        slope = F.try_divide(s["xd"], s["xx"])
+        left = s["dd"] - slope * s["xd"]
+        return F.when((left > 0) & (s["n"] > 2), slope / F.sqrt(left / (s["n"] - 2) / s["xx"]))
+
+    return bind(values, of)
+
+
+def needs_differencing(values: Column) -> Column:
+    """Whether a unit root is not rejected at 5 %; a series without a statistic stays as it is."""
+    n = F.greatest(_n(values) - 1, F.lit(1)).cast("double")
+    a, b, c, d = DICKEY_FULLER_5_PCT
+    critical = F.lit(a) + b / n + c / (n * n) + d / (n * n * n)
+    return F.coalesce(dickey_fuller(values) >= critical, F.lit(False))
+
+
+def autocovariances(centred: Column, lags: int) -> Column:
+    """Lag 0 to ``lags`` of a series whose mean is 0, all divided by its length."""
+
+    def at(k: Column) -> Column:
+        count = F.greatest(_n(centred) - k, F.lit(0))
+        products = F.zip_with(F.slice(centred, k + 1, count), F.slice(centred, F.lit(1), count), lambda a, b: a * b)
+        return F.coalesce(F.try_divide(total(products), _n(centred)), F.lit(0.0))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(lags)), at)
+
+
+_FIT = "struct<order:int,phi:array<double>,variance:double>"
+
+
+def levinson_durbin(covariances: Column, most: int) -> Column:
+    """Autoregressions of order 0 to ``most``, each from the one before: order, coefficients, innovation variance."""
+
+    def grow(fits: Column, k: Column) -> Column:
+        before = fits[F.size(fits) - 1]
+        explained = total(F.transform(before["phi"], lambda phi, j: phi * covariances[k - 1 - j]))
+        partial = F.coalesce(F.try_divide(covariances[k] - explained, before["variance"]), F.lit(0.0))
+
+        def step(fit: Column) -> Column:
+            last_phi = fit["partial"]
+            phi = F.transform(before["phi"], lambda x, j: x - last_phi * before["phi"][k - 2 - j])
+            variance = before["variance"] * (F.lit(1.0) - last_phi * last_phi)
+            return F.struct(
+                k.cast("int").alias("order"), F.concat(phi, F.array(last_phi)).alias("phi"), variance.alias("variance")
+            ).cast(_FIT)
+
+        return F.concat(fits, F.array(bind(F.struct(partial.alias("partial")), step)))
+
+    none = F.struct(F.lit(0).alias("order"), F.array().cast("array<double>").alias("phi"), covariances[0].alias("variance")).cast(_FIT)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(most)), F.array(none), grow)
+
+
+def best_order(fits: Column, n_obs: Column) -> Column:
+    """The fit of least AICc, of equal ones the lowest order: (aicc, aic, order, phi, variance).
+
+    The parameters are the coefficients and the variance. A fit that leaves no variance beats all others.
+    """
+
+    def scored(fit: Column) -> Column:
+        parameters = fit["order"] + 1
+        aic = F.when(fit["variance"] > 0, n_obs * F.log(fit["variance"]) + 2.0 * parameters).otherwise(F.lit(float("-inf")))
+        return F.struct(
+            aicc(aic, n_obs, parameters).alias("aicc"), fit["order"].alias("order"), aic.alias("aic"),
+            fit["phi"].alias("phi"), fit["variance"].alias("variance"),
+        )
+
+    return F.array_min(F.transform(fits, scored))
+
+
+def centred(values: Column) -> Column:
+    return bind(F.try_divide(total(values), _n(values)), lambda mean: F.transform(values, lambda x: x - mean))
+
+
+def autoregressive_steps(recent: Column, phi: Column, steps: int) -> Column:
+    """A centred series carried on: each value is ``phi`` over the ones before, the newest first."""
+
+    def onward(values: Column, _: Column) -> Column:
+        ahead = total(F.transform(phi, lambda p, j: p * F.coalesce(F.get(values, F.size(values) - 1 - j), F.lit(0.0))))
+        return F.concat(values, F.array(ahead))
+
+    carried = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), last(recent, 400), onward)
+    return last(carried, steps)
+
+
+def innovation_weights(phi: Column, steps: int) -> Column:
+    """How much of an innovation is still there 0 to ``steps`` - 1 steps later."""
+
+    def onward(weights: Column, _: Column) -> Column:
+        ahead = total(F.transform(phi, lambda p, j: p * F.coalesce(F.get(weights, F.size(weights) - 1 - j), F.lit(0.0))))
+        return F.concat(weights, F.array(ahead))
+
+    if steps == 1:
+        return F.array(F.lit(1.0))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps - 1)), F.array(F.lit(1.0)), onward)
+
+
+def running_sums(values: Column) -> Column:
+    def onward(sums: Column, x: Column) -> Column:
+        return F.concat(sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0.0)) + x))
+
+    return F.aggregate(values, F.array().cast("array<double>"), onward)
+
+
+def autoregressive_residuals(held: Column, phi: Column) -> Column:
+    """What the model is off by, one step ahead, from the first value that has all its lags."""
+    order = F.size(phi)
+
+    def off_by(value: Column, place: Column) -> Column:
+        return value - total(F.transform(phi, lambda p, j: p * F.get(held, place + order - 1 - j)))
+
+    return F.transform(F.slice(held, order + 1, F.greatest(_n(held) - order, F.lit(0))), off_by)
