@@ -216,6 +216,28 @@ def dq_quarantine_reasons(spark, sf_dir):
     return rejected.select("order_id", F.array_join(F.array_sort("reasons"), ",").alias("reasons"))
 
 
+@fx.frame
+def unified_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh order has lost its id in both sources."""
+    id_lost = F.substring("order_id", 2, 20).cast("bigint") % 7 == 0
+    kept = F.when(~id_lost, F.col("order_id"))
+    history, live = (f(spark, sf_dir).withColumn("order_id", kept) for f in (fx.historical_orders_raw, fx.bronze_stream_orders))
+    return silver.unify_orders([("historical_batch", history), ("streaming_kafka", live)])
+
+
+@query
+def dq_counts_without_ids(spark, sf_dir):
+    return quality.violation_counts(silver.order_headers(unified_with_gaps(spark, sf_dir)), silver.header_rules())
+
+
+@query
+def dq_reasons_without_ids(spark, sf_dir):
+    rejected = quality.quarantine(silver.order_headers(unified_with_gaps(spark, sf_dir)), silver.header_rules())
+    return rejected.select(
+        "order_id", "customer_id", F.col("order_timestamp"), F.array_join(F.array_sort("reasons"), ",").alias("reasons")
+    )
+
+
 @query
 def load_summary(spark, sf_dir):
     return quality.load_summary(

@@ -514,8 +514,20 @@ ORDER_CHECKS = {
     "valid_order_status": "order_status IN ('completed', 'pending', 'ready', 'delivered', 'preparing', 'confirmed')",
     "valid_payment_method": "payment_method IN ('wallet', 'card', 'cash')",
 }
-_readable = {**ORDER_CHECKS, "readable_total_amount": "TRUE"}
+_readable = {**ORDER_CHECKS, "readable_total_amount": "TRUE", "plausible_order_timestamp": "order_timestamp >= TIMESTAMP '1970-01-01'"}
 QUERIES["fact_orders_dq_counts"] = _counts(_readable, "fx_unified", _all(_readable))
+CTES["fx_gaps"] = """
+SELECT order_id, order_timestamp, customer_id, restaurant_id, item_count, total_amount, order_status, payment_method
+FROM fx_unified WHERE o_orderkey % 7 <> 0
+UNION ALL SELECT NULL, order_timestamp, customer_id, restaurant_id, item_count, total_amount, order_status, payment_method
+FROM fx_order WHERE o_orderkey % 7 = 0 AND o_orderkey % 10 < 8
+UNION ALL SELECT NULL, order_timestamp, customer_id, restaurant_id, item_count, total_amount, 'pending', payment_method
+FROM fx_order WHERE o_orderkey % 7 = 0 AND o_orderkey % 10 >= 6"""
+QUERIES["dq_counts_without_ids"] = _counts(_readable, "fx_gaps", _all(_readable))
+_failing = ", ".join(f"CASE WHEN NOT coalesce({check}, FALSE) THEN '{name}' END" for name, check in _readable.items())
+QUERIES["dq_reasons_without_ids"] = f"""
+SELECT order_id, customer_id, {_day('order_timestamp')}, array_to_string(list_sort([{_failing}]), ',') AS reasons
+FROM fx_gaps WHERE NOT ({_all(_readable)})"""
 
 QUERIES["fact_order_items"] = f"""
 SELECT order_id, item_id, restaurant_id, {_day('order_timestamp')}, {_day('order_date')}, item_name, {_big('quantity')},

@@ -50,6 +50,11 @@ def readable_rules(*columns: str) -> dict[str, str]:
     return {f"readable_{c}": f"{c}_readable" for c in columns}
 
 
+def plausible_rules(*columns: str, earliest: str = "1970-01-01") -> dict[str, str]:
+    """A time before ``earliest`` is a misread one; a single such row would stretch a daily series over centuries."""
+    return {f"plausible_{c}": f"{c} IS NULL OR {c} >= TIMESTAMP'{earliest} 00:00:00'" for c in columns}
+
+
 def order_item_rules() -> dict[str, str]:
     return {
         **required("order_id", "order_timestamp", "order_date", "restaurant_id", "item_id"),

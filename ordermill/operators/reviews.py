@@ -174,16 +174,21 @@ REVIEW_COLUMNS = [
 ]
 
 
+def counted_once(enriched: DataFrame) -> DataFrame:
+    """A step the optimizer moves nothing across: without it every rule would classify the text again."""
+    return enriched.observe(f"rows_{uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
+def valid_reviews(enriched: DataFrame, metrics: Observation | str | None = None) -> DataFrame:
+    """The enriched reviews that pass the review rules. They are always counted: that, too, is such a step."""
+    return apply_expectations(enriched, review_rules(), metrics or f"review_rules_{uuid4().hex}")
+
+
 def fact_review(
     reviews: DataFrame,
     scorer: Scorer | None = None,
     rules: CueRules | None = None,
     metrics: Observation | str | None = None,
 ) -> DataFrame:
-    """Enriched reviews that pass the review rules.
-
-    The rules are always counted: the counting step also keeps the optimizer from moving the filter
-    below the answer, where every rule would classify the text again.
-    """
-    enriched = enrich_reviews(reviews, scorer, rules).select(*REVIEW_COLUMNS)
-    return apply_expectations(enriched, review_rules(), metrics or f"review_rules_{uuid4().hex}")
+    """Enriched reviews that pass the review rules. `answers.enrich_by_store` puts each text to a scorer once."""
+    return valid_reviews(enrich_reviews(reviews, scorer, rules).select(*REVIEW_COLUMNS), metrics)

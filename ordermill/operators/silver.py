@@ -14,6 +14,7 @@ from ordermill.operators.quality import (
     dimension_rules,
     order_item_rules,
     order_rules,
+    plausible_rules,
     readable_rules,
 )
 
@@ -96,7 +97,7 @@ def order_headers(
 
 
 def header_rules() -> dict[str, str]:
-    return order_rules() | readable_rules("total_amount")
+    return order_rules() | readable_rules("total_amount") | plausible_rules("order_timestamp")
 
 
 def fact_orders(unified: DataFrame, metrics: Metrics = None, **options) -> DataFrame:
@@ -146,23 +147,41 @@ def with_items_total(unified: DataFrame, precision: tuple[int, int] = MONEY) ->
     ).drop("items", "timestamp", "created_at")
 
 
-def _dimension(raw: DataFrame, columns: Sequence, keys: Sequence[str], metrics: Metrics) -> DataFrame:
-    return apply_expectations(raw.select(*columns), dimension_rules(*keys), metrics)
+RESTAURANT_KEYS = ("restaurant_id", "opening_date")
+CUSTOMER_KEYS = ("customer_id", "join_date")
+MENU_KEYS = ("restaurant_id", "item_id")
 
 
-def dim_restaurant(raw: DataFrame, metrics: Metrics = None) -> DataFrame:
+def _dimension(rows: DataFrame, keys: Sequence[str], metrics: Metrics) -> DataFrame:
+    return apply_expectations(rows, dimension_rules(*keys), metrics)
+
+
+def restaurant_rows(raw: DataFrame) -> DataFrame:
+    """Venues before any quality rule."""
     opened = F.col("opening_date").try_cast("date").alias("opening_date")
-    columns = ["restaurant_id", "name", "city", "country", "address", opened, "phone"]
-    return _dimension(raw, columns, ["restaurant_id", "opening_date"], metrics)
+    return raw.select("restaurant_id", "name", "city", "country", "address", opened, "phone")
 
 
-def dim_customer(raw: DataFrame, metrics: Metrics = None) -> DataFrame:
+def dim_restaurant(raw: DataFrame, metrics: Metrics = None) -> DataFrame:
+    return _dimension(restaurant_rows(raw), RESTAURANT_KEYS, metrics)
+
+
+def customer_rows(raw: DataFrame) -> DataFrame:
+    """Customers before any quality rule."""
     joined = F.col("join_date").try_cast("date").alias("join_date")
-    return _dimension(raw, ["customer_id", "name", "phone", "city", joined], ["customer_id", "join_date"], metrics)
+    return raw.select("customer_id", "name", "phone", "city", joined)
 
 
-def dim_menu_item(raw: DataFrame, metrics: Metrics = None, precision: tuple[int, int] = MONEY) -> DataFrame:
+def dim_customer(raw: DataFrame, metrics: Metrics = None) -> DataFrame:
+    return _dimension(customer_rows(raw), CUSTOMER_KEYS, metrics)
+
+
+def menu_rows(raw: DataFrame, precision: tuple[int, int] = MONEY) -> DataFrame:
+    """Menu items before any quality rule."""
     price = F.col("price").try_cast("decimal({},{})".format(*precision)).alias("price")
     vegetarian = F.col("is_vegetarian").try_cast("boolean").alias("is_vegetarian")
-    columns = ["restaurant_id", "item_id", "name", "category", price, "ingredients", vegetarian, "spice_level"]
-    return _dimension(raw, columns, ["restaurant_id", "item_id"], metrics)
+    return raw.select("restaurant_id", "item_id", "name", "category", price, "ingredients", vegetarian, "spice_level")
+
+
+def dim_menu_item(raw: DataFrame, metrics: Metrics = None, precision: tuple[int, int] = MONEY) -> DataFrame:
+    return _dimension(menu_rows(raw, precision), MENU_KEYS, metrics)

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.calendar import DateLike, parse_timestamp
 from ordermill.operators import marts, quality, silver
+from ordermill.operators.answers import enrich_by_store, prompt_version
 from ordermill.operators.forecast import ForecastPlan, diagnostics_rows, forecast, forecast_rows
-from ordermill.operators.reviews import Scorer, fact_review
+from ordermill.operators.reviews import REVIEW_COLUMNS, Scorer, counted_once, enrich_reviews, valid_reviews
 from ordermill.session import discard, materialise
 from ordermill.sources import sinks
+from ordermill.sources.partitions import replace_partitions
 
 Tables = Callable[[str], DataFrame]
 
@@ -42,8 +44,16 @@ class Step:
         return self.table.split(".")[0]
 
 
-def build_steps(as_of: DateLike = None, scorer: Scorer | None = None, naive_tz: str | None = None) -> list[Step]:
-    """Silver and gold tables in dependency order. Texts without an offset are times in `naive_tz`."""
+ANSWERS = "silver.review_answers"
+
+
+def build_steps(
+    as_of: DateLike = None, scorer: Scorer | None = None, naive_tz: str | None = None, answers: str = ANSWERS, model: str = ""
+) -> list[Step]:
+    """Silver and gold tables in dependency order. Texts without an offset are times in `naive_tz`.
+
+    A scorer is asked about new texts only: its answers are kept in the table `answers`, by text, prompt and `model`.
+    """
 
     def from_silver(mart: Callable[..., DataFrame], *names: str, **options) -> Callable[[Tables, Metrics], DataFrame]:
         return lambda t, seen: mart(*(t(name) for name in names), **options)
@@ -60,10 +70,20 @@ def build_steps(as_of: DateLike = None, scorer: Scorer | None = None, naive_tz:
         sources = ("historical_batch", "historical_orders_raw"), ("streaming_kafka", "restaurant_orders_stream_bronze")
         return silver.unify_orders([(label, t(f"bronze.{name}")) for label, name in sources], naive_tz)
 
-    def enriched(t: Tables, seen: Metrics) -> DataFrame:
+    def answered(t: Tables) -> DataFrame:
         raw = t("bronze.customer_reviews_raw")
-        at = parse_timestamp(raw, "review_timestamp", naive_tz)
-        return fact_review(raw.withColumn("review_timestamp", at), scorer, metrics=seen)
+        raw = raw.withColumn("review_timestamp", parse_timestamp(raw, "review_timestamp", naive_tz))
+        rows = enrich_reviews(raw) if scorer is None else enrich_by_store(raw, scorer, answers, prompt_version(model))
+        return rows.select(*REVIEW_COLUMNS)
+
+    def enriched(t: Tables, seen: Metrics) -> DataFrame:
+        return valid_reviews(answered(t), seen)
+
+    def bad_reviews(t: Tables) -> DataFrame:
+        return quality.quarantine(counted_once(answered(t)), quality.review_rules())
+
+    def bad_rows(rows: Callable[[DataFrame], DataFrame], source: str, *keys: str) -> Callable[[Tables], DataFrame]:
+        return lambda t: quality.quarantine(rows(t(source)), quality.dimension_rules(*keys))
 
     def bad_orders(t: Tables) -> DataFrame:
         return quality.quarantine(silver.order_headers(t(unified)), silver.header_rules())
@@ -77,10 +97,13 @@ def build_steps(as_of: DateLike = None, scorer: Scorer | None = None, naive_tz:
         Step(unified, all_orders, comment="Orders of all sources, one row per order id"),
         Step(orders, with_rules(silver.fact_orders, unified), ["order_date"], "One row per valid order", True, bad_orders),
         Step(items, with_rules(silver.fact_order_items, unified), ["order_date"], "One row per valid order line", True, bad_items),
-        Step(reviews, enriched, comment="Reviews with sentiment and issues", ruled=True),
-        Step(venues, with_rules(silver.dim_restaurant, "bronze.restaurants_raw"), comment="Venues", ruled=True),
-        Step(customers, with_rules(silver.dim_customer, "bronze.customers_raw"), comment="Customers", ruled=True),
-        Step(menu, with_rules(silver.dim_menu_item, "bronze.menu_items_raw"), comment="Menu items per venue", ruled=True),
+        Step(reviews, enriched, comment="Reviews with sentiment and issues", ruled=True, rejected=bad_reviews),
+        Step(venues, with_rules(silver.dim_restaurant, "bronze.restaurants_raw"), comment="Venues", ruled=True,
+             rejected=bad_rows(silver.restaurant_rows, "bronze.restaurants_raw", *silver.RESTAURANT_KEYS)),
+        Step(customers, with_rules(silver.dim_customer, "bronze.customers_raw"), comment="Customers", ruled=True,
+             rejected=bad_rows(silver.customer_rows, "bronze.customers_raw", *silver.CUSTOMER_KEYS)),
+        Step(menu, with_rules(silver.dim_menu_item, "bronze.menu_items_raw"), comment="Menu items per venue", ruled=True,
+             rejected=bad_rows(silver.menu_rows, "bronze.menu_items_raw", *silver.MENU_KEYS)),
         Step("gold.daily_sales_summary", from_silver(marts.daily_sales_summary, orders), comment="Sales per day"),
         Step("gold.daily_restaurant_reviews", from_silver(marts.restaurant_reviews, reviews, venues, **once),
              comment="Review counts per venue"),
@@ -132,10 +155,10 @@ def _write(spark: SparkSession, step: Step) -> dict[str, int]:
 
 
 def _set_aside(failed: DataFrame, table: str) -> None:
-    """Keep rows that fail a rule, as JSON with their reasons, in place of those of the last build."""
+    """Keep rows that fail a rule, as JSON with their reasons, in place of those of the last build; none, if none fails."""
     body = [c for c in failed.columns if c != "reasons"]
     rows = failed.select(F.to_json(F.struct(*body)).alias("row"), "reasons", F.lit(table).alias("table_name"))
-    sinks.append_merged(rows, QUARANTINE, run="table_name")
+    replace_partitions(rows, QUARANTINE, ["table_name"], [(table,)])
 
 
 def publish_forecasts(

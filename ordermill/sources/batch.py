@@ -30,22 +30,91 @@ class JdbcSplit:
         }
 
 
+#: A whole-number hash of a text column per kind of database, as its own functions give it.
+HASHES = {
+    "postgresql": "hashtext({c})",
+    "mysql": "crc32({c})",
+    "mariadb": "crc32({c})",
+    "oracle": "ora_hash({c})",
+}
+
+
+@dataclass(frozen=True)
+class HashSplit:
+    """How to read a table in parallel by any column: rows go by the hash of the column, worked out in the database.
+
+    ``hashed`` is SQL of that database for a whole number from column ``{c}``; see `HASHES`. Every row meets one
+    predicate: NULLs are in the first part.
+    """
+
+    column: str
+    partitions: int
+    hashed: str
+
+    def predicates(self) -> list[str]:
+        n, value = self.partitions, self.hashed.format(c=self.column)
+        # The remainder of a negative number may be negative.
+        parts = [f"MOD(MOD({value}, {n}) + {n}, {n}) = {k}" for k in range(n)]
+        # Some databases hash NULL to a number.
+        return [f"{parts[0]} OR {self.column} IS NULL", *[f"{part} AND {self.column} IS NOT NULL" for part in parts[1:]]]
+
+
 #: In place of a split: the table is small enough for one task.
 SMALL = None
+Split = JdbcSplit | HashSplit | None
+TEXTS = ("string", "char", "varchar")
 
 
 def read_jdbc(
     spark: SparkSession,
     table: str,
     connection: Mapping[str, str],
-    split: JdbcSplit | None,
+    split: Split,
     fetch_size: int = 10_000,
 ) -> DataFrame:
-    """One table over JDBC, read by ranges of a column; `SMALL` reads it in a single task."""
-    options = {**connection, "dbtable": table, "fetchsize": str(fetch_size)}
+    """One table over JDBC, read by ranges or hashes of a column; `SMALL` reads it in a single task."""
+    options = {**connection, "fetchsize": str(fetch_size)}
+    if isinstance(split, HashSplit):
+        url = options.pop("url")
+        return spark.read.jdbc(url, table, predicates=split.predicates(), properties=options)
     if split is not None:
         options |= split.options()
-    return spark.read.format("jdbc").options(**options).load()
+    return spark.read.format("jdbc").options(**options, dbtable=table).load()
+
+
+def bounds_query(table: str, column: str) -> str:
+    return f"(SELECT MIN({column}) AS lowest, MAX({column}) AS highest, COUNT(*) AS row_count FROM {table}) bounds"
+
+
+def split_for(
+    kind: str, column: str, lowest: object, highest: object, rows: int, rows_per_task: int, hashed: str | None, most: int
+) -> Split:
+    """The split of a column of a Spark type, from its least and greatest value and the number of rows."""
+    tasks = min(most, -(-rows // rows_per_task))
+    if tasks <= 1:
+        return SMALL
+    if kind.startswith(TEXTS):
+        if hashed is None:
+            raise ValueError(f"a text column needs a hash expression to be split by: {column}")
+        return HashSplit(column, tasks, hashed)
+    if lowest is None:
+        return SMALL
+    return JdbcSplit(column, str(lowest), str(highest), tasks)
+
+
+def find_split(
+    spark: SparkSession, table: str, connection: Mapping[str, str], column: str, rows_per_task: int = 1_000_000,
+    hashed: str | None = None, most: int = 256,
+) -> Split:
+    """Find a split by asking the database for the column's bounds and the number of rows.
+
+    Numbers, dates and timestamps are split by ranges, texts by hash: by the database's own function where the
+    connection's URL names a kind in `HASHES`, or by ``hashed``. ``most`` bounds the connections at a time.
+    """
+    kind = dict(read_jdbc(spark, table, connection, SMALL).select(column).dtypes)[column]
+    held = read_jdbc(spark, bounds_query(table, column), connection, SMALL).first()
+    vendor = connection["url"].split(":")[1] if ":" in connection.get("url", "") else ""
+    return split_for(kind, column, held[0], held[1], int(held[2]), rows_per_task, hashed or HASHES.get(vendor), most)
 
 
 @dataclass(frozen=True)
@@ -54,7 +123,7 @@ class TableLoad:
 
     source: str
     target: str
-    split: JdbcSplit | None
+    split: Split
     options: Mapping[str, str] = field(default_factory=dict)
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ordermill.operators.reviews import CueRules, Scorer, fact_review
+from ordermill.operators.answers import enrich_by_store, prompt_version
+from ordermill.operators.quality import failed_rules, review_rules
+from ordermill.operators.reviews import REVIEW_COLUMNS, CueRules, Scorer, fact_review
 from ordermill.operators.silver import fact_order_items, fact_orders
 from ordermill.sources import kafka, sinks
 from ordermill.sources.partitions import in_partitions, replace_partitions
@@ -60,8 +63,32 @@ def fact_review_stream(
     scorer: Scorer | None = None,
     rules: CueRules | None = None,
     every: str | None = None,
+    answers: str | None = None,
+    model: str = "",
 ) -> StreamingQuery:
-    return sinks.stream_to_table(fact_review(reviews, scorer, rules), table, checkpoint, every)
+    """Review facts as they arrive.
+
+    A scorer's answers are kept in the table ``answers`` (default: named after ``table``), so a text that comes again
+    or a batch that is replayed costs no second call. The facts are then partitioned by batch, and a batch that is
+    replayed replaces its own. Reviews whose text got no answer fail the rules; they are in the batch's
+    rejects with the reason in the store.
+    """
+    if scorer is None:
+        return sinks.stream_to_table(fact_review(reviews, None, rules), table, checkpoint, every)
+    store, version = answers or f"{table}_answers", prompt_version(model)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            rows = enrich_by_store(batch, scorer, store, version).select(*REVIEW_COLUMNS)
+            judged = rows.withColumns({"reasons": failed_rules(review_rules()), "batch": F.lit(batch_id).cast("long")})
+            good = judged.where(F.size("reasons") == 0).drop("reasons")
+            replace_partitions(good, table, ["batch"], [(batch_id,)])
+            replace_partitions(judged.where(F.size("reasons") > 0), f"{table}_rejects", ["batch"], [(batch_id,)])
+        finally:
+            batch.unpersist()
+
+    return each_batch(reviews, take, checkpoint, every)
 
 
 def refresh_daily(

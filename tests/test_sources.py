@@ -153,3 +153,23 @@ def test_a_repeated_run_replaces_its_own_log_rows(spark, database):
         sinks.append_merged(spark.sql(f"SELECT {value} AS v, 'a' AS run"), table, run="run")
     sinks.append_merged(spark.sql("SELECT 3 AS v, 'new' AS note, 'b' AS run"), table, run="run")
     assert {(r.run, r.v, r.note) for r in spark.table(table).collect()} == {("a", 2, None), ("b", 3, "new")}
+
+
+@pytest.mark.parametrize("hashed", ["hash({c})", "crc32({c})", "length({c})"])
+def test_hash_predicates_part_a_table(spark, hashed):
+    keys = spark.range(1000).selectExpr("CASE WHEN id % 50 > 0 THEN concat('key ', id * 7919) END AS k")
+    parts = [keys.where(p) for p in batch.HashSplit("k", 4, hashed).predicates()]
+    counts = [p.count() for p in parts]
+    assert sum(counts) == 1000 and parts[0].where("k IS NULL").count() == 20 and parts[1].where("k IS NULL").count() == 0
+    assert sum(c > 0 for c in counts) >= 2 and parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3]).exceptAll(keys).isEmpty()
+
+
+def test_splits_by_kind_of_column():
+    assert batch.split_for("string", "k", "a", "z", 10_000, 3_000, "hashtext({c})", 16) == batch.HashSplit("k", 4, "hashtext({c})")
+    assert batch.split_for("bigint", "id", 1, 99, 10_000, 100, None, 16) == batch.JdbcSplit("id", "1", "99", 16)
+    assert batch.split_for("date", "d", "2024-01-01", "2024-02-01", 10, 5, None, 16).partitions == 2
+    assert batch.split_for("string", "k", "a", "z", 10, 100, None, 16) is batch.SMALL
+    assert batch.split_for("int", "k", None, None, 1000, 100, None, 16) is batch.SMALL
+    with pytest.raises(ValueError, match="hash"):
+        batch.split_for("varchar(9)", "k", "a", "z", 1000, 100, None, 16)
+    assert "MIN(k)" in batch.bounds_query("t", "k")
