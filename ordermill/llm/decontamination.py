@@ -5,6 +5,7 @@ size, and for each partition documents are seen as overlapping windows of about
 item that stands in a document lies whole in a window at most some three times as large. Item and window
 are matched on any of ``HASHES`` minimum hashes. Minima of all window lengths come from those of blocks of
 four shingles by doubling. What matches is verified against the whole document's shingles, as bytes.
+Items of fewer words than a shingle stand as their whole word sequence, which is looked up directly.
 
 Items are a stated query set: they go out in blocks of bounded size, and every block meets all documents.
 """
@@ -84,6 +85,16 @@ class Items:
         self.ids, self.length, self.longest = ids, length, max(map(len, texts), default=0)
         self.hashes = [np.unique(words.hashes[a:b]) for a, b in zip(words.first, words.first[1:])]
         self.shingles = [{words.shingle(k, length) for k in range(a, b)} for a, b in zip(words.first, words.first[1:])]
+        # Items shorter than a shingle: per number of words, sorted hashes of their sequences, and who has each.
+        self.short: dict[int, tuple[np.ndarray, dict[bytes, list[int]]]] = {}
+        counts = np.diff(np.searchsorted(words.starts, np.cumsum([0] + [len(folded(x)) + 1 for x in texts])))
+        for size in sorted(set(counts.tolist()) & set(range(1, length))):
+            members = np.flatnonzero(counts == size)
+            held = shingled([texts[i] for i in members], size)
+            owners: dict[bytes, list[int]] = {}
+            for k, item in enumerate(members.tolist()):
+                owners.setdefault(held.shingle(k, size), []).append(item)
+            self.short[size] = np.unique(held.hashes), owners
         sizes = np.diff(words.first)
         # A window starts at every block, so one of size + BLOCK - 1 shingles holds the item wherever it stands.
         blocks = -(-(sizes + BLOCK - 1) // BLOCK)
@@ -148,9 +159,26 @@ class Items:
         found: list[list[tuple]] = [[] for _ in short]
         for text, item in sorted(self.candidates(words)):
             self._judge(found[text], item, self._held(words, text, item), threshold)
+        for text, items in self.short_hits(short).items():
+            found[text] += [(self.ids[item], 1, 1) for item in sorted(items)]
         rest = iter(found)
         return [next(rest) if len(text) <= LONG else self._contained_in_long(text, threshold) for text in texts]
 
+    def short_hits(self, texts: list[bytes]) -> dict[int, set[int]]:
+        """Items of fewer words than a shingle, by the texts that hold their word sequence."""
+        out: dict[int, set[int]] = {}
+        for size, (hashes, owners) in self.short.items():
+            words = shingled(texts, size)
+            at = np.minimum(np.searchsorted(hashes, words.hashes), len(hashes) - 1)
+            # Each text's equal sequences are looked at once.
+            places = np.flatnonzero(hashes[at] == words.hashes)
+            text = np.searchsorted(words.first, places, "right") - 1
+            _, first = np.unique(np.column_stack([text, at[places]]), axis=0, return_index=True)
+            for k in first.tolist():
+                for item in owners.get(words.shingle(int(places[k]), size), ()):
+                    out.setdefault(int(text[k]), set()).add(item)
+        return out
+
     def _held(self, words: Words, text: int, item: int) -> set[bytes]:
         """Which of the item's shingles a text has, compared as bytes."""
         a, b = words.first[text], words.first[text + 1]
@@ -178,8 +206,9 @@ class Items:
                 break
             start = BLANK.search(text, max(at + 1, end.start() - overlap))
             at = start.start()
-        candidates = set()
+        candidates, brief = set(), set()
         for a, b in pieces:
+            brief |= self.short_hits([text[a:b]]).get(0, set())
             candidates |= {item for _, item in self.candidates(shingled([text[a:b]], self.length))}
         held: dict[int, set[bytes]] = {item: set() for item in sorted(candidates)}
         for a, b in pieces if held else ():
@@ -189,7 +218,20 @@ class Items:
         out: list[tuple] = []
         for item, shingles in held.items():
             self._judge(out, item, shingles, threshold)
-        return out
+        return out + [(self.ids[item], 1, 1) for item in sorted(brief)]
+
+
+_indexes: dict[int, Items] = {}
+
+
+def _index(rows: list[tuple], length: int) -> Items:
+    """One per worker and block of items, however many tasks it runs."""
+    key = hash((length, *rows))
+    if key not in _indexes:
+        _indexes.clear()
+        ids, texts = zip(*rows)
+        _indexes[key] = Items(list(ids), list(texts), length)
+    return _indexes[key]
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int = ITEM_BLOCK_BYTES) -> Iterator[list[tuple]]:
@@ -210,8 +252,7 @@ def hits_column(text: str, rows: list[tuple], spark, id_type: str = "bigint", le
 
     @pandas_udf(f"array<struct<item_id:{id_type},matched:int,total:int>>")
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids, texts = zip(*shared.value)
-        items = Items(list(ids), list(texts), length)
+        items = _index(shared.value, length)
         for batch in batches:
             held, size, out = [], 0, []
             for text in batch:
@@ -240,7 +281,8 @@ def contaminations(
     """(doc_id, item_id, matched, total, containment): every document row that holds ``threshold`` of an item's shingles.
 
     Shingles are sets of ``length`` words, lower case; words are runs of ASCII letters, digits and bytes
-    above 0x7F. NULL and empty texts, and items or documents shorter than a shingle, match nothing. Rows and
+    above 0x7F. An item of fewer words is one shingle, its whole word sequence, found wherever these words stand in
+    that order. NULL and empty texts, and documents shorter than the item's shingle, match nothing. Rows and
     items that repeat give a row each; ids may be NULL. Other columns are ignored.
     """
     id_type = dict(items.dtypes)[item_id]

@@ -106,12 +106,17 @@ WITH words(side, id, w) AS (
     SELECT 'd', doc_id, regexp_extract_all(lower(text), {WORDS}) FROM documents
     UNION ALL SELECT 'b', item_id, regexp_extract_all(lower(text), {WORDS}) FROM benchmark
 ), shingles AS (
-    SELECT DISTINCT side, id, array_to_string(w[k:k + 4], ' ') AS s
+    SELECT DISTINCT side, id, 5 AS size, array_to_string(w[k:k + 4], ' ') AS s
     FROM (SELECT side, id, w, unnest(range(1, len(w) - 3)) AS k FROM words)
+    UNION SELECT side, id, len(w), array_to_string(w, ' ') FROM words WHERE side = 'b' AND len(w) BETWEEN 1 AND 4
+    UNION SELECT side, id, size, array_to_string(w[k:k + size - 1], ' ')
+    FROM (SELECT side, id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+          FROM words, (SELECT DISTINCT len(w) AS size FROM words WHERE side = 'b' AND len(w) BETWEEN 1 AND 4) sizes
+          WHERE side = 'd')
 ), totals AS (SELECT id, count(*) AS total FROM shingles WHERE side = 'b' GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, count(*)::INTEGER AS matched, any_value(t.total)::INTEGER AS total,
     count(*) / any_value(t.total)::DOUBLE AS containment
-FROM shingles d JOIN shingles b ON d.s = b.s AND d.side = 'd' AND b.side = 'b' JOIN totals t ON t.id = b.id
+FROM shingles d JOIN shingles b ON d.s = b.s AND d.size = b.size AND d.side = 'd' AND b.side = 'b' JOIN totals t ON t.id = b.id
 GROUP BY d.id, b.id HAVING count(*) >= {decontamination.CONTAINMENT} * any_value(t.total)
 """
 

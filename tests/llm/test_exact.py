@@ -29,16 +29,20 @@ def pairs(df):
 # Benchmark decontamination
 
 
-def shingles(text):
+def shingles(text, size=5):
     words = folded((text or "").encode()).split()
-    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
 
 
 def contaminated(docs, items):
-    out, held = [], [(i, shingles(t)) for i, t in items]
-    for doc, text in docs:
-        own = shingles(text)
-        out += [(doc, i, len(own & s), len(s)) for i, s in held if s and len(own & s) >= 0.8 * len(s)]
+    out = []
+    for item, text in items:
+        size = min(5, len(folded((text or "").encode()).split()))
+        wanted = shingles(text, size) if size else set()
+        for doc, own in docs:
+            held = shingles(own, size) & wanted
+            if wanted and len(held) >= 0.8 * len(wanted):
+                out.append((doc, item, len(held), len(wanted)))
     return Counter(out)
 
 
@@ -75,9 +79,17 @@ def test_long_texts_are_searched_in_pieces_that_miss_nothing(monkeypatch):
     words = [b"w%d" % k for k in range(20_000)]
     text = b" ".join(words)
     items = decontamination.Items(list(range(0, 19_900, 50)), [b" ".join(words[a : a + 60]) for a in range(0, 19_900, 50)])
+    items.short[2] = decontamination.Items([0], [b"w19000 w19001"]).short[2]
     whole = items.contained([text], 0.8)
+    assert whole[0][-1] == (0, 1, 1)
     monkeypatch.setattr(decontamination, "LONG", 5_000)
-    assert items.contained([b"one", text, b""], 0.8) == [[], *whole, []] and len(whole[0]) == 398
+    assert items.contained([b"one", text, b""], 0.8) == [[], *whole, []] and len(whole[0]) == 399
+
+
+def test_items_shorter_than_a_shingle_are_found_whole():
+    items = decontamination.Items(list(range(7)), [b"one", b"two words", b"a b c d", b"words two", b"", b"b c d e f", b"One!"])
+    found = items.contained([b"here are two words and one", b"x a b c d e f", b"", b"a b c"], 0.8)
+    assert found == [[(0, 1, 1), (1, 1, 1), (6, 1, 1)], [(5, 1, 1), (2, 1, 1)], [], []]
 
 
 @pytest.mark.parametrize("size", [5, 6, 8, 9, 12, 13, 40, 200])
