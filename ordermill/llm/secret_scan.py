@@ -66,6 +66,8 @@ ALLOWED = (
     r"^(.{1,8})\1+$",
 )
 HIDDEN = "[secret]"
+#: Counts are a text with one sign per character of the class, of which each step changes two; this sign stands for 0.
+NONE = 65
 
 
 PLACES = "array<struct<start:int,hit:string>>"
@@ -116,28 +118,37 @@ def _hot_stretch(characters: Column, kind: EntropyClass) -> Column:
     def weight(count: Column) -> Column:
         return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
 
+    def count(counts: Column, at: Column) -> Column:
+        return F.ascii(F.substring(counts, at, F.lit(1))) - NONE
+
+    def put(counts: Column, at: Column, number: Column) -> Column:
+        return F.overlay(counts, F.char(number + NONE), at, F.lit(1))
+
     def slid(state: Column, at: Column) -> Column:
         enters = place(at)
         leaves = F.when(at > kind.window, place(at - kind.window)).otherwise(0)
-        more = F.element_at(state["counts"], enters)
-        less = F.when(leaves > 0, F.element_at(state["counts"], F.when(leaves > 0, leaves).otherwise(1)) + F.when(leaves == enters, 1).otherwise(0))
-        total = state["total"] + weight(more + 1) - weight(more) + F.when(leaves > 0, weight(less - 1) - weight(less)).otherwise(0.0)
-        counts = F.transform(
-            state["counts"],
-            lambda count, k: count + F.when(k + 1 == enters, 1).otherwise(0) - F.when(k + 1 == leaves, 1).otherwise(0),
-        )
-        entropy = F.log2(F.lit(float(kind.window))) - total / kind.window
-        hot = (at >= kind.window) & (entropy >= kind.bits)
-        start = at - kind.window
-        return F.struct(
-            counts.alias("counts"),
-            total.alias("total"),
-            F.when(hot & (state["first"] < 0), start).otherwise(state["first"]).alias("first"),
-            F.when(hot, start).otherwise(state["last"]).alias("last"),
-        )
+        more = count(state["counts"], enters)
+        entered = F.struct(put(state["counts"], enters, more + 1).alias("counts"), more.alias("more"), leaves.alias("leaves"))
+
+        def left(x: Column) -> Column:
+            less = count(x["counts"], x["leaves"])
+            gone = F.when(x["leaves"] > 0, weight(less - 1) - weight(less)).otherwise(0.0)
+            total = state["total"] + weight(x["more"] + 1) - weight(x["more"]) + gone
+            entropy = F.log2(F.lit(float(kind.window))) - total / kind.window
+            hot = (at >= kind.window) & (entropy >= kind.bits)
+            start = at - kind.window
+            return F.struct(
+                F.when(x["leaves"] > 0, put(x["counts"], x["leaves"], less - 1)).otherwise(x["counts"]).alias("counts"),
+                total.alias("total"),
+                F.when(hot & (state["first"] < 0), start).otherwise(state["first"]).alias("first"),
+                F.when(hot, start).otherwise(state["last"]).alias("last"),
+            )
+
+        # Worked out once, then used several times.
+        return F.transform(F.array(entered), left)[0]
 
     empty = F.struct(
-        F.array_repeat(F.lit(0), len(kind.alphabet)).alias("counts"),
+        F.lit(chr(NONE) * len(kind.alphabet)).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(-1).alias("first"),
         F.lit(-1).alias("last"),
