@@ -8,21 +8,23 @@ can be sent to every task; every document is scored over its whole text.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ordermill.llm.common import byte_table, utf8, word_runs
+from ordermill.session import discard, materialise
 
 ASCII_LETTERS = byte_table(r"A-Za-z\x80-\xff", lower=True)
-OTHER_SIGN = re.compile(r"[^\x00-\x7F\w]|[^\x00-\x7F\D]")  # above ASCII: no word sign, or a digit
+# Above ASCII: neither letter nor mark, or a mark that stands on no letter.
+OTHER_SIGN = regex.compile(r"[^\x00-\x7F\p{L}\p{M}]|(?<![\p{L}\p{M}])[^\x00-\x7F\P{M}]+")
 SAMPLE_ROWS = 2_000  # labelled documents per language that the fit reads at least, if there are so many
 DRAW_BITS, DRAW_STEPS = 40, 16  # a row's draw, and the steps in which a language's greatest draw may double
 MODEL_ENTRIES = 300_000  # words and n-grams of all languages together
@@ -32,7 +34,7 @@ CACHED = 1 << 17
 
 
 def words_of(text: bytes) -> Iterator[list[bytes]]:
-    """Lower-case runs of letters, in lists of some MB of text each."""
+    """Lower-case runs of letters with the marks on them, in lists of some MB of text each."""
     if not text.isascii():
         lowered = text.decode("utf-8", "replace").lower()
         text = (OTHER_SIGN.sub(" ", lowered) if OTHER_SIGN.search(lowered) else lowered).encode("utf-8", "replace")
@@ -181,7 +183,7 @@ def fit(
     words = sample.select("lang", utf8("text").alias("text")).mapInPandas(counted, "lang string, word binary, n long")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     units = words.mapInPandas(spelled, "lang string, length int, unit string, n long")
-    units = units.groupBy("lang", "length", "unit").agg(F.sum("n").alias("n"))
+    units = materialise(units.groupBy("lang", "length", "unit").agg(F.sum("n").alias("n")), "language-units")
     each = max(1, entries // len(languages))
     kept = F.when(F.col("length") == 0, each // 2).otherwise(each // (2 * longest))
     totals = {(r["lang"], r["length"]): r["n"] for r in units.groupBy("lang", "length").agg(F.sum("n").alias("n")).collect()}
@@ -196,6 +198,7 @@ def fit(
             values = tables[row["length"]][row["unit"]] = floor[row["length"]].copy()
         at = languages.index(row["lang"])
         values[at] = np.log(row["n"] + 0.5) - np.log(totals[row["lang"], row["length"]] + 1.0)
+    discard(units)
     return Model(languages, {word.encode(): row for word, row in tables[0].items()}, tables[1:])
 
 

@@ -190,3 +190,14 @@ def test_quality_at_the_edges(spark, edge, edge_rows):
     assert quality.classify(edge.limit(0), labels, F.lit(True)).count() == 0
     kept = quality.kept(edge, same, F.lit(True))
     assert kept.columns == edge.columns and kept.count() == len(edge_rows)
+
+
+def test_words_are_letters_with_their_marks():
+    def words(text):
+        return [w.decode() for some in language.words_of(text.encode()) for w in some]
+
+    assert words("½ ² ٣ – “”") == [] == words("́ 1́ ٣́")
+    assert words("हिन्दी में été Été") == ["हिन्दी", "में", "été", "été"]
+    model = language.Model(["de", "en"], {b"a": np.array([-1.0, -2.0])}, [{}])
+    scorer = language.Scorer(model)
+    assert scorer.predict("½ ²".encode()) == ("und", 0.0) and scorer.predict("a ½".encode())[0] == "de"
