@@ -22,7 +22,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One document of each group of near duplicates: the one with the smallest id, whatever ids the others have."""
     return simhash.deduplicated(docs)
 
 
@@ -33,9 +33,12 @@ def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced; ``n_chars`` counts the new text where it was changed."""
-    clean = secret_scan.redacted(docs.withColumn("__before", F.col("text")))
-    counted = F.when(F.col("text") == F.col("__before"), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return clean.withColumn("n_chars", counted).drop("__before")
+    before = "__before"
+    while before in docs.columns:
+        before += "_"
+    clean = secret_scan.redacted(docs.withColumn(before, F.col("text")))
+    counted = F.when(F.col("text") == F.col(before), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return clean.withColumn("n_chars", counted).drop(before)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +54,8 @@ STAGES = [
     ("source mix", source_mix),
 ]
 
-#: The classifier is trained, so SQL cannot give these rows; tests hold every stage against brute force.
+#: The classifier is trained, so SQL cannot give these rows. A test takes each stage's documents from what its operator
+#: finds on that stage's input; the operators have tests against plain programs and held-out labels of their own.
 ORACLE_SQL = None
 
 
