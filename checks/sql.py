@@ -11,7 +11,6 @@ import re
 
 from checks.frames import AS_OF, BRAND, CATEGORY_SHIFT, EARLIER_RUN
 from ordermill.operators.quality import REVIEW_CATEGORIES
-from ordermill.operators.reviews import CueRules
 
 
 def r(x: str, n: int) -> str:
@@ -542,14 +541,34 @@ QUERIES["dim_menu_item"] = f"""
 SELECT restaurant_id, item_id, name, category, {_dbl('price')}, ingredients, is_vegetarian, 'None' AS spice_level FROM fx_menu_whole"""
 
 
-def _classified(source: str, keep: str) -> str:
-    rules = CueRules()
+# The cue words of the default classifier, stated here on their own.
+POSITIVE_CUES = ("great", "excellent", "delicious", "perfect", "loved", "best", "friendly")
+NEGATIVE_CUES = (
+    "terrible", "awful", "bad", "worst", "disappointed", "never again",
+    "worthless", "disgusting", "pathetic", "trash", "stupid", "idiot",
+)
+ISSUE_CUES = {
+    "delivery": {
+        "severe": ("never arrived", "hours late"), "moderate": ("very late", "late delivery", "wrong address"),
+        "minor": ("bit late", "slightly late", "slow delivery"),
+    },
+    "food_quality": {
+        "severe": ("disgusting", "inedible", "spoiled", "raw"), "moderate": ("stale", "undercooked", "burnt"),
+        "minor": ("bland", "lukewarm", "too salty"),
+    },
+    "pricing": {
+        "severe": ("rip off", "daylight robbery"), "moderate": ("overpriced", "not worth"), "minor": ("pricey", "a bit expensive"),
+    },
+    "portion_size": {"severe": ("left hungry",), "moderate": ("tiny portion", "half empty"), "minor": ("small portion", "rather small")},
+}
+
 
+def _classified(source: str, keep: str) -> str:
     def hit(cues) -> str:
         return "(" + " OR ".join(f"contains(t, ' {cue} ')" for cue in cues) + ")"
 
     levels, fields, answer = [], [], []
-    for c, by_level in rules.issues.items():
+    for c, by_level in ISSUE_CUES.items():
         order = ("severe", "moderate", "minor")
         cases = " ".join(f"WHEN {hit(by_level[s])} THEN '{s}'" for s in order)
         cues = " ".join(f"WHEN {hit([cue])} THEN '{cue}'" for s in order for cue in by_level[s])
@@ -558,7 +577,7 @@ def _classified(source: str, keep: str) -> str:
         answer.append(
             f"""',"issue_{c}":' || ({c}_severity <> 'none') || ',"{c}_severity":"' || {c}_severity || '","issue_{c}_reason":"' || issue_{c}_reason || '"'"""
         )
-    mood = f"CASE WHEN {hit(rules.negative)} THEN 'negative' WHEN {hit(rules.positive)} THEN 'positive' ELSE 'neutral' END"
+    mood = f"CASE WHEN {hit(NEGATIVE_CUES)} THEN 'negative' WHEN {hit(POSITIVE_CUES)} THEN 'positive' ELSE 'neutral' END"
     return f"""
 SELECT {keep}, sentiment, {', '.join(fields)}, '{{"sentiment":"' || sentiment || '"' || {' || '.join(answer)} || '}}' AS analysis_json FROM (
   SELECT *, {mood} AS sentiment, {', '.join(levels)}

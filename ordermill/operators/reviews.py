@@ -77,6 +77,24 @@ class CueRules:
         }
     )
 
+    @classmethod
+    def read(cls, cues: DataFrame) -> CueRules:
+        """Rules from a table (topic, level, place, cue): topic is `positive`, `negative` or an issue, level a severity
+        of an issue. Cues count in the order of `place`. A word list is small; a table of over 10,000 cues is refused."""
+        rows = cues.select("topic", "level", "place", F.lower("cue").alias("cue")).limit(10_001).collect()
+        if len(rows) > 10_000:
+            raise ValueError("a list of cues has at most 10,000")
+        moods: dict[str, list[str]] = {"positive": [], "negative": []}
+        issues: dict[str, dict[str, list[str]]] = {c: {level: [] for level in SEVERITIES[1:]} for c in REVIEW_CATEGORIES}
+        for row in sorted(rows, key=lambda r: (r["place"], r["cue"])):
+            if row["topic"] in moods:
+                moods[row["topic"]].append(row["cue"])
+            elif row["topic"] in issues and row["level"] in issues[row["topic"]]:
+                issues[row["topic"]][row["level"]].append(row["cue"])
+            else:
+                raise ValueError(f"not a topic and level: {row['topic']!r}, {row['level']!r}")
+        return cls(moods["positive"], moods["negative"], issues)
+
     def cues(self) -> list[str]:
         by_issue = [cue for levels in self.issues.values() for cues in levels.values() for cue in cues]
         return [*self.positive, *self.negative, *by_issue]

@@ -95,11 +95,18 @@ def replace_partitions(rows: DataFrame, table: str, by: Sequence[str], touched:
 
 
 def partition_files(spark: SparkSession, table: str, by: Sequence[str], values: Sequence[tuple]) -> dict[tuple, tuple[int, int]]:
-    """Number and bytes of the files of each listed partition."""
-    held = spark.table(table).where(in_partitions(by, values))
-    files = held.select(*by, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).distinct()
-    counted = files.groupBy(*by).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")).collect()
-    return {tuple(row[c] for c in by): (row["files"], row["bytes"]) for row in counted}
+    """Number and bytes of the files of each listed partition that has any; folders are listed, no row is read."""
+    folders = {_folder(by, value): value for value in values}
+    names: dict[str, set[str]] = {}
+    for file in spark.table(table).where(in_partitions(by, values)).inputFiles():
+        folder, name = file.rsplit("/", 1)
+        names.setdefault(folder, set()).add(name)
+    out = {}
+    for folder, held in names.items():
+        path, files = hadoop_path(spark, folder)
+        sizes = [s.getLen() for s in files.listStatus(path) if s.getPath().getName() in held]
+        out[folders["/".join(folder.split("/")[-len(by) :])]] = (len(sizes), sum(sizes))
+    return out
 
 
 def compact_partitions(

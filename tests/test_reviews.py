@@ -119,3 +119,17 @@ def test_rounding_keeps_large_numbers(spark):
     row = spark.sql("SELECT 2e18D AS a, 0.575D AS b, -1e300D AS c, CAST(NULL AS double) AS d").select(
         *[round_half_up(c, 2).alias(c) for c in "abcd"]).first()
     assert tuple(row) == (2e18, 0.58, -1e300, None)
+
+
+def test_cues_come_from_a_table(spark):
+    rows = [
+        ("positive", None, 1, "Splendid"), ("negative", None, 2, "dire"), ("negative", None, 1, "grim"),
+        ("pricing", "severe", 1, "theft"), ("pricing", "minor", 2, "steep"),
+    ]
+    cues = spark.createDataFrame(rows, "topic string, level string, place int, cue string")
+    rules = rv.CueRules.read(cues)
+    assert rules.negative == ["grim", "dire"] and rules.issues["pricing"]["minor"] == ["steep"]
+    found = rv.enrich_reviews(texts(spark, "A splendid but steep place", "grim theft"), rules=rules).collect()
+    assert [(r.sentiment, r.pricing_severity, r.issue_pricing_reason) for r in found] == [("positive", "minor", "steep"), ("negative", "severe", "theft")]
+    with pytest.raises(ValueError, match="topic"):
+        rv.CueRules.read(spark.createDataFrame([("pricing", "odd", 1, "x")], "topic string, level string, place int, cue string"))
