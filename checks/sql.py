@@ -503,6 +503,7 @@ SELECT order_id, {_day('order_timestamp')}, CAST(CAST(order_timestamp AS DATE) A
        {_dbl('total_amount')}, payment_method, order_status
 FROM fx_unified WHERE restaurant_id IS NOT NULL AND item_count > 0 AND total_amount > 0"""
 
+# Rule names and the vocabularies they check.
 ORDER_CHECKS = {
     "valid_order_id": "order_id IS NOT NULL",
     "valid_order_timestamp": "order_timestamp IS NOT NULL",

@@ -100,6 +100,7 @@ def has_history(plan: ForecastPlan = ForecastPlan()) -> Column:
     return F.col("n_obs_used") >= plan.min_history
 
 
+# The texts of a status.
 def skipped_status(plan: ForecastPlan = ForecastPlan()) -> Column:
     return F.format_string(f"SKIPPED_INSUFFICIENT_HISTORY (n=%d < {plan.min_history})", "n_obs_used")
 

@@ -231,6 +231,7 @@ def customer_restaurant_preference(
         ],
         F.lit("not_eligible"),
     )
+    # The mart's columns.
     return ranked.select(
         "customer_id", "restaurant_id", "order_count", "customer_total_orders", "order_share",
         "total_spend", "first_order_timestamp", "last_order_timestamp", "days_since_last_order",
@@ -294,6 +295,7 @@ def customer_360(
             for c in ("food_quality", "pricing", "portion_size")
         ],
     )
+    # The columns that count 0 where there is nothing.
     zero_filled = [
         "total_orders", "lifetime_spend", "total_reviews_given", "positive_review_ratio",
         "negative_review_ratio", "food_quality_issue_ratio", "pricing_issue_ratio", "portion_issue_ratio",
@@ -419,6 +421,7 @@ def restaurant_360(
         )
         .withColumn("review_confidence", round_half_up(confidence("total_reviews", smoothing), 4))
     )
+    # The columns that count 0 where there is nothing.
     zero_filled = [
         "total_orders", "total_revenue", "unique_customers", "repeat_customers", "repeat_customer_rate",
         "delivery_order_count", "delivery_revenue", "total_reviews", "review_confidence",
@@ -512,6 +515,7 @@ def daily_restaurant_performance(
     )
     context = venues.select("restaurant_id", F.col("city").alias("restaurant_city"), "opening_date")
     grain = ["restaurant_id", "activity_date"]
+    # The columns that count 0 where there is nothing.
     zero_filled = [
         "daily_orders", "daily_revenue", "daily_unique_customers",
         "delivery_orders", "delivery_revenue", "daily_reviews",
