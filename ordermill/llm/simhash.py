@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -203,19 +203,25 @@ def near_duplicates(
 
 
 def deduplicated(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tile_rows: int = TILE_ROWS
 ) -> DataFrame:
-    """``docs`` with one document of each group: the row with the smallest id, all its columns as they were.
+    """``docs`` with one document of each group, all its columns as they were.
 
-    Rows alike in id and fingerprint count as one document. A group without any id keeps one row of each
-    fingerprint. Texts move once: the join and the numbering share a partitioning.
+    The document with the smallest id stays, one without id only if none of the group has one; of rows that share
+    it the one with the smallest fingerprint, then the smallest hash of the row. Fingerprints are made once and
+    written beside the documents; texts move once.
     """
-    key, fp, rank = "__simhash_key", "__simhash_fp", "__simhash_rank"
-    known = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    first = first.select(known.alias(key), F.col("fp").alias(fp)).distinct()
-    printed = docs.withColumns({key: known, fp: fingerprint_column(text_col, shingle)})
-    kept = printed.join(first, [key, fp], "left_semi")
-    order = Window.partitionBy(key, fp).orderBy(F.xxhash64(text_col))
-    return kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
+    row, fp, tie = "__simhash_row", "__simhash_fp", "__simhash_tie"
+    numbered = docs.withColumns(
+        {fp: fingerprint_column(text_col, shingle), tie: F.xxhash64(*docs.columns), row: F.monotonically_increasing_id()}
+    )
+    # Written once, so that a row's number is the same for all that follows.
+    printed = materialise(numbered, "printed-documents")
+    first = F.min(F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"), fp, tie, row)).alias("first")
+    # Within a fingerprint first, on the map side: a group of copies of any size is one row from there on.
+    distinct = materialise(printed.groupBy(F.col(fp).alias("fp")).agg(first), "distinct-fingerprints")
+    found = components(links(distinct.select("fp"), radius, tile_rows), "simhash-links")
+    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+    kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    survivors = kept.select(F.col(f"first.{row}").alias(row))
+    return printed.join(survivors.hint("shuffle_hash"), row, "left_semi").select(*docs.columns)

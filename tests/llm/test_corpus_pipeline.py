@@ -80,3 +80,16 @@ def test_sql(spark, name):
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert [n for n in QUERIES if n.startswith("op")] == list(QUERIES)
+
+
+def test_one_document_stays_of_each_group_whatever_the_ids(spark):
+    base = " ".join(f"word{k}" for k in range(400))
+    near = base.replace("word399", "other")
+    assert bin(simhash.fingerprint(base.encode()) ^ simhash.fingerprint(near.encode())).count("1") <= 3
+    far = " ".join(f"else{k}" for k in range(300))
+    rows = [(5, base), (5, near), (6, base), (None, far), (None, far), (None, near), (9, "own text here now"), (9, "own text here now")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, __simhash_tag string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in simhash.deduplicated(docs).collect()]
+    assert sorted(kept, key=str)[0][0] == 5 and sorted(str(i) for i, _ in kept) == ["5", "9", "None"]
+    assert [t for i, t in kept if i is None] == [far]
+    assert simhash.deduplicated(docs).columns == docs.columns
