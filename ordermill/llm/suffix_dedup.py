@@ -5,10 +5,13 @@ of ``length`` bytes marks that string's trigger; strings next to each other that
 a phrase, which reaches from its first string's start to its last one's end. Equal strings have equal
 triggers at equal places, so they meet wherever phrases with equal triggers do, and no string is missed.
 
-The dictionary has every phrase once. In the parse, all but the earliest occurrence of a phrase are repeats as
-a whole. What is left is to order the strings (suffixes, cut at ``length`` bytes) of different phrases that
-share a trigger: within a trigger their first places in the corpus decide which of them repeat. Copied text
-thus costs a row per phrase and group of texts, not a row per byte.
+The dictionary has every phrase once. The parse is sorted by phrase and place: as a string lies within one phrase,
+its suffixes need no more than their first phrase to be in order, and all but the earliest occurrence of a phrase
+are repeats as a whole. What is left are strings that different phrases of one trigger share. They are found in
+the suffix array of these phrases, cut at ``length`` bytes: equal suffixes stand together in it, and the earliest
+place that the parse has for their phrases decides which of them repeat. A suffix whose rolling hash is alone
+among its trigger's has no equal and is left out of the array before it is sorted. Copied text thus costs a row
+per phrase and group of texts, not a row per byte.
 """
 
 from __future__ import annotations
@@ -18,9 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import BinaryType
 
 from ordermill.llm.common import PrefixHash, utf8
 from ordermill.session import materialise
@@ -31,10 +36,12 @@ PHRASES = 1 << 20  # phrases combined in a task before they are sent on
 # Phrases of one trigger from which on they are compared string by string, over many tasks. Below, one task holds
 # their strings: at 69 strings a phrase and some 300 bytes a string, this many take 85 MB.
 HOT = 4096
+GROUPED = 1 << 13  # phrases whose strings are ordered at once, or one trigger's
 PLACE = np.uint64((1 << 28) - 1)  # room for a place within a chunk
 # A row of the parse: ``spot`` packs a start (31 bits), 25 bits of the text's hash and a number of strings (7 bits).
-# With 0 strings it is a repeated stretch, and ``phrase`` holds its end.
-ROW = "trigger long, phrase long, doc long, spot long"
+# With 0 strings it is a repeated stretch, and ``phrase`` holds its end. ``sides``: see `parse`.
+ROW = "trigger long, phrase long, doc long, spot long, sides long"
+COLUMNS = ["trigger", "phrase", "doc", "spot", "sides"]
 TEXT_BITS, COUNT_BITS = 25, 7
 
 
@@ -49,13 +56,18 @@ def _minima(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def parse(texts: list[bytes], length: int = LENGTH, trigger: int = TRIGGER) -> tuple[np.ndarray, ...]:
-    """Phrases of some texts: text, first string's start, number of strings, trigger hash, phrase hash."""
+    """Phrases of some texts: text, first string's start, number of strings, trigger hash, phrase hash, sides.
+
+    A string reaches beyond its trigger, on one side at least, by half of its other bytes. So phrases that share a string
+    agree on the trigger and that many bytes to its left, or to its right. ``sides`` has a hash of either in 32 bits,
+    0 where the phrase does not reach so far.
+    """
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     base = np.cumsum(sizes) - sizes
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     rolled = PrefixHash(data)
     at = np.arange(len(data) - trigger + 1)
     hashes = rolled.of(at, at + trigger)
@@ -68,10 +80,16 @@ def parse(texts: list[bytes], length: int = LENGTH, trigger: int = TRIGGER) -> t
     inside = start + length <= (base + sizes)[text]
     first = np.flatnonzero(inside & (np.diff(place, prepend=-1) != 0) | (inside & (start == base[text])))
     if not len(first):
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     count = np.add.reduceat(inside.astype(np.int64), first)
     whole = PrefixHash(data, 2).of(first, first + count - 1 + length)
-    return text[first], first - base[text[first]], count, (hashes[place[first]] >> np.uint64(33)).astype(np.int64), whole.view(np.int64)
+    reach, spot, stop = (length - trigger + 1) // 2, place[first], first + count - 1 + length
+    sides = np.zeros(len(first), np.uint64)
+    for room, shift, begin, end in ((spot - first, 32, spot - reach, spot + trigger), (stop - spot - trigger, 0, spot, spot + trigger + reach)):
+        far = np.flatnonzero(room >= reach)
+        sides[far] |= (rolled.of(begin[far], end[far]) >> np.uint64(32) | np.uint64(1)) << np.uint64(shift)
+    mark = (hashes[spot] >> np.uint64(33)).astype(np.int64)
+    return text[first], first - base[text[first]], count, mark, whole.view(np.int64), sides.view(np.int64)
 
 
 def pack(start: np.ndarray, text: np.ndarray, count) -> np.ndarray:
@@ -101,14 +119,14 @@ def repeat_rows(doc: np.ndarray, text: np.ndarray, start: np.ndarray, stop: np.n
     doc, text, start, stop = stretches(doc, text, start, stop)
     # Any trigger does; these spread the rows over tasks.
     spread = (PrefixHash.spread(doc) >> np.uint64(33)).astype(np.int64)
-    return pd.DataFrame({"trigger": spread, "phrase": stop, "doc": doc, "spot": pack(start, text, 0)})
+    return pd.DataFrame({"trigger": spread, "phrase": stop, "doc": doc, "spot": pack(start, text, 0), "sides": 0})
 
 
 def combined(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     """Only the earliest occurrences of each phrase, and what the others cover."""
-    trigger, phrase, doc, spot = (rows[c].to_numpy() for c in ("trigger", "phrase", "doc", "spot"))
+    trigger, phrase, doc, spot, sides = (rows[c].to_numpy() for c in COLUMNS)
     order = np.lexsort((spot, doc, phrase, trigger))
-    trigger, phrase, doc, spot = trigger[order], phrase[order], doc[order], spot[order]
+    trigger, phrase, doc, spot, sides = trigger[order], phrase[order], doc[order], spot[order], sides[order]
     fresh = np.append(True, (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1]))
     first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
     start, text, count = unpack(spot)
@@ -116,7 +134,7 @@ def combined(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     later = (doc != doc[first]) | (start != start[first])
     again = ~later & ~fresh & (spot == spot[first])
     keep = ~later & ~again
-    kept = pd.DataFrame({"trigger": trigger[keep], "phrase": phrase[keep], "doc": doc[keep], "spot": spot[keep]})
+    kept = pd.DataFrame(dict(zip(COLUMNS, (x[keep] for x in (trigger, phrase, doc, spot, sides)))))
     return pd.concat([kept, repeat_rows(doc[later], text[later], start[later], start[later] + count[later] - 1 + length)])
 
 
@@ -130,9 +148,9 @@ def parsed(docs: DataFrame, length: int, trigger: int) -> DataFrame:
 
         def take() -> None:
             nonlocal size
-            text, start, count, mark, phrase = parse([p[3] for p in pending], length, trigger)
+            text, start, count, mark, phrase, sides = parse([p[3] for p in pending], length, trigger)
             doc, name, shift = (np.array([p[k] for p in pending], np.int64)[text] for k in range(3))
-            held.append(pd.DataFrame({"trigger": mark, "phrase": phrase, "doc": doc, "spot": pack(start + shift, name, count)}))
+            held.append(pd.DataFrame({"trigger": mark, "phrase": phrase, "doc": doc, "spot": pack(start + shift, name, count), "sides": sides}))
             pending.clear()
             size = 0
 
@@ -157,94 +175,177 @@ def parsed(docs: DataFrame, length: int, trigger: int) -> DataFrame:
     return docs.mapInPandas(run, ROW)
 
 
-def resolved(parse_rows: DataFrame, length: int) -> DataFrame:
-    """Repeated stretches (0 strings), and the dictionary's phrases that share their trigger with another phrase.
+def agreeing(group: np.ndarray, sides: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of ``some`` rows have a side that another of them in their group has too."""
+    out = np.zeros(len(group), bool)
+    for side in (sides >> np.uint64(32), sides & np.uint64(0xFFFFFFFF)):
+        rows = np.flatnonzero(some & (side > 0))
+        _, back, times = np.unique(group[rows].astype(np.uint64) << np.uint64(32) | side[rows], return_inverse=True, return_counts=True)
+        out[rows[times[back] > 1]] = True
+    return out
 
-    Rows meet by trigger, sorted; a task holds one batch and the last phrase, however long a group is.
-    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+class Resolver:
+    """Reads rows sorted by trigger, phrase and place; holds one batch and the last phrase, however long a group is."""
+
+    def __init__(self, length: int):
         # The last phrase's earliest occurrences wait until it is known whether another phrase follows.
-        waiting, shared, begin = None, False, None
+        self.length, self.waiting, self.shared, self.begin = length, None, False, None
+
+    def feed(self, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        _, _, count = unpack(batch["spot"].to_numpy())
+        yield batch[count == 0]
+        rows = batch[count > 0]
+        if not len(rows):
+            return
+        if self.waiting is not None:
+            rows = pd.concat([self.waiting, rows])
+        trigger, phrase, doc, spot, sides = (rows[c].to_numpy() for c in COLUMNS)
+        new_trigger = np.append(True, trigger[1:] != trigger[:-1])
+        fresh = new_trigger | np.append(True, phrase[1:] != phrase[:-1])
+        first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+        start, text, count = unpack(spot)
+        later = (doc != doc[first]) | (start != start[first])
+        group = np.cumsum(new_trigger) - 1
+        several = np.bincount(group, weights=fresh) > 1
+        several[0] |= self.shared and self.waiting is not None and trigger[0] == self.begin
+        last = first == first[-1]
+        out = pd.DataFrame(dict(zip(COLUMNS, (trigger, phrase, doc, spot, sides))))
+        ambiguous = several[group] & ~later & ~last
+        # Phrases that agree with no other one of their trigger on either side share no string with it. A trigger
+        # that goes on in another batch is not seen whole here, and keeps all of its phrases.
+        open_ended = (group == group[-1]) | ((group == 0) & (trigger[0] == self.begin))
+        yield out[ambiguous & (open_ended | agreeing(group, sides.view(np.uint64), ambiguous))]
+        yield repeat_rows(doc[later], text[later], start[later], start[later] + count[later] - 1 + self.length)
+        self.begin, self.shared = trigger[-1], bool(several[group[-1]])
+        self.waiting = out[last & ~later]
+
+    def finish(self) -> Iterator[pd.DataFrame]:
+        if self.waiting is not None and self.shared:
+            yield self.waiting
+
+
+def resolved(parse_rows: DataFrame, length: int) -> DataFrame:
+    """Repeated stretches (0 strings), and the dictionary's phrases that share their trigger with another phrase."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resolver = Resolver(length)
         for batch in batches:
-            _, _, count = unpack(batch["spot"].to_numpy())
-            yield batch[count == 0]
-            rows = batch[count > 0]
-            if not len(rows):
-                continue
-            if waiting is not None:
-                rows = pd.concat([waiting, rows])
-            trigger, phrase, doc, spot = (rows[c].to_numpy() for c in ("trigger", "phrase", "doc", "spot"))
-            new_trigger = np.append(True, trigger[1:] != trigger[:-1])
-            fresh = new_trigger | np.append(True, phrase[1:] != phrase[:-1])
-            first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-            start, text, count = unpack(spot)
-            first_doc, first_start = doc[first], start[first]
-            later = (doc != first_doc) | (start != first_start)
-            group = np.cumsum(new_trigger) - 1
-            several = np.bincount(group, weights=fresh) > 1
-            several[0] |= shared and waiting is not None and trigger[0] == begin
-            ambiguous = several[group] & ~later
-            last = first == first[-1]
-            out = pd.DataFrame({"trigger": trigger, "phrase": phrase, "doc": doc, "spot": spot})
-            yield out[ambiguous & ~last]
-            yield repeat_rows(doc[later], text[later], start[later], start[later] + count[later] - 1 + length)
-            begin, shared = trigger[-1], bool(several[group[-1]])
-            waiting = out[last & ~later]
-        if waiting is not None and shared:
-            yield waiting
+            yield from resolver.feed(batch)
+        yield from resolver.finish()
 
     return parse_rows.repartition("trigger").sortWithinPartitions("trigger", "phrase", "doc", "spot").mapInPandas(run, ROW)
 
 
+@pandas_udf(BinaryType())
+def squeezed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Texts as they travel: what is shuffled is written to disk."""
+    pack_text = zstandard.ZstdCompressor(level=1).compress
+    for batch in texts:
+        yield pd.Series([pack_text(x) for x in batch], dtype="object")
+
+
+def restored(batch: pd.Series) -> Iterator[bytes]:
+    unpack_text = zstandard.ZstdDecompressor().decompress
+    return map(unpack_text, batch)
+
+
 def strings(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
     """The bytes of ``shared`` phrases; those of a crowded trigger as single strings (``bytes`` NULL, hash as phrase)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             whole, single = [], []
-            for doc, text, phrases in zip(batch["doc"], batch["text"], batch["phrases"]):
+            for doc, text, phrases in zip(batch["doc"], restored(batch["text"]), batch["phrases"]):
                 data = None
                 for phrase in phrases:
                     start, name, count = (int(x) for x in unpack(np.int64(phrase["spot"])))
                     if not phrase["crowded"]:
-                        whole.append((phrase["trigger"], 0, doc, phrase["spot"], text[start : start + count - 1 + length]))
+                        whole.append((phrase["trigger"], 0, doc, phrase["spot"], 0, text[start : start + count - 1 + length]))
                         continue
                     data = np.frombuffer(text[start : start + count - 1 + length], np.uint8)
                     at = np.arange(count)
                     mark = (PrefixHash(data).of(at, at + length) >> np.uint64(33)).astype(np.int64)
                     value = PrefixHash(data, 2).of(at, at + length).view(np.int64)
                     spots = pack(start + at, np.full(count, name), 1)
-                    single.append(pd.DataFrame({"trigger": mark, "phrase": value, "doc": doc, "spot": spots}))
-            yield pd.DataFrame(whole, columns=["trigger", "phrase", "doc", "spot", "bytes"])
+                    single.append(pd.DataFrame({"trigger": mark, "phrase": value, "doc": doc, "spot": spots, "sides": 0}))
+            yield pd.DataFrame(whole, columns=[*COLUMNS, "bytes"])
             if single:
                 yield combined(pd.concat(single), length).assign(bytes=None)
 
     listed = shared.groupBy("doc", "name").agg(F.collect_list(F.struct("trigger", "spot", "crowded")).alias("phrases"))
     # A document's list is bounded by its own length.
-    return docs.join(listed, ["doc", "name"]).select("doc", "text", "phrases").mapInPandas(run, ROW + ", bytes binary")
+    texts = docs.select("doc", "name", squeezed("text").alias("text"))
+    return texts.join(listed, ["doc", "name"]).select("doc", "text", "phrases").mapInPandas(run, ROW + ", bytes binary")
+
+
+def shared_strings(trigger: np.ndarray, doc: np.ndarray, spot: np.ndarray, data: list[bytes], length: int) -> pd.DataFrame:
+    """Repeated stretches among some phrases, all of each trigger: in suffix order, every string but the earliest of its equals."""
+    start, name, count = unpack(spot)
+    sizes = count - 1 + length
+    buffer = np.frombuffer(b"".join(data), np.uint8)
+    owner = np.repeat(np.arange(len(doc)), count)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.cumsum(sizes) - sizes)[owner] + inside
+    # A suffix that is alone with its hash has no equal.
+    hashes = PrefixHash(buffer).of(at, at + length) ^ PrefixHash.spread(trigger[owner])
+    _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    some = np.flatnonzero(times[back] > 1)
+    owner, inside, at = owner[some], inside[some], at[some]
+    # The suffix array of the rest: texts of one length compare as bytes, trailing zeros included.
+    suffixes = np.lib.stride_tricks.sliding_window_view(buffer, length)[at].view(f"S{length}").ravel() if len(at) else np.zeros(0, f"S{length}")
+    place = start[owner] + inside
+    _, rank = np.unique(suffixes, return_inverse=True)
+    order = np.lexsort((place, doc[owner], rank, trigger[owner]))
+    owner, place, rank = owner[order], place[order], rank[order]
+    mark = trigger[owner]
+    fresh = np.append(True, (rank[1:] != rank[:-1]) | (mark[1:] != mark[:-1]))[: len(rank)]
+    first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(rank) else rank
+    # An occurrence at the same place of a row with the same id is no earlier one.
+    again = (doc[owner] != doc[owner[first]]) | (place != place[first])
+    owner, place = owner[again], place[again]
+    return repeat_rows(doc[owner], name[owner], place, place + length)
 
 
-def ordered(rows: DataFrame, length: int) -> DataFrame:
-    """Repeated stretches among phrases of one trigger: every string's first place in corpus order is its earliest."""
+def ordered(rows: DataFrame, length: int, phrases: int = GROUPED) -> DataFrame:
+    """Repeated stretches among phrases of one trigger; single strings of crowded triggers go by their hash."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trigger, seen = None, {}
+        resolver, held = Resolver(length), None
+
+        def compare(part: pd.DataFrame) -> pd.DataFrame:
+            return shared_strings(*(part[c].to_numpy() for c in ("trigger", "doc", "spot")), part["bytes"].tolist(), length)
+
         for batch in batches:
-            doc, (start, name, count) = batch["doc"].to_numpy(), unpack(batch["spot"].to_numpy())
-            found = []
-            for k, (mark, data) in enumerate(zip(batch["trigger"], batch["bytes"])):
-                if mark != trigger:
-                    trigger, seen = mark, {}
-                for at in range(count[k]):
-                    place = (doc[k], start[k] + at)
-                    if seen.setdefault(data[at : at + length], place) < place:
-                        found.append((doc[k], name[k], start[k] + at))
-            if found:
-                columns = np.array(found, np.int64).T
-                yield repeat_rows(columns[0], columns[1], columns[2], columns[2] + length)
-
-    return rows.repartition("trigger").sortWithinPartitions("trigger", "doc", "spot").mapInPandas(run, ROW)
+            whole = batch["bytes"].notna().to_numpy()
+            if not whole.all():
+                for out in resolver.feed(batch[~whole].drop(columns="bytes")):
+                    yield out[unpack(out["spot"].to_numpy())[2] == 0]
+            if not whole.any():
+                continue
+            held = batch[whole] if held is None else pd.concat([held, batch[whole]])
+            # The last trigger's phrases wait for the rest of theirs.
+            trigger = held["trigger"].to_numpy()
+            closed = int(np.searchsorted(trigger, trigger[-1]))
+            for first, stop in _groups(trigger[:closed], phrases):
+                yield compare(held.iloc[first:stop])
+            held = held.iloc[closed:]
+        if held is not None and len(held):
+            yield compare(held)
+
+    single = F.col("bytes").isNull()
+    sorted_rows = rows.repartition("trigger").sortWithinPartitions(F.desc(single), "trigger", "phrase", "doc", "spot")
+    return sorted_rows.mapInPandas(run, ROW)
+
+
+def _groups(trigger: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``size`` rows that part no trigger."""
+    first = 0
+    while first < len(trigger):
+        last = trigger[min(first + size, len(trigger)) - 1]
+        stop = int(np.searchsorted(trigger, last, "right"))
+        yield first, stop
+        first = stop
 
 
 def repeats(
@@ -277,12 +378,9 @@ def repeats(
     crowded = F.coalesce("listed", F.lit(False))
     shared = shared.join(crowds, "trigger", "left").withColumns({"name": text_name, "crowded": crowded})
     texts = rows.select("doc", "name", "text", "doc_id")
-    pieces = materialise(strings(texts, shared, length), "shared-phrases")
-    single = resolved(pieces.where(F.col("bytes").isNull()).drop("bytes"), length).where(strings_left == 0)
     covered = (
         found.where(strings_left == 0)
-        .unionByName(ordered(pieces.where(F.col("bytes").isNotNull()), length))
-        .unionByName(single)
+        .unionByName(ordered(strings(texts, shared, length), length))
         .select("doc", text_name.alias("name"), F.struct(F.shiftright("spot", TEXT_BITS + COUNT_BITS).alias("start"), F.col("phrase").alias("stop")).alias("part"))
         .groupBy("doc", "name")
         .agg(F.collect_list("part").alias("parts"))
@@ -292,7 +390,7 @@ def repeats(
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, lists in batches:
             out = []
-            for text, parts in zip(texts, lists):
+            for text, parts in zip(restored(texts), lists):
                 if parts is None:
                     out.append((0, 0, hashlib.sha256(text).hexdigest()))
                     continue
@@ -306,7 +404,6 @@ def repeats(
                 out.append((int((stop - start).sum()), len(start), kept.hexdigest()))
             yield pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256"])
 
-    joined = texts.join(covered, ["doc", "name"], "left").select(
-        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), cut("text", "parts").alias("cut")
-    )
-    return joined.select(F.col("doc_id").alias("doc_id"), "n_bytes", "cut.*")
+    travelling = texts.select("doc", "name", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), squeezed("text").alias("text"))
+    joined = travelling.join(covered, ["doc", "name"], "left").select("doc_id", "n_bytes", cut("text", "parts").alias("cut"))
+    return joined.select("doc_id", "n_bytes", "cut.*")

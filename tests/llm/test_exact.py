@@ -401,7 +401,7 @@ def test_repeats_of_long_texts_and_missing_ids(edge, edge_rows):
 
 def test_parse_covers_every_string_once():
     texts = [b"ab" * 400, bytes(range(256)) * 3, b"q" * 100, b"q" * 99, b""]
-    text, start, count, _, _ = suffix_dedup.parse(texts)
+    text, start, count, *_ = suffix_dedup.parse(texts)
     covered = Counter((t, s + k) for t, s, n in zip(text.tolist(), start.tolist(), count.tolist()) for k in range(n))
     assert covered == Counter((t, k) for t, x in enumerate(texts) for k in range(len(x) - 99))
 
@@ -538,3 +538,49 @@ def test_a_task_keeps_the_best_of_each_query(monkeypatch):
     for q in range(7):
         mine = [(s, i) for a, i, s in zip(best.at, best.ids, best.scores) if a == q]
         assert mine == [(s, i) for s, i in sorted(((s, i) for a, i, s in rows if a == q), key=lambda x: (-x[0], x[1]))[:3]]
+
+
+@pytest.mark.parametrize("phrases", [1, 3, 1000])
+def test_strings_that_phrases_of_a_trigger_share(spark, phrases):
+    draw, length = random.Random(12), 10
+    rows = []
+    for trigger in range(12):
+        core = bytes(draw.randrange(3) for _ in range(4))
+        for doc in range(draw.randrange(1, 9)):
+            left, right = (bytes(draw.randrange(2) for _ in range(draw.randrange(3, 9))) for _ in range(2))
+            rows.append((trigger, doc, doc * 50, (left + core + right + b"\0\0\0")[:14]))
+    want, seen = set(), {}
+    for trigger, doc, start, data in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        for k in range(len(data) - length + 1):
+            if seen.setdefault((trigger, data[k : k + length]), (doc, start + k)) < (doc, start + k):
+                want |= {(doc, start + k + b) for b in range(length)}
+    packed = [
+        (t, 0, d, int(suffix_dedup.pack(np.int64(s), np.int64(5), len(x) - length + 1)), 0, x) for t, d, s, x in rows if len(x) >= length
+    ]
+    frame = spark.createDataFrame(packed, suffix_dedup.ROW + ", bytes binary").repartition(2)
+    got = set()
+    for r in suffix_dedup.ordered(frame, length, phrases).collect():
+        start, name, count = suffix_dedup.unpack(np.int64(r["spot"]))
+        assert (name, count) == (5, 0)
+        got |= {(r["doc"], b) for b in range(int(start), r["phrase"])}
+    assert got == want and want
+
+
+def test_phrases_that_share_a_string_agree_on_a_side():
+    draw = random.Random(21)
+    shared, texts = bytes(draw.randrange(97, 123) for _ in range(100)), []
+    for _ in range(60):
+        left, right = (bytes(draw.randrange(97, 123) for _ in range(draw.randrange(0, 90))) for _ in range(2))
+        texts.append(left + shared + right)
+    text, start, count, mark, _, sides = suffix_dedup.parse(texts)
+    held = {}
+    for t, s, n, m, side in zip(text.tolist(), start.tolist(), count.tolist(), mark.tolist(), sides.view(np.uint64).tolist()):
+        at = texts[t].index(shared)
+        if s <= at < s + n:
+            held[t] = (m, side >> 32, side & 0xFFFFFFFF)
+    assert len(held) == 60 and len({m for m, _, _ in held.values()}) == 1
+    lefts, rights = ({x[k] for x in held.values()} - {0} for k in (1, 2))
+    assert len(lefts) == 1 or len(rights) == 1
+    for a in held.values():
+        for b in held.values():
+            assert (a[1] and a[1] == b[1]) or (a[2] and a[2] == b[2])
