@@ -142,6 +142,27 @@ def test_daily_summary_counts_valid_orders_by_type(spark):
     assert float(row.total_revenue) == 200.0 and row.unique_restaurants == 1
 
 
+def test_item_popularity_counts_orders_once_whatever_repeats(spark):
+    """Repeated lines and headers, headers on two days, and keys that are null."""
+    headers = [order(1), order(1), order(1, day="2024-03-02"), order(2), order(3, venue="V2"), order(4, status="pending")]
+    headers += [(None, *order(5)[1:]), (*order(6)[:2], None, *order(6)[3:])]
+    names = ["O1", "O1", "O1", "O2", "O2", "O3", "O4", None, "O6", "O6"]
+    items = ["a", "a", "b", "a", None, "a", "a", "a", "b", "b"]
+    lines = [(n, "V2" if n == "O3" else "V1", i, k, Decimal(k), None if k == 2 else Decimal(k)) for k, (n, i) in enumerate(zip(names, items))]
+    lines = spark.createDataFrame(
+        lines, "order_id string, restaurant_id string, item_id string, quantity int, subtotal decimal(10,2), unit_price decimal(10,2)")
+    menu = spark.createDataFrame(
+        [("V1", "a", "Stew", "Main", True), ("V1", "b", "Soup", "Main", True)],
+        "restaurant_id string, item_id string, name string, category string, is_vegetarian boolean")
+    joined = lines.join(marts.valid_orders(orders(spark, *headers)).select("order_id", "restaurant_id", "order_date"), ["order_id", "restaurant_id"])
+    wanted = joined.join(menu, ["restaurant_id", "item_id"]).groupBy("order_date", "restaurant_id", "item_id").agg(
+        F.count_distinct("order_id").alias("order_count"), F.sum("quantity").alias("total_quantity_sold"),
+        F.sum("subtotal").alias("total_revenue"), F.round(F.avg("unit_price"), 2).cast("decimal(18,2)").alias("avg_unit_price"),
+    )
+    got = marts.daily_item_popularity(lines, orders(spark, *headers), menu).select(*wanted.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect())) and got.count() == 5
+
+
 def test_sketches_merge_over_days(spark):
     days = [order(n, customer=f"C{n % 5000}", day=f"2024-03-{1 + n % 20:02d}") for n in range(10_000)]
     merged = marts.merged_customers(marts.daily_sales_summary(orders(spark, *days))).first()

@@ -85,6 +85,19 @@ def test_item_popularity_adds_no_exchange_for_the_distinct_count(silver_tables,
     assert len(found) == 5 and not any("order_id" in keys and "item_id" in keys for keys in found)
 
 
+def test_item_popularity_keeps_one_table_of_groups_per_task(silver_tables, no_broadcast):
+    t = silver_tables
+    plan = re.sub(r"#\d+L?", "", plan_of(marts.daily_item_popularity(t["items"], t["orders"], t["menu"])))
+    # A task of the join holds its two sorts and the map-side groups, no second and third table by order.
+    assert re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", plan) == ["order_date, restaurant_id, item_id"] * 2
+    # Each side is sorted once, for its marks and the join alike.
+    assert len(re.findall(r"Sort \[order_id ASC", plan)) == 2
+    # A range of days still reaches the headers before they are dealt.
+    days = marts.daily_item_popularity(t["items"], t["orders"], t["menu"]).filter("order_date >= DATE'1996-01-01'")
+    plan = re.sub(r"#\d+L?", "", plan_of(days))
+    assert "order_date >= 1996-01-01" in plan[plan.rindex("REPARTITION_BY_COL"):]
+
+
 def test_dedup_combines_copies_before_the_one_exchange(spark, sf_dir, tmp_path):
     cq.fx.historical_orders_raw(spark, sf_dir).write.parquet(str(tmp_path / "orders"))
     orders = spark.read.parquet(str(tmp_path / "orders"))
